@@ -1,0 +1,48 @@
+"""Every query against its SQL, on whole tables."""
+
+import collections
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as spark_entry
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TABLES = ["orders", "lineitem"]
+# Spark types and the DuckDB types they must meet.
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF_DIR}/{name}.parquet')"
+        )
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+def test_query_equals_oracle(spark, duck, name):
+    df = spark_entry.queries()[name](spark, SF_DIR)
+    columns = sorted(df.columns)
+    got = collections.Counter(tuple(row) for row in df.select(columns).collect())
+    if name not in spark_entry.oracle_sql():
+        assert name == "surrogate_item_id" and got
+        return
+    relation = duck.sql(spark_entry.oracle_sql()[name])
+    assert sorted(relation.columns) == columns
+    kinds = dict(zip(relation.columns, map(str, relation.types)))
+    assert {c: TYPES[kind] for c, kind in df.dtypes} == kinds
+    expected = collections.Counter(relation.select(*columns).fetchall())
+    assert got == expected
+    assert sum(got.values()) > 0
