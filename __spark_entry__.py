@@ -41,9 +41,7 @@ def items_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coerced_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with numbers parsed and no row dropped yet."""
-    return cleaning.coerce_item_numbers(
-        cleaning.normalize_null_tokens(inputs.raw_items(spark, sf_dir))
-    )
+    return cleaning.coerce_items(inputs.raw_items(spark, sf_dir))
 
 
 # Sources and sinks
@@ -138,9 +136,7 @@ def narrow_orders(spark, sf_dir):
 
 @query
 def coerce_item_numbers(spark, sf_dir):
-    return money_as_double(cleaning.coerce_item_numbers(
-        cleaning.normalize_null_tokens(inputs.varied_prices(spark, sf_dir))
-    ))
+    return money_as_double(cleaning.coerce_items(inputs.varied_prices(spark, sf_dir)))
 
 
 @query
@@ -158,7 +154,7 @@ def drop_negative_prices(spark, sf_dir):
 @query
 def dropped_item_count(spark, sf_dir):
     return cleaning.dropped_item_counts(
-        cleaning.coerce_item_numbers(inputs.varied_prices(spark, sf_dir))
+        cleaning.coerce_items(inputs.varied_prices(spark, sf_dir))
     )
 
 

@@ -33,19 +33,13 @@ def money_issue(text: Column, parsed: Column) -> Column:
     far as the costlier tests.
     """
     minus = F.trim(text).startswith("-")
-    refused = F.when(
-        text.rlike(NUMBER_TEXT),
-        F.when(minus, F.lit(NEGATIVE)).otherwise(F.lit(OUT_OF_RANGE)),
-    ).otherwise(F.lit(UNPARSEABLE))
-    return (
-        F.when(parsed > 0, F.lit(None).cast("string"))
-        .when(parsed < 0, F.lit(NEGATIVE))
-        .when(
-            parsed == 0,
-            F.when(minus & (text.try_cast("double") < 0), F.lit(NEGATIVE)),
-        )
-        .otherwise(refused)
+    not_positive = (
+        F.when(parsed < 0, NEGATIVE)
+        .when(parsed == 0, F.when(minus & (text.try_cast("double") < 0), NEGATIVE))
+        .when(text.rlike(NUMBER_TEXT), F.when(minus, NEGATIVE).otherwise(OUT_OF_RANGE))
+        .otherwise(UNPARSEABLE)
     )
+    return F.when(~F.coalesce(parsed > 0, F.lit(False)), not_positive)
 
 
 def mean_money(total: Column, count: Column) -> Column:

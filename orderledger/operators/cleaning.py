@@ -23,10 +23,11 @@ from ..schema import (
 )
 
 
-def normalize_null_tokens(df: DataFrame) -> DataFrame:
-    """Turn missing-value tokens into NULL in every string column."""
-    text = [name for name, kind in df.dtypes if kind == "string"]
-    return df.withColumns({name: missing_if_token(F.col(name)) for name in text})
+def normalize_null_tokens(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Turn missing-value tokens into NULL in the named or all string columns."""
+    if columns is None:
+        columns = [name for name, kind in df.dtypes if kind == "string"]
+    return df.withColumns({name: missing_if_token(F.col(name)) for name in columns})
 
 
 def parse_order_timestamps(orders: DataFrame) -> DataFrame:
@@ -54,11 +55,12 @@ def coerce_item_numbers(items: DataFrame) -> DataFrame:
 
     Adds ``price_issue``: why the row will be dropped, NULL where it will not.
     """
+    price = F.col("price")
     return items.withColumns(
         {
-            "price": parse_money(F.col("price")),
+            "price": parse_money(price),
             "freight_value": parse_money(F.col("freight_value")),
-            "price_issue": money_issue(F.col("price"), parse_money(F.col("price"))),
+            "price_issue": money_issue(price, parse_money(price)),
         }
     )
 
@@ -73,7 +75,7 @@ def drop_negative_prices(items: DataFrame) -> DataFrame:
 
 def drop_unusable_items(coerced: DataFrame) -> DataFrame:
     """Both price filters at once, on the verdict reached from the text."""
-    return coerced.filter(F.col("price_issue").isNull())
+    return coerced.filter(F.col("price_issue").isNull()).drop("price_issue")
 
 
 def dropped_item_counts(coerced: DataFrame) -> DataFrame:
@@ -106,15 +108,23 @@ def default_freight(items: DataFrame) -> DataFrame:
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
-    """Raw text orders to the curated columns."""
-    tokens_gone = normalize_null_tokens(raw)
-    return narrow_orders(fill_delivery_date(parse_order_timestamps(tokens_gone)))
+    """Raw text orders to the curated columns.
+
+    Null tokens are replaced in the text columns only: none of them is a timestamp, so
+    parsing makes them NULL by itself.
+    """
+    named = normalize_null_tokens(raw, ["order_id", "customer_id", "order_status"])
+    return narrow_orders(fill_delivery_date(parse_order_timestamps(named)))
+
+
+def coerce_items(raw: DataFrame) -> DataFrame:
+    """Raw text items with numbers parsed and no row dropped. No null token is a number."""
+    return coerce_item_numbers(normalize_null_tokens(raw, ["order_id", "product_id"]))
 
 
 def clean_items(raw: DataFrame) -> DataFrame:
     """Raw text items to the curated columns, unusable prices dropped."""
-    coerced = coerce_item_numbers(normalize_null_tokens(raw))
-    return narrow_items(drop_unusable_items(coerced))
+    return narrow_items(drop_unusable_items(coerce_items(raw)))
 
 
 def stamp_audit_columns(

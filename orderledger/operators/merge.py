@@ -13,14 +13,14 @@ KEY = "order_id"
 UPDATED_COLUMNS = [name for name in ORDER_COLUMNS if name != KEY]
 
 
-def _one_row_per_key(batch: DataFrame) -> DataFrame:
+def _one_row_per_key(batch: DataFrame, value: Column) -> DataFrame:
     """The batch as ``(order_id, new)``; a duplicate or missing key fails the job.
 
     Grouping costs no shuffle of its own: the join needs the same partitioning. Rows
     combine before the shuffle, so a hot key does not pile up in one task either.
     """
     grouped = batch.groupBy(KEY).agg(
-        F.first(F.struct(batch.columns)).alias("new"), F.count("*").alias("copies")
+        F.first(value).alias("new"), F.count("*").alias("copies")
     )
     return grouped.select(
         KEY,
@@ -34,9 +34,11 @@ def _one_row_per_key(batch: DataFrame) -> DataFrame:
     )
 
 
-def _matched(target: DataFrame, batch: DataFrame) -> DataFrame:
-    old = target.select(KEY, F.struct("*").alias("old"))
-    return old.join(_one_row_per_key(batch), KEY, "full_outer")
+def _matched(target: DataFrame, old: Column, batch: DataFrame, new: Column) -> DataFrame:
+    """``(order_id, old, new)``: NULL on the side that lacks the order."""
+    return target.select(KEY, old.alias("old")).join(
+        _one_row_per_key(batch, new), KEY, "full_outer"
+    )
 
 
 def upsert_orders(target: DataFrame, batch: DataFrame, run_ts: datetime) -> DataFrame:
@@ -52,7 +54,13 @@ def upsert_orders(target: DataFrame, batch: DataFrame, run_ts: datetime) -> Data
     def pick(name: str) -> Column:
         return F.when(in_batch, F.col("new")[name]).otherwise(F.col("old")[name])
 
-    return _matched(target, batch.select(ORDER_COLUMNS)).select(
+    matched = _matched(
+        target,
+        F.struct(UPDATED_COLUMNS + ["created_at", "updated_at"]),
+        batch,
+        F.struct(UPDATED_COLUMNS),
+    )
+    return matched.select(
         KEY,
         *[pick(name).alias(name) for name in UPDATED_COLUMNS],
         F.when(F.col("old").isNull(), now).otherwise(F.col("old.created_at")).alias("created_at"),
@@ -67,11 +75,8 @@ def upsert_action_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
         .when(F.col("new").isNotNull(), "updated")
         .otherwise("kept")
     )
-    return (
-        _matched(target.select(KEY), batch.select(KEY))
-        .groupBy(action.alias("action"))
-        .agg(F.count("*").alias("order_count"))
-    )
+    matched = _matched(target, F.lit(True), batch, F.lit(True))
+    return matched.groupBy(action.alias("action")).agg(F.count("*").alias("order_count"))
 
 
 def empty_orders(spark) -> DataFrame:

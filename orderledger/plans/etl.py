@@ -37,7 +37,7 @@ def reload_items(raw_items: DataFrame, path: str, run_ts: datetime) -> dict[str,
     table.
     """
     counts = Observation()
-    coerced = cleaning.coerce_item_numbers(cleaning.normalize_null_tokens(raw_items)).observe(
+    coerced = cleaning.coerce_items(raw_items).observe(
         counts,
         F.count_if(F.col("price_issue").isNull()).alias("kept"),
         *[F.count_if(F.col("price_issue") == issue).alias(issue) for issue in MONEY_ISSUES],
