@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ def orders_between_dates(spark, sf_dir):
     stamped = cleaning.stamp_audit_columns(orders_of(spark, sf_dir), inputs.FIRST_RUN)
     parquet.write_orders_by_month(stamped, path)
     return parquet.read_orders_by_month(
-        spark, path, inputs.datetime(1996, 2, 15).date(), inputs.datetime(1999, 10, 3).date()
+        spark, path, date(1996, 2, 15), date(1999, 10, 3)
     )
 
 
@@ -316,32 +317,37 @@ def etl_row_counts(spark, sf_dir):
 # Whole jobs
 
 
-def _two_runs(spark, sf_dir):
-    """Load a first batch, then a later one, from CSV files of the whole tables."""
-    root = runs.new_path(spark, "curated")
-    first, second, items = (f"{root}/raw/{name}" for name in ["first", "second", "items"])
-    csv.write_raw_csv(inputs.raw_orders(spark, sf_dir), first)
-    csv.write_raw_csv(inputs.batch_orders(spark, sf_dir), second)
-    csv.write_raw_csv(inputs.raw_items(spark, sf_dir), items)
-    etl.run_etl(spark, first, items, root, inputs.FIRST_RUN)
-    return etl.run_etl(spark, second, items, root, inputs.SECOND_RUN).run
+def _load(spark, raw_orders, raw_items, root, run_ts):
+    """One load from CSV files of the whole raw tables."""
+    orders_csv, items_csv = runs.new_path(spark, "raw_orders"), runs.new_path(spark, "raw_items")
+    csv.write_raw_csv(raw_orders, orders_csv)
+    csv.write_raw_csv(raw_items, items_csv)
+    return etl.run_etl(spark, orders_csv, items_csv, root, run_ts).run
 
 
 @query
 def run_etl_orders(spark, sf_dir):
-    return etl.read_current_orders(spark, _two_runs(spark, sf_dir))
+    root = runs.new_path(spark, "curated")
+    items = inputs.raw_items(spark, sf_dir)
+    _load(spark, inputs.raw_orders(spark, sf_dir), items, root, inputs.FIRST_RUN)
+    _load(spark, inputs.batch_orders(spark, sf_dir), items, root, inputs.SECOND_RUN)
+    return etl.read_current_orders(spark, runs.current_run(spark, root))
 
 
 @query
 def run_etl_items(spark, sf_dir):
-    run = _two_runs(spark, sf_dir)
+    root = runs.new_path(spark, "curated")
+    raw = inputs.raw_orders(spark, sf_dir), inputs.raw_items(spark, sf_dir)
+    run = _load(spark, *raw, root, inputs.SECOND_RUN)
     return money_as_double(parquet.read_parquet(spark, run.items_path).drop("id"))
 
 
 @query
 def daily_report_job(spark, sf_dir):
-    run = _two_runs(spark, sf_dir)
-    orders = etl.read_current_orders(spark, run)
+    root = runs.new_path(spark, "curated")
+    raw = inputs.raw_orders(spark, sf_dir), inputs.raw_items(spark, sf_dir)
+    run = _load(spark, *raw, root, inputs.FIRST_RUN)
+    orders = parquet.read_parquet(spark, run.orders_clean_path)
     items = parquet.read_parquet(spark, run.items_path)
     path = runs.new_path(spark, "report")
     daily_report.write_daily_report(orders, items, path)

@@ -260,7 +260,7 @@ _BODIES = {
     "run_etl_orders": "SELECT * FROM merged",
     "run_etl_items": f"SELECT {_ITEM_MONEY}, TIMESTAMP '2025-01-01 02:00:00' AS created_at "
     "FROM clean_items",
-    "daily_report_job": _report("merged"),
+    "daily_report_job": _report("clean_orders"),
 }
 
 ORACLES = {name: _with(body) for name, body in _BODIES.items()}

@@ -32,7 +32,7 @@ def money_issue(text: Column, parsed: Column) -> Column:
     ('-0.004') is still negative. Only texts the cast refused, and zeros, get as
     far as the costlier tests.
     """
-    minus = F.trim(text).startswith("-")
+    minus = text.rlike(r"\A\s*-")
     not_positive = (
         F.when(parsed < 0, NEGATIVE)
         .when(parsed == 0, F.when(minus & (text.try_cast("double") < 0), NEGATIVE))

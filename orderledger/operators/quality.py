@@ -70,46 +70,47 @@ def negative_price_count(items: DataFrame) -> DataFrame:
     return items.agg(F.count_if(F.col("price") < 0).alias("negative_prices"))
 
 
+def presence_rules_orders() -> dict[str, tuple[str, Column]]:
+    return {
+        f"{name}_not_null": (HARD, F.col(name).isNull())
+        for name in ["order_id", "customer_id", "order_status"]
+    }
+
+
+def domain_rules_orders() -> dict[str, tuple[str, Column]]:
+    """Status within its domain; a missing status is the not-null rule's business."""
+    return {"order_status_in_domain": (HARD, ~F.col("order_status").isin(ORDER_STATUSES))}
+
+
+def price_rules_items() -> dict[str, tuple[str, Column]]:
+    return {
+        "price_not_null": (SOFT, F.col("price").isNull()),
+        "price_not_negative": (HARD, F.col("price") < 0),
+    }
+
+
+def unique_order_id(orders: DataFrame) -> DataFrame:
+    counted = duplicate_order_ids(orders).withColumnRenamed("duplicates", "order_id_unique")
+    return _unpivot(counted, "orders", {"order_id_unique": HARD})
+
+
 def quality_orders(orders: DataFrame) -> DataFrame:
     """Key columns present, ``order_id`` unique.
 
     Two column-pruned scans instead of one: carrying the other counters through the
     per-key shuffle would cost more than reading one column again.
     """
-    present = violation_counts(
-        orders,
-        "orders",
-        {
-            f"{name}_not_null": (HARD, F.col(name).isNull())
-            for name in ["order_id", "customer_id", "order_status"]
-        },
+    return violation_counts(orders, "orders", presence_rules_orders()).unionByName(
+        unique_order_id(orders)
     )
-    unique = _unpivot(
-        duplicate_order_ids(orders).withColumnRenamed("duplicates", "order_id_unique"),
-        "orders",
-        {"order_id_unique": HARD},
-    )
-    return present.unionByName(unique)
 
 
 def quality_items(items: DataFrame) -> DataFrame:
-    return violation_counts(
-        items,
-        "order_items",
-        {
-            "price_not_null": (SOFT, F.col("price").isNull()),
-            "price_not_negative": (HARD, F.col("price") < 0),
-        },
-    )
+    return violation_counts(items, "order_items", price_rules_items())
 
 
 def quality_status_domain(orders: DataFrame) -> DataFrame:
-    """Status within its domain; a missing status is the not-null rule's business."""
-    return violation_counts(
-        orders,
-        "orders",
-        {"order_status_in_domain": (HARD, ~F.col("order_status").isin(ORDER_STATUSES))},
-    )
+    return violation_counts(orders, "orders", domain_rules_orders())
 
 
 def _too_long(name: str, limit: int) -> Column:
@@ -153,6 +154,19 @@ def quality_constraints(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def load_checks_orders(orders: DataFrame) -> DataFrame:
+    """Every rule on clean orders: one scan for the row rules, one for the key."""
+    rules = presence_rules_orders() | domain_rules_orders() | constraint_rules_orders()
+    return violation_counts(orders, "orders", rules).unionByName(unique_order_id(orders))
+
+
+def load_checks_items(items: DataFrame) -> DataFrame:
+    """Every rule on clean items, in one scan."""
+    return violation_counts(
+        items, "order_items", price_rules_items() | constraint_rules_items()
+    )
+
+
 def quality_foreign_key(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items without an order, counted on one row per distinct key.
 

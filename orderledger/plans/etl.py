@@ -25,7 +25,7 @@ class EtlResult:
 def read_current_orders(spark: SparkSession, run: Row | None) -> DataFrame:
     if run is None:
         return merge.empty_orders(spark)
-    return parquet.read_orders_by_month(spark, run.orders_path)
+    return parquet.read_parquet(spark, run.orders_path)
 
 
 def reload_items(raw_items: DataFrame, path: str, run_ts: datetime) -> dict[str, int]:
@@ -73,26 +73,16 @@ def run_etl(
     raw_orders = csv.read_raw_orders(spark, orders_csv, multi_line)
     parquet.write_parquet(cleaning.clean_orders(raw_orders), clean_path)
     batch = parquet.read_parquet(spark, clean_path)
-    checks = quality.enforce(
-        quality.quality_orders(batch)
-        .unionByName(quality.quality_status_domain(batch))
-        .unionByName(
-            quality.violation_counts(batch, "orders", quality.constraint_rules_orders())
-        )
-    )
+    checks = quality.enforce(quality.load_checks_orders(batch))
 
     raw_items = csv.read_raw_items(spark, items_csv, multi_line)
     dropped = reload_items(raw_items, items_path, run_ts)
     items = parquet.read_parquet(spark, items_path)
-    checks += quality.enforce(
-        quality.quality_items(items).unionByName(
-            quality.violation_counts(items, "order_items", quality.constraint_rules_items())
-        )
-    )
+    checks += quality.enforce(quality.load_checks_items(items))
 
     target = read_current_orders(spark, previous)
-    parquet.write_orders_by_month(merge.upsert_orders(target, batch, run_ts), orders_path)
-    orders = parquet.read_orders_by_month(spark, orders_path)
+    parquet.write_parquet(merge.upsert_orders(target, batch, run_ts), orders_path)
+    orders = parquet.read_parquet(spark, orders_path)
     checks += quality.enforce(quality.quality_foreign_key(items, orders))
 
     run = runs.commit_run(spark, root, previous, run_ts, clean_path, orders_path, items_path)

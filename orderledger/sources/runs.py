@@ -13,9 +13,9 @@ import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOG_SCHEMA = (
     "run_number BIGINT, run_ts TIMESTAMP_NTZ, "
@@ -45,13 +45,14 @@ def new_run_folder(root: str, run_ts: datetime) -> str:
     return f"{root}/runs/{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def run_log(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    path = f"{root}/log"
+    return spark.read.schema(LOG_SCHEMA).parquet(path) if _exists(spark, path) else None
 
 
 def current_run(spark: SparkSession, root: str) -> Row | None:
@@ -73,14 +74,18 @@ def commit_run(
     items_path: str,
 ) -> Row:
     """Make a finished run the current one."""
-    number = 1 if previous is None else previous.run_number + 1
-    record = Row(
-        run_number=number,
-        run_ts=run_ts,
-        orders_clean_path=orders_clean_path,
-        orders_path=orders_path,
-        items_path=items_path,
-    )
-    log = spark.createDataFrame([record], LOG_SCHEMA)
-    log.coalesce(1).write.mode("append").parquet(f"{root}/log")
-    return record
+    record = {
+        "run_number": 1 if previous is None else previous.run_number + 1,
+        "run_ts": run_ts,
+        "orders_clean_path": orders_clean_path,
+        "orders_path": orders_path,
+        "items_path": items_path,
+    }
+    # A Python datetime becomes a zoned literal, so the time goes in as text.
+    literals = record | {"run_ts": run_ts.isoformat(sep=" ")}
+    fields = [
+        F.lit(literals[field.name]).cast(field.dataType).alias(field.name)
+        for field in T.StructType.fromDDL(LOG_SCHEMA)
+    ]
+    spark.range(1, numPartitions=1).select(fields).write.mode("append").parquet(f"{root}/log")
+    return Row(**record)

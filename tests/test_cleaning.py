@@ -49,6 +49,8 @@ PRICES = {
     "-1.005": ("-1.01", "negative"),
     "-0.004": ("0.00", "negative"),
     " -0.0000001": ("0.00", "negative"),
+    "\t-0.004\n": ("0.00", "negative"),
+    "\t-inf": (None, "negative"),
     "-inf": (None, "negative"),
     "-1e20": (None, "negative"),
     **{token: (None, "unparseable") for token in NULL_TOKENS},

@@ -115,3 +115,14 @@ def test_run_log_follows_the_last_commit(spark):
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert runs.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return {"spark.master": "yarn"}.get(name, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        runs.shared_folder(Session)
