@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ITEM_COLUMNS, ORDER_COLUMNS
@@ -55,19 +55,23 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """The report as one CSV file in date order.
+def write_report(report: DataFrame, path: str) -> int:
+    """The report as one CSV file in date order; returns its number of days.
 
-    One task is enough: the report has one row per day. The sort ahead of it keeps
-    the aggregation parallel.
+    The report has one row per day, so one task can write it. ``repartition`` rather
+    than ``coalesce``: the latter would pull the final aggregation into that task too.
+    Days are counted in the writing stage, where a retried task counts once.
     """
+    written = Observation()
     (
-        report.coalesce(1)
+        report.repartition(1)
         .sortWithinPartitions(F.asc_nulls_first("report_date"))
+        .observe(written, F.count("*").alias("days"))
         .write.mode("overwrite")
         .option("header", True)
         .csv(path)
     )
+    return written.get["days"]
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -92,3 +92,23 @@ def test_report_on_current_tables(spark, load):
     assert daily_report.write_daily_report(orders, items, path) == 2
     daily_report.verify_daily_report(spark, path, orders, items)
     assert [tuple(r)[1:] for r in csv.read_report(spark, path).collect()] == [(1.5, 1), (2.0, 1)]
+
+
+def test_jobs(spark, tmp_path, capsys):
+    import jobs
+
+    (tmp_path / "orders.csv").write_text("\n".join([ORDERS, *GOOD_ORDERS]) + "\n")
+    (tmp_path / "items.csv").write_text("\n".join([ITEMS, *GOOD_ITEMS]) + "\n")
+    root, out = str(tmp_path / "curated"), str(tmp_path / "report")
+    args = jobs.parse(["report", "--root", root, "--out", out])
+    with pytest.raises(SystemExit, match="no load"):
+        args.run(spark, args)
+    for command in [
+        ["load", "--orders", str(tmp_path / "orders.csv"), "--items", str(tmp_path / "items.csv"),
+         "--root", root, "--single-line"],
+        ["report", "--root", root, "--out", out],
+    ]:
+        args = jobs.parse(command)
+        args.run(spark, args)
+    assert "2 rows, dropped" in capsys.readouterr().out
+    assert csv.read_report(spark, out).count() == 2
