@@ -299,6 +299,14 @@ def daily_revenue_view(spark, sf_dir):
     return reports.daily_revenue_view(orders_of(spark, sf_dir), items_of(spark, sf_dir))
 
 
+@query
+def daily_revenue_view_by_name(spark, sf_dir):
+    reports.daily_revenue_view(
+        orders_of(spark, sf_dir), items_of(spark, sf_dir)
+    ).createOrReplaceTempView("v_daily_revenue")
+    return spark.sql("SELECT * FROM v_daily_revenue")
+
+
 @query
 def etl_row_counts(spark, sf_dir):
     orders, items = orders_of(spark, sf_dir), items_of(spark, sf_dir)

@@ -148,6 +148,14 @@ _ORDER_CHECKS = [
     ("order_status_length", "hard", "LENGTH(order_status) > 20"),
 ]
 
+_ACTIVE_REPORT = (
+    "SELECT CAST(order_purchase_timestamp AS DATE) AS report_date, "
+    "COUNT(DISTINCT order_id) AS order_count, CAST(SUM(price) AS DOUBLE) AS daily_revenue, "
+    "CAST((2 * CAST(SUM(price) * 100 AS BIGINT) + COUNT(price)) // (2 * COUNT(price)) "
+    "AS DOUBLE) / 100 AS avg_order_value "
+    "FROM active JOIN clean_items USING (order_id) GROUP BY 1"
+)
+
 _BODIES = {
     "scan_csv_orders": "SELECT * FROM raw_orders",
     "scan_csv_items": f"SELECT order_id, {_known('product_id')} AS product_id, "
@@ -249,11 +257,8 @@ _BODIES = {
         COUNT(*) AS order_count FROM merged GROUP BY 1
     """,
     "daily_revenue_report": _report("clean_orders"),
-    "daily_revenue_view": "SELECT CAST(order_purchase_timestamp AS DATE) AS report_date, "
-    "COUNT(DISTINCT order_id) AS order_count, CAST(SUM(price) AS DOUBLE) AS daily_revenue, "
-    "CAST((2 * CAST(SUM(price) * 100 AS BIGINT) + COUNT(price)) // (2 * COUNT(price)) "
-    "AS DOUBLE) / 100 AS avg_order_value "
-    "FROM active JOIN clean_items USING (order_id) GROUP BY 1",
+    "daily_revenue_view": _ACTIVE_REPORT,
+    "daily_revenue_view_by_name": _ACTIVE_REPORT,
     "etl_row_counts": "SELECT 'orders' AS table_name, COUNT(*) AS row_count FROM clean_orders "
     "UNION ALL SELECT 'order_items', COUNT(*) FROM clean_items "
     f"UNION ALL SELECT 'daily_report', COUNT(DISTINCT report_date) FROM ({_JOINED})",

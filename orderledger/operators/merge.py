@@ -34,19 +34,28 @@ def _one_row_per_key(batch: DataFrame, value: Column) -> DataFrame:
     )
 
 
-def _matched(target: DataFrame, old: Column, batch: DataFrame, new: Column) -> DataFrame:
+def _matched(
+    target: DataFrame, old: Column, batch: DataFrame, new: Column, keys_checked: bool
+) -> DataFrame:
     """``(order_id, old, new)``: NULL on the side that lacks the order."""
-    return target.select(KEY, old.alias("old")).join(
-        _one_row_per_key(batch, new), KEY, "full_outer"
-    )
+    if keys_checked:
+        batch = batch.select(KEY, new.alias("new"))
+    else:
+        batch = _one_row_per_key(batch, new)
+    return target.select(KEY, old.alias("old")).join(batch, KEY, "full_outer")
 
 
-def upsert_orders(target: DataFrame, batch: DataFrame, run_ts: datetime) -> DataFrame:
+def upsert_orders(
+    target: DataFrame, batch: DataFrame, run_ts: datetime, keys_checked: bool = False
+) -> DataFrame:
     """The curated orders after the batch.
 
     A known order takes the batch's values and the run's ``updated_at`` and keeps its
     ``created_at``; a new one gets both stamps; the others stay as they are. Writing
     the result over the target is refused by Spark, so write it to a new path.
+
+    ``keys_checked`` says that the gate has found the batch's keys present and unique;
+    it saves the guard against others, a sort of the batch.
     """
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     in_batch = F.col("new").isNotNull()
@@ -59,6 +68,7 @@ def upsert_orders(target: DataFrame, batch: DataFrame, run_ts: datetime) -> Data
         F.struct(UPDATED_COLUMNS + ["created_at", "updated_at"]),
         batch,
         F.struct(UPDATED_COLUMNS),
+        keys_checked,
     )
     return matched.select(
         KEY,
@@ -75,7 +85,7 @@ def upsert_action_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
         .when(F.col("new").isNotNull(), "updated")
         .otherwise("kept")
     )
-    matched = _matched(target, F.lit(True), batch, F.lit(True))
+    matched = _matched(target, F.lit(True), batch, F.lit(True), keys_checked=False)
     return matched.groupBy(action.alias("action")).agg(F.count("*").alias("order_count"))
 
 

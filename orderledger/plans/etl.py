@@ -81,7 +81,8 @@ def run_etl(
     checks += quality.enforce(quality.load_checks_items(items))
 
     target = read_current_orders(spark, previous)
-    parquet.write_parquet(merge.upsert_orders(target, batch, run_ts), orders_path)
+    merged = merge.upsert_orders(target, batch, run_ts, keys_checked=True)
+    parquet.write_parquet(merged, orders_path)
     orders = parquet.read_parquet(spark, orders_path)
     checks += quality.enforce(quality.quality_foreign_key(items, orders))
 
