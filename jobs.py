@@ -22,11 +22,11 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     result = etl.run_etl(
         spark, args.orders, args.items, args.root, args.run_ts, multi_line=not args.single_line
     )
-    print(f"orders      : {result.order_rows} rows")
-    print(f"order_items : {result.item_rows} rows, dropped {result.dropped_items}")
+    print(f"run {result.run.run_number}: merged {result.order_rows} orders")
+    print(f"loaded {result.item_rows} items, dropped {result.dropped_items}")
     for row in result.checks:
         if row.violations:
-            print(f"warning     : {row.table_name}.{row.rule} {row.violations}")
+            print(f"warning: {row.violations} rows of {row.table_name} fail {row.rule}")
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -37,7 +37,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     items = parquet.read_parquet(spark, run.items_path)
     days = daily_report.write_daily_report(orders, items, args.out)
     daily_report.verify_daily_report(spark, args.out, orders, items)
-    print(f"daily report: {days} days")
+    print(f"wrote and verified {days} days")
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:

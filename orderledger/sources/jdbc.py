@@ -54,12 +54,21 @@ def key_bounds(
 
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, connection: dict[str, str], mode: str = "overwrite"
+    df: DataFrame,
+    url: str,
+    table: str,
+    connection: dict[str, str],
+    mode: str = "overwrite",
+    connections: int = 16,
 ) -> None:
-    """Insert in batches. An overwrite empties the table and keeps its constraints."""
+    """Insert in batches over a bounded number of connections.
+
+    An overwrite empties the table and keeps its constraints.
+    """
     (
         df.write.format("jdbc")
-        .options(url=url, dbtable=table, batchsize=str(ROWS_PER_TRIP), truncate="true")
+        .options(url=url, dbtable=table, truncate="true")
+        .options(batchsize=str(ROWS_PER_TRIP), numPartitions=str(connections))
         .options(**connection)
         .mode(mode)
         .save()

@@ -30,9 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="orderledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{tempfile.gettempdir()}/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:

@@ -201,3 +201,26 @@ def test_optional_timestamp_columns_may_be_absent(spark):
 def test_surrogate_ids_are_unique(spark):
     numbered = cleaning.surrogate_item_id(spark.range(1000).toDF("n").repartition(7))
     assert numbered.select("id").distinct().count() == 1000
+
+
+def test_cleaning_its_own_output_changes_nothing(spark):
+    from __spark_entry__ import items_of, orders_of
+
+    sf_dir = "/root/testdata/sf0.001"
+    for once, clean in [
+        (orders_of(spark, sf_dir), cleaning.clean_orders),
+        (items_of(spark, sf_dir), cleaning.clean_items),
+    ]:
+        text = once.select([F.col(name).cast("string") for name in once.columns])
+        again = clean(text)
+        assert again.exceptAll(once).isEmpty() and once.exceptAll(again).isEmpty()
+
+
+def test_every_row_is_kept_or_dropped_for_one_reason(spark):
+    from proxy_inputs import varied_prices
+
+    raw = varied_prices(spark, "/root/testdata/sf0.001")
+    counts = cleaning.dropped_item_counts(cleaning.coerce_items(raw))
+    counted = {r.outcome: r.item_count for r in counts.collect()}
+    assert sum(counted.values()) == raw.count()
+    assert counted["kept"] == cleaning.clean_items(raw).count()

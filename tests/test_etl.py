@@ -110,5 +110,5 @@ def test_jobs(spark, tmp_path, capsys):
     ]:
         args = jobs.parse(command)
         args.run(spark, args)
-    assert "2 rows, dropped" in capsys.readouterr().out
+    assert "loaded 2 items, dropped" in capsys.readouterr().out
     assert csv.read_report(spark, out).count() == 2

@@ -1,6 +1,8 @@
 """CSV binding and refusal, month layout, JDBC options, the run log."""
 
+import tempfile
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,12 +119,17 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert runs.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    class Session:
-        class conf:
-            @staticmethod
-            def get(name, default):
-                return {"spark.master": "yarn"}.get(name, default)
+def session_with(**settings):
+    conf = SimpleNamespace(
+        get=lambda name, default: settings.get(name.replace(".", "_"), default)
+    )
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="app-1"))
 
+
+def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        runs.shared_folder(Session)
+        runs.shared_folder(session_with(spark_master="yarn"))
+    named = session_with(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared")
+    assert runs.new_path(named, "x").startswith("hdfs:///shared/orderledger/x-")
+    local = runs.shared_folder(session_with(spark_master="local[2]"))
+    assert local == f"{tempfile.gettempdir()}/app-1"
