@@ -228,6 +228,11 @@ def quality_constraints(spark, sf_dir):
     return quality.quality_constraints(orders, coerced_of(spark, sf_dir))
 
 
+@query
+def quality_item_ids(spark, sf_dir):
+    return quality.unique_item_id(cleaning.surrogate_item_id(items_of(spark, sf_dir)))
+
+
 @query
 def quality_foreign_key(spark, sf_dir):
     active = joins.active_orders(orders_of(spark, sf_dir))
@@ -279,6 +284,14 @@ def upsert_orders(spark, sf_dir):
     return merge.upsert_orders(target, batch, inputs.SECOND_RUN)
 
 
+@query
+def upsert_checked_batch(spark, sf_dir):
+    target = cleaning.stamp_audit_columns(orders_of(spark, sf_dir), inputs.FIRST_RUN)
+    batch = cleaning.clean_orders(inputs.batch_orders(spark, sf_dir))
+    quality.enforce(quality.load_checks_orders(batch))
+    return merge.upsert_checked_batch(target, batch, inputs.SECOND_RUN, batch.count())
+
+
 @query
 def upsert_action_counts(spark, sf_dir):
     target = cleaning.stamp_audit_columns(orders_of(spark, sf_dir), inputs.FIRST_RUN)

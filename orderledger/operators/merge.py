@@ -11,6 +11,11 @@ from ..schema import CURATED_ORDERS, ORDER_COLUMNS
 
 KEY = "order_id"
 UPDATED_COLUMNS = [name for name in ORDER_COLUMNS if name != KEY]
+OLD = UPDATED_COLUMNS + ["created_at", "updated_at"]
+
+# A checked batch row holds at most 120 characters of text and two timestamps, below
+# one kilobyte in memory, so a broadcast batch stays below 100 MB.
+BROADCAST_ROWS = 100_000
 
 
 def _one_row_per_key(batch: DataFrame, value: Column) -> DataFrame:
@@ -34,42 +39,31 @@ def _one_row_per_key(batch: DataFrame, value: Column) -> DataFrame:
     )
 
 
-def _matched(
-    target: DataFrame, old: Column, batch: DataFrame, new: Column, keys_checked: bool
-) -> DataFrame:
+def _matched(target: DataFrame, old: Column, batch: DataFrame) -> DataFrame:
     """``(order_id, old, new)``: NULL on the side that lacks the order."""
-    if keys_checked:
-        batch = batch.select(KEY, new.alias("new"))
-    else:
-        batch = _one_row_per_key(batch, new)
     return target.select(KEY, old.alias("old")).join(batch, KEY, "full_outer")
 
 
-def upsert_orders(
-    target: DataFrame, batch: DataFrame, run_ts: datetime, keys_checked: bool = False
-) -> DataFrame:
-    """The curated orders after the batch.
-
-    A known order takes the batch's values and the run's ``updated_at`` and keeps its
-    ``created_at``; a new one gets both stamps; the others stay as they are. Writing
-    the result over the target is refused by Spark, so write it to a new path.
+def _matched_small(target: DataFrame, old: Column, batch: DataFrame) -> DataFrame:
+    """The same without a shuffle of the target, for a batch of bounded size.
 
-    ``keys_checked`` says that the gate has found the batch's keys present and unique;
-    it saves the guard against others, a sort of the batch.
+    The target is read a second time, its key column only, for the keys it shares with
+    the batch; keys are unique, so there are no more of them than rows in the batch.
     """
+    known = target.select(KEY, old.alias("old")).join(F.broadcast(batch), KEY, "left")
+    shared = target.select(KEY).join(F.broadcast(batch.select(KEY)), KEY, "left_semi")
+    added = batch.join(shared, KEY, "left_anti")
+    nothing = F.lit(None).cast(known.schema["old"].dataType)
+    return known.unionByName(added.withColumn("old", nothing))
+
+
+def _merged(matched: DataFrame, run_ts: datetime) -> DataFrame:
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     in_batch = F.col("new").isNotNull()
 
     def pick(name: str) -> Column:
         return F.when(in_batch, F.col("new")[name]).otherwise(F.col("old")[name])
 
-    matched = _matched(
-        target,
-        F.struct(UPDATED_COLUMNS + ["created_at", "updated_at"]),
-        batch,
-        F.struct(UPDATED_COLUMNS),
-        keys_checked,
-    )
     return matched.select(
         KEY,
         *[pick(name).alias(name) for name in UPDATED_COLUMNS],
@@ -78,6 +72,31 @@ def upsert_orders(
     )
 
 
+def upsert_orders(target: DataFrame, batch: DataFrame, run_ts: datetime) -> DataFrame:
+    """The curated orders after the batch.
+
+    A known order takes the batch's values and the run's ``updated_at`` and keeps its
+    ``created_at``; a new one gets both stamps; the others stay as they are. Writing
+    the result over the target is refused by Spark, so write it to a new path.
+    """
+    guarded = _one_row_per_key(batch, F.struct(UPDATED_COLUMNS))
+    return _merged(_matched(target, F.struct(OLD), guarded), run_ts)
+
+
+def upsert_checked_batch(
+    target: DataFrame, batch: DataFrame, run_ts: datetime, batch_rows: int
+) -> DataFrame:
+    """``upsert_orders`` for a batch that has passed the gate.
+
+    Its keys are known to be present and unique, which saves the guard, a sort of the
+    batch. Its text lengths are bounded too, so the row count bounds its size: a small
+    batch is broadcast, and the target is not shuffled.
+    """
+    keyed = batch.select(KEY, F.struct(UPDATED_COLUMNS).alias("new"))
+    matched = _matched_small if batch_rows <= BROADCAST_ROWS else _matched
+    return _merged(matched(target, F.struct(OLD), keyed), run_ts)
+
+
 def upsert_action_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
     """How many orders the merge inserts, updates and keeps: ``(action, order_count)``."""
     action = (
@@ -85,7 +104,7 @@ def upsert_action_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
         .when(F.col("new").isNotNull(), "updated")
         .otherwise("kept")
     )
-    matched = _matched(target, F.lit(True), batch, F.lit(True), keys_checked=False)
+    matched = _matched(target, F.lit(True), _one_row_per_key(batch, F.lit(True)))
     return matched.groupBy(action.alias("action")).agg(F.count("*").alias("order_count"))
 
 

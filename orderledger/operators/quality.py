@@ -50,16 +50,19 @@ def violation_counts(
     return _unpivot(counted, table, {rule: severity for rule, (severity, _) in rules.items()})
 
 
-def duplicate_order_ids(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each ``order_id``; missing keys are equal.
+def _duplicates(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows beyond the first of each key; missing keys are equal.
 
     Counts per key are combined before the shuffle, so a key that fills a third of
     the table costs one row per task.
     """
-    per_key = df.groupBy("order_id").agg(F.count("*").alias("copies"))
-    return per_key.agg(
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicates")
-    )
+    per_key = df.groupBy(key).agg(F.count("*").alias("copies"))
+    extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint")
+    return per_key.agg(extra.alias(name))
+
+
+def duplicate_order_ids(df: DataFrame) -> DataFrame:
+    return _duplicates(df, "order_id", "duplicates")
 
 
 def null_price_count(items: DataFrame) -> DataFrame:
@@ -90,10 +93,16 @@ def price_rules_items() -> dict[str, tuple[str, Column]]:
 
 
 def unique_order_id(orders: DataFrame) -> DataFrame:
-    counted = duplicate_order_ids(orders).withColumnRenamed("duplicates", "order_id_unique")
+    counted = _duplicates(orders, "order_id", "order_id_unique")
     return _unpivot(counted, "orders", {"order_id_unique": HARD})
 
 
+def unique_item_id(items: DataFrame) -> DataFrame:
+    """For items from elsewhere: ``surrogate_item_id`` makes unique ids by itself."""
+    counted = _duplicates(items, "id", "id_unique")
+    return _unpivot(counted, "order_items", {"id_unique": HARD})
+
+
 def quality_orders(orders: DataFrame) -> DataFrame:
     """Key columns present, ``order_id`` unique.
 

@@ -81,7 +81,8 @@ def run_etl(
     checks += quality.enforce(quality.load_checks_items(items))
 
     target = read_current_orders(spark, previous)
-    merged = merge.upsert_orders(target, batch, run_ts, keys_checked=True)
+    order_rows = batch.count()
+    merged = merge.upsert_checked_batch(target, batch, run_ts, order_rows)
     parquet.write_parquet(merged, orders_path)
     orders = parquet.read_parquet(spark, orders_path)
     checks += quality.enforce(quality.quality_foreign_key(items, orders))
@@ -89,7 +90,7 @@ def run_etl(
     run = runs.commit_run(spark, root, previous, run_ts, clean_path, orders_path, items_path)
     return EtlResult(
         run=run,
-        order_rows=batch.count(),
+        order_rows=order_rows,
         item_rows=dropped.pop("kept"),
         dropped_items=dropped,
         checks=checks,

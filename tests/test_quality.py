@@ -122,3 +122,9 @@ def test_missing_keys_count_as_equal(spark):
 
 def test_checks_on_empty_tables(spark):
     quality.enforce(all_checks(orders(spark), items(spark)))
+
+
+def test_repeated_item_ids(spark):
+    ids = spark.createDataFrame([(1,), (1,), (2,)], "id bigint")
+    assert fired(quality.unique_item_id(ids)) == {"id_unique"}
+    assert not fired(quality.unique_item_id(ids.distinct()))

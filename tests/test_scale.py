@@ -115,6 +115,19 @@ def test_merge_shuffles_each_side_once(spark, tables, no_broadcast):
     assert counts.count("ReadSchema: struct<order_id:string>") == 2
 
 
+def test_a_small_checked_batch_leaves_the_target_unshuffled(spark, tables, no_broadcast):
+    orders, _ = tables
+    target = cleaning.stamp_audit_columns(orders, DAY)
+    small = planned(merge.upsert_checked_batch(target, orders.limit(10), DAY, 10))
+    known, added = small.split("LeftAnti")
+    assert "BroadcastHashJoin [order_id" in known and "LeftOuter" in known
+    assert "Exchange hashpartitioning" not in known
+    assert "LeftSemi" in added
+    large = planned(merge.upsert_checked_batch(target, orders, DAY, merge.BROADCAST_ROWS + 1))
+    assert "FullOuter" in large and "Broadcast" not in large and "Aggregate" not in large
+    assert len(shuffles(large)) == 2
+
+
 def test_duplicates_are_combined_before_the_shuffle(spark, tables):
     plan = planned(quality.duplicate_order_ids(tables[1]))
     below = plan[plan.index("Exchange hashpartitioning(order_id") :]
