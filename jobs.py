@@ -14,13 +14,20 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
+from orderledger.functions import TIMESTAMP_TEXT
 from orderledger.plans import daily_report, etl
 from orderledger.sources import parquet, runs
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     result = etl.run_etl(
-        spark, args.orders, args.items, args.root, args.run_ts, multi_line=not args.single_line
+        spark,
+        args.orders,
+        args.items,
+        args.root,
+        args.run_ts,
+        multi_line=not args.single_line,
+        accepted=args.timestamps,
     )
     print(f"run {result.run.run_number}: merged {result.order_rows} orders")
     print(f"loaded {result.item_rows} items, dropped {result.dropped_items}")
@@ -59,6 +66,11 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         action="store_true",
         help="no cell holds a line break, so large files can be split",
     )
+    job.add_argument(
+        "--timestamps",
+        default=TIMESTAMP_TEXT,
+        help="regular expression of the accepted timestamp texts",
+    )
     job.set_defaults(run=load)
 
     job = jobs.add_parser("report")

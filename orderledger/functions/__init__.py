@@ -2,10 +2,11 @@
 
 from .money import MONEY_ISSUES, mean_money, money_issue, parse_money
 from .text import missing_if_token
-from .times import parse_timestamp
+from .times import TIMESTAMP_TEXT, parse_timestamp
 
 __all__ = [
     "MONEY_ISSUES",
+    "TIMESTAMP_TEXT",
     "mean_money",
     "missing_if_token",
     "money_issue",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     MONEY_ISSUES,
+    TIMESTAMP_TEXT,
     missing_if_token,
     money_issue,
     parse_money,
@@ -30,12 +31,14 @@ def normalize_null_tokens(df: DataFrame, columns: list[str] | None = None) -> Da
     return df.withColumns({name: missing_if_token(F.col(name)) for name in columns})
 
 
-def parse_order_timestamps(orders: DataFrame) -> DataFrame:
-    """Parse the timestamp columns; bad text becomes NULL."""
+def parse_order_timestamps(orders: DataFrame, accepted: str = TIMESTAMP_TEXT) -> DataFrame:
+    """Parse the timestamp columns; text of a form not accepted becomes NULL."""
     present = REQUIRED_TIMESTAMPS + [
         name for name in OPTIONAL_TIMESTAMPS if name in orders.columns
     ]
-    return orders.withColumns({name: parse_timestamp(F.col(name)) for name in present})
+    return orders.withColumns(
+        {name: parse_timestamp(F.col(name), accepted) for name in present}
+    )
 
 
 def fill_delivery_date(orders: DataFrame) -> DataFrame:
@@ -107,14 +110,14 @@ def default_freight(items: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(raw: DataFrame) -> DataFrame:
+def clean_orders(raw: DataFrame, accepted: str = TIMESTAMP_TEXT) -> DataFrame:
     """Raw text orders to the curated columns.
 
     Null tokens are replaced in the text columns only: none of them is a timestamp, so
     parsing makes them NULL by itself.
     """
     named = normalize_null_tokens(raw, ["order_id", "customer_id", "order_status"])
-    return narrow_orders(fill_delivery_date(parse_order_timestamps(named)))
+    return narrow_orders(fill_delivery_date(parse_order_timestamps(named, accepted)))
 
 
 def coerce_items(raw: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import MONEY_ISSUES
+from ..functions import MONEY_ISSUES, TIMESTAMP_TEXT
 from ..operators import cleaning, merge, quality
 from ..sources import csv, parquet, runs
 
@@ -57,6 +57,7 @@ def run_etl(
     root: str,
     run_ts: datetime,
     multi_line: bool = True,
+    accepted: str = TIMESTAMP_TEXT,
 ) -> EtlResult:
     """Clean, check, merge the orders, reload the items, then make the run current.
 
@@ -71,7 +72,7 @@ def run_etl(
     )
 
     raw_orders = csv.read_raw_orders(spark, orders_csv, multi_line)
-    parquet.write_parquet(cleaning.clean_orders(raw_orders), clean_path)
+    parquet.write_parquet(cleaning.clean_orders(raw_orders, accepted), clean_path)
     batch = parquet.read_parquet(spark, clean_path)
     checks = quality.enforce(quality.load_checks_orders(batch))
 

@@ -56,6 +56,21 @@ def test_two_loads(spark, load):
     assert {r.order_id for r in clean.collect()} == {"b", "n"}
 
 
+def test_another_timestamp_form(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text(f"{ORDERS}\na,c,created,2020-01-01,2020-01-05\n")
+    (tmp_path / "items.csv").write_text(f"{ITEMS}\n")
+    run = etl.run_etl(
+        spark,
+        str(tmp_path / "orders.csv"),
+        str(tmp_path / "items.csv"),
+        str(tmp_path / "curated"),
+        FIRST,
+        accepted=r"\A\d{4}-\d\d-\d\d\z",
+    ).run
+    row = etl.read_current_orders(spark, run).first()
+    assert row.order_delivered_customer_date == datetime(2020, 1, 5)
+
+
 def test_an_empty_item_batch_gives_an_empty_table(spark, load):
     load(GOOD_ORDERS, GOOD_ITEMS, FIRST)
     result = load(GOOD_ORDERS, [], SECOND)
@@ -70,6 +85,7 @@ def test_an_empty_item_batch_gives_an_empty_table(spark, load):
         (["NULL,c,created,2020-01-01 10:00:00,"], [], "order_id_not_null"),
         (["a,c,lost,2020-01-01 10:00:00,"], [], "order_status_in_domain"),
         (["a,c,created,2020-01-01,"], [], "order_purchase_timestamp_not_null"),
+        (["a,c,created,bad,bad"], [], "order_purchase_timestamp_not_null"),
         (GOOD_ORDERS, ["z,p,1,1"], "order_id_known"),
         (GOOD_ORDERS, ["a,p,1,-1"], "freight_value_negative"),
         (GOOD_ORDERS, ["a,NA,1,1"], "product_id_not_null"),
