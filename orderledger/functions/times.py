@@ -5,11 +5,21 @@ from pyspark.sql import functions as F
 
 # The one accepted timestamp form, and the range of a 64-bit
 # nanosecond timestamp (9999-12-31 as "never" falls outside and is missing).
-TIMESTAMP_TEXT = r"\A\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
+TIMESTAMP_TEXT = r"\A\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}\z"
 EARLIEST = "1677-09-21 00:12:44"
 LATEST = "2262-04-11 23:47:16"
 
 
+def _cast(text: Column) -> Column:
+    """Spark's cast, which takes one blank and no leap second, and then those two."""
+    spaced = F.regexp_replace(text, r"\s+", " ")
+    ten_less = F.regexp_replace(spaced, r"(:\d{1,2}):6([01])\z", "$1:5$2")
+    leap = ten_less.try_cast("timestamp_ntz") + F.expr("INTERVAL '10' SECOND")
+    return F.coalesce(
+        text.try_cast("timestamp_ntz"), spaced.try_cast("timestamp_ntz"), leap
+    )
+
+
 def parse_timestamp(text: Column, accepted: str = TIMESTAMP_TEXT) -> Column:
     """Zone-free timestamp, or NULL where the text is bad.
 
@@ -18,7 +28,7 @@ def parse_timestamp(text: Column, accepted: str = TIMESTAMP_TEXT) -> Column:
     to TIMESTAMP_NTZ: ``try_to_timestamp`` reads in the session's zone and moves
     wall-clock times that fall into a daylight-saving gap.
     """
-    parsed = text.try_cast("timestamp_ntz")
+    parsed = _cast(text)
     in_range = parsed.between(
         F.lit(EARLIEST).cast("timestamp_ntz"), F.lit(LATEST).cast("timestamp_ntz")
     )

@@ -60,6 +60,14 @@ def daily_revenue_view(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def _totals(days: DataFrame) -> DataFrame:
+    return days.agg(
+        F.count("*").alias("report_days"),
+        F.sum(F.col("daily_revenue").cast("decimal(20,2)")).alias("total_revenue"),
+        F.sum("order_count").alias("total_orders"),
+    )
+
+
 def _as_checks(totals: DataFrame, value: str) -> DataFrame:
     return totals.select(
         F.inline(
@@ -79,19 +87,15 @@ def _as_checks(totals: DataFrame, value: str) -> DataFrame:
 def report_reconcile(report: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """A written report against its source: ``(check_name, reported, expected, matches)``.
 
-    An empty report never matches.
+    An empty report never matches. The report holds doubles, which beyond 9e13 a day no
+    longer tell single cents apart, so the source's days are read as doubles as well.
     """
-    reported = report.agg(
-        F.count("*").alias("report_days"),
-        F.sum(F.col("daily_revenue").cast("decimal(20,2)")).alias("total_revenue"),
-        F.sum("order_count").alias("total_orders"),
+    expected = _per_day(orders, items).select(
+        F.col("amount").cast("double").alias("daily_revenue"), "order_count"
     )
-    expected = _per_day(orders, items).agg(
-        F.count("*").alias("report_days"),
-        F.sum("amount").alias("total_revenue"),
-        F.sum("order_count").alias("total_orders"),
+    both = _as_checks(_totals(report), "reported").join(
+        _as_checks(_totals(expected), "expected"), "check_name"
     )
-    both = _as_checks(reported, "reported").join(_as_checks(expected, "expected"), "check_name")
     nonempty = (F.col("check_name") != "report_days") | (F.col("reported") > 0)
     return both.withColumn(
         "matches", F.col("reported").eqNullSafe(F.col("expected")) & nonempty

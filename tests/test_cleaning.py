@@ -61,6 +61,12 @@ TIMES = {
     "2018-1-2 3:04:05": datetime(2018, 1, 2, 3, 4, 5),
     # Falls into a daylight-saving gap of several zones.
     "2018-03-25 02:30:00": datetime(2018, 3, 25, 2, 30),
+    "2018-01-02 \t 03:04:05": datetime(2018, 1, 2, 3, 4, 5),
+    "2018-12-31  23:59:60": datetime(2019, 1, 1),
+    "2018-01-02 03:04:61": datetime(2018, 1, 2, 3, 5, 1),
+    "2018-01-02 03:04:62": None,
+    "2018-01-02 03:60:00": None,
+    "2018-01-02 03:60:60": None,
     "2262-04-11 23:47:16": datetime(2262, 4, 11, 23, 47, 16),
     "1677-09-21 00:12:44": datetime(1677, 9, 21, 0, 12, 44),
     "2262-04-11 23:47:17": None,

@@ -19,7 +19,9 @@ CENT = Decimal("0.01")
 
 
 def orders(spark, rows):
-    full = [(key, "c", status, day and datetime(2020, 1, day, 5), None) for key, status, day in rows]
+    full = [
+        (key, "c", status, day and datetime(2020, 1, day, 5), None) for key, status, day in rows
+    ]
     return spark.createDataFrame(full, CLEAN_ORDERS)
 
 
