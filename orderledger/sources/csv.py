@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import ITEM_COLUMNS, ORDER_COLUMNS
 
+MISFIT = "_row_of_another_shape"
 REPORT_SCHEMA = "report_date DATE, daily_revenue DOUBLE, order_count BIGINT"
 
 
@@ -15,24 +17,43 @@ def read_csv(
 ) -> DataFrame:
     """Raw cells as strings, bound by header name.
 
-    ``multi_line`` reads line breaks inside quotes, and makes each file one task:
-    turn it off for huge files without such cells. Every cell of a row is parsed even
-    if few are selected, and every file's header is compared with the first one's, so
-    that a row or file of another shape fails the job instead of shifting columns.
+    ``multi_line`` reads line breaks inside quotes, and makes each file one task: turn
+    it off for huge files without such cells. Every file's header is compared with the
+    first one's. A row with too many cells fails the job. One with too few is filled
+    with NULL, but with ``multi_line`` off it fails too: it may be part of a broken row.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
         .option("enforceSchema", False)
-        .option("columnPruning", False)
-        .csv(path)
+        .option("columnPruning", False)  # else cells beyond the selected ones go unseen
     )
-    absent = [name for name in required if name not in raw.columns]
+    header = reader.csv(path).schema
+    absent = [name for name in required if name not in header.names]
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}")
-    return raw
+    if not multi_line:
+        return reader.option("mode", "FAILFAST").schema(header).csv(path)
+
+    raw = (
+        reader.option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MISFIT)
+        .schema(T.StructType(header.fields + [T.StructField(MISFIT, T.StringType())]))
+        .csv(path)
+    )
+    # Only rows of another shape carry their text; one cell more than the header is read.
+    # The message names a cell too, since Spark refuses to read that text alone.
+    cells = F.from_csv(
+        MISFIT,
+        ", ".join(f"c{n} STRING" for n in range(len(header) + 1)),
+        {"escape": '"', "multiLine": "true"},
+    )
+    too_long = F.when(
+        cells[f"c{len(header)}"].isNotNull(),
+        F.raise_error(F.concat_ws(" ", F.lit("too many cells at"), header.names[0], MISFIT)),
+    )
+    return raw.filter(too_long.isNull()).drop(MISFIT)
 
 
 def read_raw_orders(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
