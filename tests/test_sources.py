@@ -115,6 +115,55 @@ def test_jdbc_split_options():
     }
 
 
+class Recorder:
+    """Stands for a reader or writer and notes what it is told: no database is started."""
+
+    def __init__(self):
+        self.told = {}
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def options(self, **options):
+        self.told |= options
+        return self
+
+    def mode(self, mode):
+        self.told["mode"] = mode
+        return self
+
+    def load(self):
+        return SimpleNamespace(first=lambda: {"lo": 1, "hi": 9})
+
+    def save(self):
+        self.told["saved"] = True
+
+
+def test_jdbc_requests():
+    read, write = Recorder(), Recorder()
+    login = {"user": "u", "password": "p", "driver": "d"}
+    session = SimpleNamespace(read=read)
+    assert jdbc.key_bounds(session, "url", "shop.order_items", "id", login) == (1, 9)
+    assert read.told["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM shop.order_items"
+
+    read = Recorder()
+    split = jdbc.key_range_options("id", 1, 9, 4)
+    jdbc.read_jdbc(SimpleNamespace(read=read), "url", "shop.order_items", login, split)
+    expected = {"format": "jdbc", "url": "url", "dbtable": "shop.order_items"}
+    assert read.told == expected | login | split | {"fetchsize": "10000"}
+
+    jdbc.write_jdbc(SimpleNamespace(write=write), "url", "staging", login)
+    assert write.told == expected | login | {
+        "dbtable": "staging",
+        "truncate": "true",
+        "batchsize": "10000",
+        "numPartitions": "16",
+        "mode": "overwrite",
+        "saved": True,
+    }
+
+
 def test_run_log_follows_the_last_commit(spark):
     root = runs.new_path(spark, "curated")
     assert runs.current_run(spark, root) is None
