@@ -21,6 +21,9 @@ from orderledger.sources import csv, parquet, runs  # noqa: E402
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+ALL_ORACLES: dict[str, str] = dict(ORACLES)
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -376,6 +379,33 @@ def daily_report_job(spark, sf_dir):
     return csv.read_report(spark, path)
 
 
+# The operators for training text and their pipeline, if they are there
+
+
+def _absent(error: ModuleNotFoundError, *names: str) -> bool:
+    if error.name not in names:
+        raise error
+    return True
+
+
+try:
+    from orderledger.llm import queries as llm_queries
+
+    QUERIES.update(llm_queries.QUERIES)
+    ALL_ORACLES.update(llm_queries.ORACLES)
+except ModuleNotFoundError as error:
+    _absent(error, "orderledger.llm")
+
+try:
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ALL_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+except ModuleNotFoundError as error:
+    _absent(error, "corpus_pipeline", "orderledger.llm")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The daily revenue report on the smallest tables."""
     return QUERIES["daily_revenue_report"](spark, "/root/testdata/sf0.001")
@@ -386,4 +416,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(ALL_ORACLES)
