@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderledger.llm import mixing, pii, quality_rules, sentencepiece_codec
+from orderledger.llm import mixing, near_duplicates, pii, quality_rules, sentencepiece_codec
 from orderledger.llm.common import table, words_of, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
