@@ -164,7 +164,7 @@ def _candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _spanning(reps: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def spanning_edges(reps: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     """Edges that span the components of the edges (a, b), each to its smallest member."""
     order = np.argsort(reps, kind="stable")
     place = np.empty(len(reps), np.int64)
@@ -179,7 +179,7 @@ def _spanning(reps: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 def _candidate_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in whole_tasks(batches):
-        yield _spanning(table["rep"].to_numpy(), *_candidates(table))
+        yield spanning_edges(table["rep"].to_numpy(), *_candidates(table))
 
 
 def _similar(a: set, b: set) -> bool:
@@ -216,7 +216,7 @@ def _confirmed_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
             if root(x) != root(y) and _similar(members(x), members(y)):
                 parent[root(x)] = root(y)
         roots = np.array([root(x) for x in range(len(reps))], np.int64)
-        yield _spanning(reps, np.arange(len(reps)), roots)
+        yield spanning_edges(reps, np.arange(len(reps)), roots)
 
 
 def _set_maker(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderledger.llm import mixing, near_duplicates, pii, quality_rules, sentencepiece_codec
+from orderledger.llm import (
+    line_dedup,
+    mixing,
+    near_duplicates,
+    pii,
+    quality_rules,
+    sentencepiece_codec,
+)
 from orderledger.llm.common import table, words_of, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +136,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
+    return verdicts.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"),
+    )
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
