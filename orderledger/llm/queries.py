@@ -13,6 +13,7 @@ from orderledger.llm import (
     near_duplicates,
     pii,
     quality_rules,
+    repeated_passages,
     sentencepiece_codec,
 )
 from orderledger.llm.common import table, words_of, written
@@ -150,3 +151,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeated_passages.repeated_passages(table(spark, sf_dir, "documents"))
+    lengths = F.transform("spans", lambda span: span["end"] - span["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda n, x: n + x).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
