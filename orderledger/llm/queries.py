@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderledger.llm import (
+    language_id,
     line_dedup,
     mixing,
     near_duplicates,
@@ -148,6 +149,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
