@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderledger.llm import (
     embedding_dedup,
+    html_extraction,
     language_id,
     line_dedup,
     mixing,
@@ -155,6 +156,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extraction.extract_text(table(spark, sf_dir, "pages"))
+    return texts.select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 @query
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
