@@ -202,34 +202,47 @@ def held_out(id_column: Column) -> Column:
 
 def _predictor(network: Network | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_groups(batches):
+        for rows, texts in text_groups(batches):
             found, scores = predict(network, texts)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(found, pa.string()), pa.array(scores)],
-                names=["id", "lang_pred", "score"],
+                [rows, pa.array(found, pa.string()), pa.array(scores)],
+                names=["row", "lang_pred", "score"],
             )
 
     return run
 
 
-def identify(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+def predicted(
+    df: DataFrame,
+    carried: list[str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
 ) -> DataFrame:
-    """Id, held_out, lang_pred and score (0 to 1) of every row.
+    """`row` (the carried columns), lang_pred and score (0 to 1) for every row.
 
     Learns from rows with an id and a language that are not held out; a prediction sees the text
     alone. A NULL text or one without a letter is `und` with score 0, and so is every text if
-    there is nothing to learn from. Repeated rows and NULL ids are rows like others; other columns
-    are left out; an empty table gives an empty table.
+    there is nothing to learn from. Repeated rows and NULL ids are rows like others; columns ride
+    along in `row` whatever their names; an empty table gives an empty table.
     """
-    rows = df.select(
+    labelled = df.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    network = train(*training_sample(rows.filter(~held_out(F.col("id")))))
-    kind = rows.schema["id"].dataType.simpleString()
-    found = rows.select("id", "text").mapInArrow(
-        _predictor(network), f"id {kind}, lang_pred string, score double"
+    network = train(*training_sample(labelled.filter(~held_out(F.col("id")))))
+    rows = df.select(
+        F.struct(*(F.col(f"`{name}`") for name in carried)).alias("row"),
+        F.col(text_col).alias("text"),
     )
-    return found.select(
-        F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score"
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_predictor(network), f"row {kind}, lang_pred string, score double")
+
+
+def identify(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """Id, held_out, lang_pred and score of every row; see `predicted`."""
+    key = F.col(f"row.{id_col}")
+    return predicted(df, [id_col], id_col, text_col, lang_col).select(
+        key.alias(id_col), held_out(key).alias("held_out"), "lang_pred", "score"
     )

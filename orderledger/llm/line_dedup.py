@@ -92,7 +92,7 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     copies of frequent lines out of the exchange of buckets.
     """
     seen: set[int] = set()
-    for ids, texts in text_groups(batches):
+    for docs, texts in text_groups(batches):
         counts, places, digests, ends, repeats = [], [], [], [0], []
         fresh: dict[int, str] = {}
         for text in texts:
@@ -131,13 +131,12 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
         yield pa.RecordBatch.from_arrays(
             [
-                ids,
-                pa.array([_signed(xxhash.xxh3_64_intdigest(text)) for text in texts], pa.int64()),
+                docs,
                 pa.array(counts, pa.int64()),
                 pa.ListArray.from_arrays(np.array(ends, np.int32), entries),
                 pa.array(repeats, pa.list_(pa.int32())),
             ],
-            names=["id", "text_hash", "n_lines", "lines", "repeats"],
+            names=["doc", "n_lines", "lines", "repeats"],
         )
 
 
@@ -212,13 +211,13 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     empty table gives an empty table. Equal lines are told by a 128-bit digest.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    found = written(
-        docs.mapInArrow(
-            _line_table,
-            f"id bigint, text_hash bigint, n_lines bigint, lines {LINES}, repeats array<int>",
-        ),
-        "lines",
+    key = F.struct("id", F.xxhash64("text").alias("text_hash"))
+    found = docs.select(key, "text").mapInArrow(
+        _line_table,
+        "doc struct<id:bigint,text_hash:bigint>, n_lines bigint, "
+        f"lines {LINES}, repeats array<int>",
     )
+    found = written(found.select("doc.*", "n_lines", "lines", "repeats"), "lines")
     lines = found.filter("id IS NOT NULL").select(
         "id", "text_hash", F.explode("lines").alias("line")
     )
@@ -272,3 +271,34 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             F.when(F.col("id").isNull(), none).otherwise(F.sort_array(removed)).alias("removed"),
         )
     )
+
+
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`row` (the whole input row) and `kept_text`, the text without the lines that go.
+
+    A document that has lost lines and has no word left is left out.
+    """
+    gone = (
+        line_verdicts(df, id_col, text_col)
+        .filter("size(removed) > 0")
+        .select(F.col(id_col).alias("gone"), F.col("text_hash").alias("gone_hash"), "removed")
+        .dropDuplicates(["gone", "gone_hash"])
+    )
+    rows = df.select(
+        F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("row"),
+        F.col(id_col).alias("id"),
+        F.col(text_col).alias("text"),
+    )
+    same = (F.col("id") == F.col("gone")) & (F.xxhash64("text") == F.col("gone_hash"))
+    lines = F.split("text", "\n")
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
+    left = F.array_join(F.transform(places, lambda place: F.get(F.col("lines"), place)), "\n")
+    return (
+        rows.join(gone, same, "left")
+        .withColumn("lines", F.when(F.col("removed").isNotNull(), lines))
+        .withColumn(
+            "kept_text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(left)
+        )
+        .filter("removed IS NULL OR kept_text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
+        .select("row", "kept_text")
+    )

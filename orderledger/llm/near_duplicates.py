@@ -92,7 +92,7 @@ def _sketcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_set_key(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([row.tobytes() for row in sketches], pa.binary()),
             ],
-            names=["id", "n", "set_key", "sketch"],
+            names=["doc", "n", "set_key", "sketch"],
         )
 
 
@@ -263,7 +263,7 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id (a whole number), n_shingles, component_id and kept, for every row.
+    """Id (a whole number), n_shingles, component_id, kept and text_hash, for every row.
 
     component_id is the smallest id reachable over links; kept is true for that id. Texts that
     are NULL or have no word link with nothing. A row without an id links with nothing, has no
@@ -271,10 +271,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are left out; an empty table gives an empty table.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    sketched = written(
-        docs.mapInArrow(_sketcher, "id bigint, n bigint, set_key binary, sketch binary"),
-        "sketches",
+    key = F.struct("id", F.xxhash64("text").alias("text_hash"))
+    sketches = docs.select(key, "text").mapInArrow(
+        _sketcher,
+        "doc struct<id:bigint,text_hash:bigint>, n bigint, set_key binary, sketch binary",
     )
+    sketched = written(sketches.select("doc.*", "n", "set_key", "sketch"), "sketches")
     full = "id IS NOT NULL AND set_key IS NOT NULL"
     first = F.min(F.struct("id", "n", "sketch")).alias("first")
     classes = written(
@@ -299,11 +301,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         classes.join(found, F.col("rep") == F.col("id"), "left").select("set_key", component),
         "components",
     )
-    linked = sketched.filter(full).join(of_class, "set_key").select("id", "n", "component_id")
-    alone = sketched.filter(f"NOT ({full})").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(
+    wanted = ["id", "n", "component_id", "text_hash"]
+    linked = sketched.filter(full).join(of_class, "set_key").select(wanted)
+    alone = sketched.filter(f"NOT ({full})").withColumn("component_id", F.col("id"))
+    return linked.unionByName(alone.select(wanted)).select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        "text_hash",
     )
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that are kept, with all their columns."""
+    found = near_duplicates(df, id_col, text_col).filter("NOT kept")
+    gone = found.select(F.col(id_col).alias("gone"), F.col("text_hash").alias("gone_hash"))
+    same = (F.col(f"docs.`{id_col}`") == F.col("gone")) & (
+        F.xxhash64(F.col(f"docs.`{text_col}`")) == F.col("gone_hash")
+    )
+    return df.alias("docs").join(gone.distinct(), same, "left_anti")
