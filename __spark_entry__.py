@@ -40,7 +40,7 @@ def orders_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_items(inputs.raw_items(spark, sf_dir))
+    return cleaning.narrow_items(cleaning.clean_items(inputs.raw_items(spark, sf_dir)))
 
 
 def coerced_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +67,7 @@ def scan_csv_items(spark, sf_dir):
 
 @query
 def scan_parquet_orders(spark, sf_dir):
-    orders = parquet.read_parquet(spark, f"{sf_dir}/orders.parquet")
-    return orders.select("o_orderkey", "o_orderdate")
+    return parquet.read_parquet(spark, f"{sf_dir}/orders.parquet")
 
 
 @query
@@ -107,9 +106,9 @@ def sink_csv_report(spark, sf_dir):
 def report_reconcile(spark, sf_dir):
     path = runs.new_path(spark, "report")
     orders, items = orders_of(spark, sf_dir), items_of(spark, sf_dir)
-    csv.write_report(reports.daily_revenue_report(orders, items), path)
+    days = daily_report.write_daily_report(orders, items, path)
     return money_as_double(
-        reports.report_reconcile(csv.read_report(spark, path), orders, items)
+        reports.report_reconcile(csv.read_report(spark, path), days, orders, items)
     )
 
 
@@ -123,7 +122,13 @@ def normalize_null_tokens(spark, sf_dir):
 
 @query
 def parse_order_timestamps(spark, sf_dir):
-    return cleaning.parse_order_timestamps(inputs.varied_timestamps(spark, sf_dir))
+    return cleaning.parse_order_timestamps(inputs.optional_timestamps(spark, sf_dir))
+
+
+@query
+def parse_timestamps_by_pattern(spark, sf_dir):
+    slashed = inputs.slashed_timestamps(spark, sf_dir)
+    return cleaning.parse_order_timestamps(slashed, "MM/dd/yyyy H:m:s")
 
 
 @query
@@ -134,8 +139,7 @@ def fill_delivery_date(spark, sf_dir):
 
 @query
 def narrow_orders(spark, sf_dir):
-    wide = inputs.raw_orders(spark, sf_dir).withColumn("order_approved_at", F.lit("x"))
-    return cleaning.narrow_orders(wide)
+    return cleaning.narrow_orders(inputs.optional_timestamps(spark, sf_dir))
 
 
 @query
@@ -146,13 +150,13 @@ def coerce_item_numbers(spark, sf_dir):
 @query
 def drop_bad_prices(spark, sf_dir):
     kept = cleaning.drop_bad_prices(coerced_of(spark, sf_dir))
-    return money_as_double(kept.drop("price_issue"))
+    return money_as_double(kept.drop("price_issue", "freight_issue"))
 
 
 @query
 def drop_negative_prices(spark, sf_dir):
     kept = cleaning.drop_negative_prices(coerced_of(spark, sf_dir))
-    return money_as_double(kept.drop("price_issue"))
+    return money_as_double(kept.drop("price_issue", "freight_issue"))
 
 
 @query
@@ -179,7 +183,12 @@ def stamp_audit_columns(spark, sf_dir):
 
 @query
 def surrogate_item_id(spark, sf_dir):
-    return money_as_double(cleaning.surrogate_item_id(items_of(spark, sf_dir)))
+    # The ids depend on the partitioning, so what is compared is how many there are.
+    return cleaning.surrogate_item_id(items_of(spark, sf_dir)).agg(
+        F.count("*").alias("item_count"),
+        F.count_distinct("id").alias("id_count"),
+        F.count_if(F.col("id").isNull()).alias("missing_ids"),
+    )
 
 
 @query
@@ -189,7 +198,7 @@ def clean_orders(spark, sf_dir):
 
 @query
 def clean_items(spark, sf_dir):
-    return money_as_double(items_of(spark, sf_dir))
+    return money_as_double(cleaning.clean_items(inputs.varied_prices(spark, sf_dir)))
 
 
 # Quality
@@ -197,7 +206,7 @@ def clean_items(spark, sf_dir):
 
 @query
 def duplicate_order_ids(spark, sf_dir):
-    return quality.duplicate_order_ids(inputs.raw_items(spark, sf_dir))
+    return quality.duplicate_order_ids(inputs.keyless_items(spark, sf_dir))
 
 
 @query
@@ -227,13 +236,18 @@ def quality_status_domain(spark, sf_dir):
 
 @query
 def quality_constraints(spark, sf_dir):
-    orders = cleaning.clean_orders(inputs.varied_timestamps(spark, sf_dir))
-    return quality.quality_constraints(orders, coerced_of(spark, sf_dir))
+    return quality.quality_constraints(
+        cleaning.clean_orders(inputs.broken_orders(spark, sf_dir)),
+        cleaning.coerce_items(inputs.broken_items(spark, sf_dir)),
+    )
 
 
 @query
 def quality_item_ids(spark, sf_dir):
-    return quality.unique_item_id(cleaning.surrogate_item_id(items_of(spark, sf_dir)))
+    # Products stand for ids that repeat.
+    return quality.unique_item_id(
+        items_of(spark, sf_dir).select(F.col("product_id").cast("bigint").alias("id"))
+    )
 
 
 @query
@@ -287,14 +301,6 @@ def upsert_orders(spark, sf_dir):
     return merge.upsert_orders(target, batch, inputs.SECOND_RUN)
 
 
-@query
-def upsert_checked_batch(spark, sf_dir):
-    target = cleaning.stamp_audit_columns(orders_of(spark, sf_dir), inputs.FIRST_RUN)
-    batch = cleaning.clean_orders(inputs.batch_orders(spark, sf_dir))
-    quality.enforce(quality.load_checks_orders(batch))
-    return merge.upsert_checked_batch(target, batch, inputs.SECOND_RUN, batch.count())
-
-
 @query
 def upsert_action_counts(spark, sf_dir):
     target = cleaning.stamp_audit_columns(orders_of(spark, sf_dir), inputs.FIRST_RUN)
@@ -317,9 +323,9 @@ def daily_revenue_view(spark, sf_dir):
 
 @query
 def daily_revenue_view_by_name(spark, sf_dir):
-    reports.daily_revenue_view(
-        orders_of(spark, sf_dir), items_of(spark, sf_dir)
-    ).createOrReplaceTempView("v_daily_revenue")
+    root = runs.new_path(spark, "curated")
+    _load_twice(spark, sf_dir, root)
+    daily_report.create_revenue_view(spark, root)
     return spark.sql("SELECT * FROM v_daily_revenue")
 
 
@@ -349,12 +355,17 @@ def _load(spark, raw_orders, raw_items, root, run_ts):
     return etl.run_etl(spark, orders_csv, items_csv, root, run_ts).run
 
 
-@query
-def run_etl_orders(spark, sf_dir):
-    root = runs.new_path(spark, "curated")
+def _load_twice(spark, sf_dir, root):
+    """All orders, then a batch that changes their statuses and brings new ones."""
     items = inputs.raw_items(spark, sf_dir)
     _load(spark, inputs.raw_orders(spark, sf_dir), items, root, inputs.FIRST_RUN)
     _load(spark, inputs.batch_orders(spark, sf_dir), items, root, inputs.SECOND_RUN)
+
+
+@query
+def run_etl_orders(spark, sf_dir):
+    root = runs.new_path(spark, "curated")
+    _load_twice(spark, sf_dir, root)
     return etl.read_current_orders(spark, runs.current_run(spark, root))
 
 
@@ -374,8 +385,8 @@ def daily_report_job(spark, sf_dir):
     orders = parquet.read_parquet(spark, run.orders_clean_path)
     items = parquet.read_parquet(spark, run.items_path)
     path = runs.new_path(spark, "report")
-    daily_report.write_daily_report(orders, items, path)
-    daily_report.verify_daily_report(spark, path, orders, items)
+    days = daily_report.write_daily_report(orders, items, path)
+    daily_report.verify_daily_report(spark, path, days, orders, items)
     return csv.read_report(spark, path)
 
 

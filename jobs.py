@@ -14,7 +14,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from orderledger.functions import TIMESTAMP_TEXT
 from orderledger.plans import daily_report, etl
 from orderledger.sources import parquet, runs
 
@@ -26,8 +25,8 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
         args.items,
         args.root,
         args.run_ts,
-        multi_line=not args.single_line,
-        accepted=args.timestamps,
+        multi_line=args.multi_line,
+        pattern=args.timestamps,
     )
     print(f"run {result.run.run_number}: merged {result.order_rows} orders")
     print(f"loaded {result.item_rows} items, dropped {result.dropped_items}")
@@ -43,7 +42,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     orders = parquet.read_parquet(spark, run.orders_clean_path)
     items = parquet.read_parquet(spark, run.items_path)
     days = daily_report.write_daily_report(orders, items, args.out)
-    daily_report.verify_daily_report(spark, args.out, orders, items)
+    daily_report.verify_daily_report(spark, args.out, days, orders, items)
     print(f"wrote and verified {days} days")
 
 
@@ -62,14 +61,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         help="audit time, UTC now by default",
     )
     job.add_argument(
-        "--single-line",
+        "--multi-line",
         action="store_true",
-        help="no cell holds a line break, so large files can be split",
+        help="cells may hold line breaks; each file is then read by one task",
     )
     job.add_argument(
         "--timestamps",
-        default=TIMESTAMP_TEXT,
-        help="regular expression of the accepted timestamp texts",
+        help="datetime pattern of the timestamps, MM/dd/yyyy H:m:s say; ISO without it",
     )
     job.set_defaults(run=load)
 

@@ -27,7 +27,7 @@ def _time(column: str) -> str:
 def _money(column: str) -> str:
     return (
         f"CASE WHEN regexp_full_match({column}, {_NUMBER}) "
-        f"THEN TRY_CAST(TRIM({column}) AS DECIMAL(10,2)) END"
+        f"THEN TRY_CAST(TRIM({column}) AS DECIMAL(18,2)) END"
     )
 
 
@@ -38,14 +38,25 @@ def _issue(column: str) -> str:
     return (
         f"CASE WHEN {column} IS NULL OR NOT ({number} OR {infinite}) THEN 'unparseable' "
         f"WHEN {value} < 0 THEN 'negative' "
-        f"WHEN {_money(column)} IS NULL THEN 'out_of_range' END"
+        f"WHEN {_money(column)} IS NULL OR {_money(column)} > 99999999.99 "
+        "THEN 'out_of_range' END"
+    )
+
+
+def _range_issue(column: str) -> str:
+    number = f"regexp_full_match({column}, {_NUMBER})"
+    infinite = f"regexp_full_match({column}, {_INFINITE}, 'i')"
+    return (
+        f"CASE WHEN ({number} OR {infinite}) AND ({_money(column)} IS NULL "
+        f"OR ABS({_money(column)}) > 99999999.99) THEN 'out_of_range' END"
     )
 
 
 def _coerced(source: str) -> str:
     return (
-        f"SELECT order_id, product_id, {_money('price')} AS price, "
-        f"{_money('freight_value')} AS freight_value, {_issue('price')} AS price_issue "
+        f"SELECT {_known('order_id')} AS order_id, {_known('product_id')} AS product_id, "
+        f"{_money('price')} AS price, {_money('freight_value')} AS freight_value, "
+        f"{_issue('price')} AS price_issue, {_range_issue('freight_value')} AS freight_issue "
         f"FROM {source}"
     )
 
@@ -67,6 +78,13 @@ _VIEWS = {
     "varied_prices": inputs.VARIED_PRICES.format(lineitem="lineitem"),
     "token_items": inputs.TOKEN_ITEMS.format(raw_items="raw_items"),
     "flawed_orders": inputs.FLAWED_ORDERS.format(raw_orders="raw_orders"),
+    "optional_timestamps": inputs.OPTIONAL_TIMESTAMPS.format(
+        varied_timestamps="varied_timestamps"
+    ),
+    "slashed_timestamps": inputs.SLASHED_TIMESTAMPS.format(raw_orders="raw_orders"),
+    "broken_orders": inputs.BROKEN_ORDERS.format(raw_orders="raw_orders"),
+    "broken_items": inputs.BROKEN_ITEMS.format(raw_items="raw_items"),
+    "keyless_items": inputs.KEYLESS_ITEMS.format(raw_items="raw_items"),
     "coerced": _coerced("raw_items"),
     "clean_items": "SELECT order_id, product_id, price, freight_value FROM coerced "
     "WHERE price >= 0",
@@ -132,12 +150,16 @@ _RECONCILED = """
 _ITEM_CHECKS = [
     ("order_id_not_null", "hard", "order_id IS NULL"),
     ("product_id_not_null", "hard", "product_id IS NULL"),
-    ("price_missing", "hard", "price IS NULL"),
+    (
+        "price_missing",
+        "hard",
+        "price IS NULL AND COALESCE(price_issue, '') <> 'out_of_range'",
+    ),
     ("price_negative", "hard", "price < 0"),
-    ("price_range", "hard", "price > 99999999.99"),
-    ("freight_value_missing", "soft", "freight_value IS NULL"),
+    ("price_range", "hard", "price_issue = 'out_of_range' OR ABS(price) > 99999999.99"),
+    ("freight_value_missing", "soft", "freight_value IS NULL AND freight_issue IS NULL"),
     ("freight_value_negative", "hard", "freight_value < 0"),
-    ("freight_value_range", "hard", "freight_value > 99999999.99"),
+    ("freight_value_range", "hard", "freight_issue IS NOT NULL"),
     ("order_id_length", "hard", "LENGTH(order_id) > 50"),
     ("product_id_length", "hard", "LENGTH(product_id) > 50"),
 ]
@@ -148,19 +170,22 @@ _ORDER_CHECKS = [
     ("order_status_length", "hard", "LENGTH(order_status) > 20"),
 ]
 
-_ACTIVE_REPORT = (
-    "SELECT CAST(order_purchase_timestamp AS DATE) AS report_date, "
-    "COUNT(DISTINCT order_id) AS order_count, CAST(SUM(price) AS DOUBLE) AS daily_revenue, "
-    "CAST((2 * CAST(SUM(price) * 100 AS BIGINT) + COUNT(price)) // (2 * COUNT(price)) "
-    "AS DOUBLE) / 100 AS avg_order_value "
-    "FROM active JOIN clean_items USING (order_id) GROUP BY 1"
-)
+def _active_report(orders: str) -> str:
+    return (
+        "SELECT CAST(order_purchase_timestamp AS DATE) AS report_date, "
+        "COUNT(DISTINCT order_id) AS order_count, "
+        "CAST(SUM(price) AS DOUBLE) AS daily_revenue, "
+        "CAST((2 * CAST(SUM(price) * 100 AS BIGINT) + COUNT(price)) // (2 * COUNT(price)) "
+        "AS DOUBLE) / 100 AS avg_order_value "
+        f"FROM {orders} JOIN clean_items USING (order_id) GROUP BY 1"
+    )
+
 
 _BODIES = {
     "scan_csv_orders": "SELECT * FROM raw_orders",
     "scan_csv_items": f"SELECT order_id, {_known('product_id')} AS product_id, "
     f"{_known('price')} AS price, {_known('freight_value')} AS freight_value FROM token_items",
-    "scan_parquet_orders": "SELECT o_orderkey, o_orderdate FROM orders",
+    "scan_parquet_orders": "SELECT * FROM orders",
     "sink_parquet_roundtrip": "SELECT * FROM clean_orders",
     "orders_between_dates": "SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS created_at, "
     "TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM clean_orders "
@@ -173,11 +198,19 @@ _BODIES = {
     f"{_known('price')} AS price, {_known('freight_value')} AS freight_value FROM token_items",
     "parse_order_timestamps": "SELECT order_id, customer_id, order_status, "
     f"{_time('order_purchase_timestamp')} AS order_purchase_timestamp, "
-    f"{_time('order_delivered_customer_date')} AS order_delivered_customer_date "
-    "FROM varied_timestamps",
+    f"{_time('order_delivered_customer_date')} AS order_delivered_customer_date, "
+    f"{_time('order_approved_at')} AS order_approved_at, "
+    f"{_time('order_estimated_delivery_date')} AS order_estimated_delivery_date "
+    "FROM optional_timestamps",
+    "parse_timestamps_by_pattern": "SELECT order_id, customer_id, order_status, "
+    + ", ".join(
+        f"TRY_STRPTIME({name}, '%m/%d/%Y %H:%M:%S') AS {name}"
+        for name in ["order_purchase_timestamp", "order_delivered_customer_date"]
+    )
+    + " FROM slashed_timestamps",
     "fill_delivery_date": _cleaned("varied_timestamps"),
-    "narrow_orders": "SELECT * FROM raw_orders",
-    "coerce_item_numbers": f"SELECT {_ITEM_MONEY}, price_issue "
+    "narrow_orders": "SELECT * FROM varied_timestamps",
+    "coerce_item_numbers": f"SELECT {_ITEM_MONEY}, price_issue, freight_issue "
     f"FROM ({_coerced('varied_prices')})",
     "drop_bad_prices": f"SELECT {_ITEM_MONEY} FROM coerced WHERE price IS NOT NULL",
     "drop_negative_prices": f"SELECT {_ITEM_MONEY} FROM coerced WHERE price >= 0",
@@ -191,9 +224,13 @@ _BODIES = {
     "stamp_audit_columns": "SELECT *, TIMESTAMP '2025-01-01 02:00:00' AS created_at, "
     "TIMESTAMP '2025-01-01 02:00:00' AS updated_at FROM clean_orders",
     "clean_orders": "SELECT * FROM clean_orders",
-    "clean_items": f"SELECT {_ITEM_MONEY} FROM clean_items",
-    "duplicate_order_ids": "SELECT COUNT(*) - COUNT(DISTINCT order_id) AS duplicates "
-    "FROM raw_items",
+    "clean_items": f"SELECT {_ITEM_MONEY}, price_issue, freight_issue "
+    f"FROM ({_coerced('varied_prices')}) "
+    "WHERE price_issue IS NULL OR price_issue = 'out_of_range'",
+    "surrogate_item_id": "SELECT COUNT(*) AS item_count, COUNT(*) AS id_count, "
+    "CAST(0 AS BIGINT) AS missing_ids FROM clean_items",
+    "duplicate_order_ids": "SELECT (SELECT COUNT(*) FROM keyless_items) - "
+    "(SELECT COUNT(*) FROM (SELECT DISTINCT order_id FROM keyless_items)) AS duplicates",
     "null_price_count": "SELECT COUNT(*) - COUNT(price) AS null_prices FROM coerced",
     "negative_price_count": "SELECT COUNT(*) AS negative_prices FROM coerced WHERE price < 0",
     "quality_orders": _checks(
@@ -204,8 +241,8 @@ _BODIES = {
             for name in ["order_id", "customer_id", "order_status"]
         ],
     )
-    + " UNION ALL SELECT 'orders', 'order_id_unique', 'hard', "
-    "COUNT(*) - COUNT(DISTINCT order_id) FROM flawed_orders",
+    + " UNION ALL SELECT 'orders', 'order_id_unique', 'hard', COUNT(*) - "
+    "(SELECT COUNT(*) FROM (SELECT DISTINCT order_id FROM flawed_orders)) FROM flawed_orders",
     "quality_items": _checks(
         "coerced",
         "order_items",
@@ -227,13 +264,12 @@ _BODIES = {
         ],
     ),
     "quality_constraints": _checks(
-        f"({_cleaned('varied_timestamps')})", "orders", _ORDER_CHECKS
+        f"({_cleaned('broken_orders')})", "orders", _ORDER_CHECKS
     )
     + " UNION ALL "
-    + _checks("coerced", "order_items", _ITEM_CHECKS),
+    + _checks(f"({_coerced('broken_items')})", "order_items", _ITEM_CHECKS),
     "quality_item_ids": "SELECT 'order_items' AS table_name, 'id_unique' AS rule, "
-    "'hard' AS severity, COUNT(*) - COUNT(DISTINCT id) AS violations "
-    "FROM (SELECT ROW_NUMBER() OVER () AS id FROM clean_items)",
+    "'hard' AS severity, COUNT(*) - COUNT(DISTINCT product_id) AS violations FROM clean_items",
     "quality_foreign_key": _checks(
         "clean_items",
         "order_items",
@@ -254,15 +290,16 @@ _BODIES = {
     "cascade_delete_items": f"SELECT {_ITEM_MONEY} FROM clean_items WHERE order_id NOT IN "
     "(SELECT order_id FROM clean_orders WHERE order_status = 'canceled')",
     "upsert_orders": "SELECT * FROM merged",
-    "upsert_checked_batch": "SELECT * FROM merged",
     "upsert_action_counts": """
       SELECT CASE WHEN updated_at < TIMESTAMP '2025-01-01 00:00:00' THEN 'kept'
         WHEN created_at = updated_at THEN 'inserted' ELSE 'updated' END AS action,
         COUNT(*) AS order_count FROM merged GROUP BY 1
     """,
     "daily_revenue_report": _report("clean_orders"),
-    "daily_revenue_view": _ACTIVE_REPORT,
-    "daily_revenue_view_by_name": _ACTIVE_REPORT,
+    "daily_revenue_view": _active_report("active"),
+    "daily_revenue_view_by_name": _active_report(
+        "(SELECT * FROM merged WHERE order_status NOT IN ('canceled', 'unavailable'))"
+    ),
     "etl_row_counts": "SELECT 'orders' AS table_name, COUNT(*) AS row_count FROM clean_orders "
     "UNION ALL SELECT 'order_items', COUNT(*) FROM clean_items "
     f"UNION ALL SELECT 'daily_report', COUNT(DISTINCT report_date) FROM ({_JOINED})",

@@ -3,30 +3,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import MONEY
+from ..schema import MONEY, WIDE_MONEY
 
-# Why a price text is unusable.
-UNPARSEABLE, OUT_OF_RANGE, NEGATIVE = MONEY_ISSUES = [
+# What is wrong with a price text. The first two drop the row, the last is for the gate.
+UNPARSEABLE, NEGATIVE, OUT_OF_RANGE = MONEY_ISSUES = [
     "unparseable",
-    "out_of_range",
     "negative",
+    "out_of_range",
 ]
 
 # Fixed value: what counts as a number when the decimal cast found none.
 NUMBER_TEXT = r"(?i)\A\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*\z"
+# Fixed value: the largest curated amount.
+LARGEST = "99999999.99"
 
 
 def parse_money(text: Column) -> Column:
-    """DECIMAL(10,2), rounded half up, or NULL where the text is no such number.
+    """DECIMAL(18,2), rounded half up, or NULL where the text is no such number.
 
-    The decimal cast refuses what a double cast would let through ('1d', '0x1p3',
-    'NaN', 'inf'). It takes non-ASCII digits, so those are ruled out first.
+    Wider than the curated column, so that what does not fit is seen and not lost. The decimal
+    cast refuses what a double cast would let through ('1d', '0x1p3', 'NaN', 'inf'). It takes
+    non-ASCII digits, so those are ruled out first.
     """
-    return F.when(F.octet_length(text) == F.length(text), text.try_cast(MONEY))
+    return F.when(F.octet_length(text) == F.length(text), text.try_cast(WIDE_MONEY))
 
 
 def money_issue(text: Column, parsed: Column) -> Column:
-    """Why the price is unusable, NULL where it is fine.
+    """What is wrong with the price, NULL where it is fine.
 
     ``parsed`` is ``parse_money(text)``. A negative text that rounds to 0.00
     ('-0.004') is still negative. Only texts the cast refused, and zeros, get as
@@ -39,7 +42,21 @@ def money_issue(text: Column, parsed: Column) -> Column:
         .when(text.rlike(NUMBER_TEXT), F.when(minus, NEGATIVE).otherwise(OUT_OF_RANGE))
         .otherwise(UNPARSEABLE)
     )
-    return F.when(~F.coalesce(parsed > 0, F.lit(False)), not_positive)
+    return F.when(parsed > F.lit(LARGEST).cast(WIDE_MONEY), OUT_OF_RANGE).when(
+        ~F.coalesce(parsed > 0, F.lit(False)), not_positive
+    )
+
+
+def range_issue(text: Column, parsed: Column) -> Column:
+    """OUT_OF_RANGE for a number of either sign that the curated column cannot hold."""
+    beyond = F.abs(parsed) > F.lit(LARGEST).cast(WIDE_MONEY)
+    return F.when(beyond | (parsed.isNull() & text.rlike(NUMBER_TEXT)), OUT_OF_RANGE)
+
+
+def narrow_money(value: Column, issue: Column, name: str) -> Column:
+    """The curated amount; an amount beyond it fails the job instead of getting lost."""
+    refused = F.raise_error(F.lit(f"{name} does not fit DECIMAL(10,2)"))
+    return F.when(issue == OUT_OF_RANGE, refused).otherwise(value.cast(MONEY))
 
 
 def mean_money(total: Column, count: Column) -> Column:

@@ -20,16 +20,25 @@ def _cast(text: Column) -> Column:
     )
 
 
-def parse_timestamp(text: Column, accepted: str = TIMESTAMP_TEXT) -> Column:
+def _by_pattern(text: Column, pattern: str) -> Column:
+    """The text read by a datetime pattern as one CSV cell, which no quote or comma can end.
+
+    A cell is read straight to TIMESTAMP_NTZ, as a pattern function would not do.
+    """
+    cell = {"timestampNTZFormat": pattern, "sep": "\u0001", "quote": "\u0002"}
+    return F.when(text != "", F.from_csv(text, "value TIMESTAMP_NTZ", cell)["value"])
+
+
+def parse_timestamp(text: Column, pattern: str | None = None) -> Column:
     """Zone-free timestamp, or NULL where the text is bad.
 
-    ``accepted`` is a regular expression for the text forms taken; the value is
-    then read by Spark's cast, which takes ISO forms only. The cast goes straight
-    to TIMESTAMP_NTZ: ``try_to_timestamp`` reads in the session's zone and moves
+    Without a datetime ``pattern`` the text is to have the form of TIMESTAMP_TEXT. Both ways
+    go straight to TIMESTAMP_NTZ: ``try_to_timestamp`` reads in the session's zone and moves
     wall-clock times that fall into a daylight-saving gap.
     """
-    parsed = _cast(text)
+    parsed = _by_pattern(text, pattern) if pattern else _cast(text)
     in_range = parsed.between(
         F.lit(EARLIEST).cast("timestamp_ntz"), F.lit(LATEST).cast("timestamp_ntz")
     )
-    return F.when(text.rlike(accepted) & in_range, parsed)
+    taken = in_range if pattern else text.rlike(TIMESTAMP_TEXT) & in_range
+    return F.when(taken, parsed)

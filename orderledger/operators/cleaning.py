@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
     MONEY_ISSUES,
-    TIMESTAMP_TEXT,
+    OUT_OF_RANGE,
     missing_if_token,
     money_issue,
+    narrow_money,
     parse_money,
     parse_timestamp,
+    range_issue,
 )
 from ..schema import (
     ITEM_COLUMNS,
@@ -31,13 +33,13 @@ def normalize_null_tokens(df: DataFrame, columns: list[str] | None = None) -> Da
     return df.withColumns({name: missing_if_token(F.col(name)) for name in columns})
 
 
-def parse_order_timestamps(orders: DataFrame, accepted: str = TIMESTAMP_TEXT) -> DataFrame:
-    """Parse the timestamp columns; text of a form not accepted becomes NULL."""
+def parse_order_timestamps(orders: DataFrame, pattern: str | None = None) -> DataFrame:
+    """Parse the timestamp columns; text of another form becomes NULL."""
     present = REQUIRED_TIMESTAMPS + [
         name for name in OPTIONAL_TIMESTAMPS if name in orders.columns
     ]
     return orders.withColumns(
-        {name: parse_timestamp(F.col(name), accepted) for name in present}
+        {name: parse_timestamp(F.col(name), pattern) for name in present}
     )
 
 
@@ -54,35 +56,43 @@ def narrow_orders(orders: DataFrame) -> DataFrame:
 
 
 def coerce_item_numbers(items: DataFrame) -> DataFrame:
-    """Parse price and freight; bad text becomes NULL.
+    """Parse price and freight to wide amounts; bad text becomes NULL.
 
-    Adds ``price_issue``: why the row will be dropped, NULL where it will not.
+    Adds ``price_issue`` (unparseable and negative prices drop the row, one out of range is for
+    the gate) and ``freight_issue`` (out of range or NULL). An amount that not even the wide
+    type holds, an infinite one say, is NULL and has its issue.
     """
-    price = F.col("price")
+    price, freight = F.col("price"), F.col("freight_value")
     return items.withColumns(
         {
             "price": parse_money(price),
-            "freight_value": parse_money(F.col("freight_value")),
+            "freight_value": parse_money(freight),
             "price_issue": money_issue(price, parse_money(price)),
+            "freight_issue": range_issue(freight, parse_money(freight)),
         }
     )
 
 
+def _held(column: str = "price_issue") -> Column:
+    """Whether an amount out of range is held for the gate."""
+    return F.coalesce(F.col(column) == OUT_OF_RANGE, F.lit(False))
+
+
 def drop_bad_prices(items: DataFrame) -> DataFrame:
-    return items.filter(F.col("price").isNotNull())
+    return items.filter(F.col("price").isNotNull() | _held())
 
 
 def drop_negative_prices(items: DataFrame) -> DataFrame:
-    return items.filter(F.col("price") >= 0)
+    return items.filter((F.col("price") >= 0) | _held())
 
 
 def drop_unusable_items(coerced: DataFrame) -> DataFrame:
     """Both price filters at once, on the verdict reached from the text."""
-    return coerced.filter(F.col("price_issue").isNull()).drop("price_issue")
+    return coerced.filter(F.col("price_issue").isNull() | _held())
 
 
 def dropped_item_counts(coerced: DataFrame) -> DataFrame:
-    """Rows kept and rows dropped by reason, in one pass: ``(outcome, item_count)``."""
+    """Rows kept, dropped by reason and held for the gate, in one pass: (outcome, item_count)."""
     counts = {"kept": F.count_if(F.col("price_issue").isNull())}
     for issue in MONEY_ISSUES:
         counts[issue] = F.count_if(F.col("price_issue") == issue)
@@ -100,7 +110,24 @@ def dropped_item_counts(coerced: DataFrame) -> DataFrame:
 
 
 def narrow_items(items: DataFrame) -> DataFrame:
-    return items.select(ITEM_COLUMNS)
+    """The curated columns and types; an amount out of range fails the job."""
+    return items.select(
+        "order_id",
+        "product_id",
+        narrow_money(F.col("price"), F.col("price_issue"), "price").alias("price"),
+        narrow_money(F.col("freight_value"), F.col("freight_issue"), "freight_value").alias(
+            "freight_value"
+        ),
+    )
+
+
+def narrow_counted_items(items: DataFrame) -> DataFrame:
+    """The same for a load that counts the amounts out of range and stops at the first."""
+    return items.select(
+        "order_id",
+        "product_id",
+        *(F.col(name).try_cast(MONEY).alias(name) for name in ["price", "freight_value"]),
+    )
 
 
 def default_freight(items: DataFrame) -> DataFrame:
@@ -110,14 +137,14 @@ def default_freight(items: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(raw: DataFrame, accepted: str = TIMESTAMP_TEXT) -> DataFrame:
+def clean_orders(raw: DataFrame, pattern: str | None = None) -> DataFrame:
     """Raw text orders to the curated columns.
 
     Null tokens are replaced in the text columns only: none of them is a timestamp, so
     parsing makes them NULL by itself.
     """
     named = normalize_null_tokens(raw, ["order_id", "customer_id", "order_status"])
-    return narrow_orders(fill_delivery_date(parse_order_timestamps(named, accepted)))
+    return narrow_orders(fill_delivery_date(parse_order_timestamps(named, pattern)))
 
 
 def coerce_items(raw: DataFrame) -> DataFrame:
@@ -126,8 +153,12 @@ def coerce_items(raw: DataFrame) -> DataFrame:
 
 
 def clean_items(raw: DataFrame) -> DataFrame:
-    """Raw text items to the curated columns, unusable prices dropped."""
-    return narrow_items(drop_unusable_items(coerce_items(raw)))
+    """Raw text items without unusable prices: the curated columns, still wide, and the issues.
+
+    What is out of range stays, flagged, for the gate; ``narrow_items`` comes after it.
+    """
+    kept = drop_unusable_items(coerce_items(raw))
+    return kept.select(*ITEM_COLUMNS, "price_issue", "freight_issue")
 
 
 def stamp_audit_columns(

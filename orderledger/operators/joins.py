@@ -2,6 +2,11 @@
 
 No join carries a broadcast hint: nothing bounds the size of either table, so the
 choice is left to the size checks of the optimizer and of adaptive execution.
+
+The joins that return items split every key: an item's other columns give it one of SALTS
+salts, and each order is there once for each of them. So an order that holds a third of all
+items is dealt to up to SALTS tasks at any size and setting, at the price of SALTS copies of
+the orders' columns that the join needs.
 """
 
 from __future__ import annotations
@@ -11,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ..schema import INACTIVE_STATUSES
 
+SALTS = 16
+SALT = "_salt"
+
 
 def active_orders(orders: DataFrame) -> DataFrame:
     """Orders that earn revenue. A NULL status is not active."""
@@ -23,22 +31,39 @@ def order_report_date(orders: DataFrame) -> DataFrame:
     )
 
 
+def _salted(items: DataFrame) -> DataFrame:
+    """Items with a salt that a retried task gives them again: a hash of their other columns."""
+    others = [name for name in items.columns if name != "order_id"]
+    return items.withColumn(SALT, F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
+
+
+def _for_each_salt(orders: DataFrame) -> DataFrame:
+    return orders.withColumn(SALT, F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+
+
+def _without_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
+    keys = _for_each_salt(orders.select("order_id").filter("order_id IS NOT NULL"))
+    return _salted(items).join(keys, ["order_id", SALT], "left_anti").drop(SALT)
+
+
 def join_orders_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per item of a known order: ``(order_id, report_date, price)``."""
-    return order_report_date(orders).join(items.select("order_id", "price"), "order_id")
+    dated = _for_each_salt(order_report_date(orders))
+    priced = _salted(items).select("order_id", SALT, "price")
+    return dated.join(priced, ["order_id", SALT]).select("order_id", "report_date", "price")
 
 
 def join_using(orders: DataFrame, items: DataFrame) -> DataFrame:
     """All columns of both tables, one key column."""
-    return orders.join(items, ["order_id"])
+    return _for_each_salt(orders).join(_salted(items), ["order_id", SALT]).drop(SALT)
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items that point at no order. A missing key points nowhere and is no orphan."""
-    keyed = items.filter(F.col("order_id").isNotNull())
-    return keyed.join(orders.select("order_id"), "order_id", "left_anti")
+    return _without_orders(items.filter(F.col("order_id").isNotNull()), orders)
 
 
 def cascade_delete_items(items: DataFrame, deleted_orders: DataFrame) -> DataFrame:
-    """Items left after their orders were deleted."""
-    return items.join(deleted_orders.select("order_id"), "order_id", "left_anti")
+    """Items left after their orders were deleted. Those without a key stay, and go to no join."""
+    keyed = _without_orders(items.filter(F.col("order_id").isNotNull()), deleted_orders)
+    return keyed.unionByName(items.filter(F.col("order_id").isNull()))

@@ -13,10 +13,6 @@ KEY = "order_id"
 UPDATED_COLUMNS = [name for name in ORDER_COLUMNS if name != KEY]
 OLD = UPDATED_COLUMNS + ["created_at", "updated_at"]
 
-# A checked batch row holds at most 120 characters of text and two timestamps, below
-# one kilobyte in memory, so a broadcast batch stays below 100 MB.
-BROADCAST_ROWS = 100_000
-
 
 def _one_row_per_key(batch: DataFrame, value: Column) -> DataFrame:
     """The batch as ``(order_id, new)``; a duplicate or missing key fails the job.
@@ -44,19 +40,6 @@ def _matched(target: DataFrame, old: Column, batch: DataFrame) -> DataFrame:
     return target.select(KEY, old.alias("old")).join(batch, KEY, "full_outer")
 
 
-def _matched_small(target: DataFrame, old: Column, batch: DataFrame) -> DataFrame:
-    """The same without a shuffle of the target, for a batch of bounded size.
-
-    The target is read a second time, its key column only, for the keys it shares with
-    the batch; keys are unique, so there are no more of them than rows in the batch.
-    """
-    known = target.select(KEY, old.alias("old")).join(F.broadcast(batch), KEY, "left")
-    shared = target.select(KEY).join(F.broadcast(batch.select(KEY)), KEY, "left_semi")
-    added = batch.join(shared, KEY, "left_anti")
-    nothing = F.lit(None).cast(known.schema["old"].dataType)
-    return known.unionByName(added.withColumn("old", nothing))
-
-
 def _merged(matched: DataFrame, run_ts: datetime) -> DataFrame:
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     in_batch = F.col("new").isNotNull()
@@ -83,20 +66,6 @@ def upsert_orders(target: DataFrame, batch: DataFrame, run_ts: datetime) -> Data
     return _merged(_matched(target, F.struct(OLD), guarded), run_ts)
 
 
-def upsert_checked_batch(
-    target: DataFrame, batch: DataFrame, run_ts: datetime, batch_rows: int
-) -> DataFrame:
-    """``upsert_orders`` for a batch that has passed the gate.
-
-    Its keys are known to be present and unique, which saves the guard, a sort of the
-    batch. Its text lengths are bounded too, so the row count bounds its size: a small
-    batch is broadcast, and the target is not shuffled.
-    """
-    keyed = batch.select(KEY, F.struct(UPDATED_COLUMNS).alias("new"))
-    matched = _matched_small if batch_rows <= BROADCAST_ROWS else _matched
-    return _merged(matched(target, F.struct(OLD), keyed), run_ts)
-
-
 def upsert_action_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
     """How many orders the merge inserts, updates and keeps: ``(action, order_count)``."""
     action = (

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions import OUT_OF_RANGE
 from ..schema import ID_LENGTH, MONEY, ORDER_STATUSES, STATUS_LENGTH
 
 HARD, SOFT = "hard", "soft"
+RANGE_RULES = ["price_range", "freight_value_range"]
 
 
 class DataQualityError(ValueError):
@@ -126,9 +128,13 @@ def _too_long(name: str, limit: int) -> Column:
     return F.length(name) > limit
 
 
-def _not_money(name: str) -> Column:
+def _not_money(name: str, issue: str | None) -> Column:
+    """An amount the curated column cannot hold, by its value or by the flag set in cleaning."""
     value = F.col(name)
-    return value.isNotNull() & value.try_cast(MONEY).isNull()
+    beyond = value.isNotNull() & value.try_cast(MONEY).isNull()
+    if issue is None:
+        return beyond
+    return beyond | F.coalesce(F.col(issue) == OUT_OF_RANGE, F.lit(False))
 
 
 def constraint_rules_orders() -> dict[str, tuple[str, Column]]:
@@ -140,17 +146,20 @@ def constraint_rules_orders() -> dict[str, tuple[str, Column]]:
     }
 
 
-def constraint_rules_items() -> dict[str, tuple[str, Column]]:
+def constraint_rules_items(flagged: bool = False) -> dict[str, tuple[str, Column]]:
+    """``flagged``: the items carry the issues that cleaning found."""
+    price_beyond = _not_money("price", "price_issue" if flagged else None)
+    freight_beyond = _not_money("freight_value", "freight_issue" if flagged else None)
     return {
         "order_id_not_null": (HARD, F.col("order_id").isNull()),
         "product_id_not_null": (HARD, F.col("product_id").isNull()),
-        "price_missing": (HARD, F.col("price").isNull()),
+        "price_missing": (HARD, F.col("price").isNull() & ~price_beyond),
         "price_negative": (HARD, F.col("price") < 0),
-        "price_range": (HARD, _not_money("price")),
+        "price_range": (HARD, price_beyond),
         # Cleaning keeps a row whose freight is bad, so a missing one only warns.
-        "freight_value_missing": (SOFT, F.col("freight_value").isNull()),
+        "freight_value_missing": (SOFT, F.col("freight_value").isNull() & ~freight_beyond),
         "freight_value_negative": (HARD, F.col("freight_value") < 0),
-        "freight_value_range": (HARD, _not_money("freight_value")),
+        "freight_value_range": (HARD, freight_beyond),
         "order_id_length": (HARD, _too_long("order_id", ID_LENGTH)),
         "product_id_length": (HARD, _too_long("product_id", ID_LENGTH)),
     }
@@ -158,8 +167,9 @@ def constraint_rules_items() -> dict[str, tuple[str, Column]]:
 
 def quality_constraints(orders: DataFrame, items: DataFrame) -> DataFrame:
     """The declared constraints of both tables, one scan of each."""
+    rules = constraint_rules_items(flagged="price_issue" in items.columns)
     return violation_counts(orders, "orders", constraint_rules_orders()).unionByName(
-        violation_counts(items, "order_items", constraint_rules_items())
+        violation_counts(items, "order_items", rules)
     )
 
 
@@ -170,10 +180,16 @@ def load_checks_orders(orders: DataFrame) -> DataFrame:
 
 
 def load_checks_items(items: DataFrame) -> DataFrame:
-    """Every rule on clean items, in one scan."""
-    return violation_counts(
-        items, "order_items", price_rules_items() | constraint_rules_items()
-    )
+    """Every rule on the items as they will be published, in one scan."""
+    return violation_counts(items, "order_items", constraint_rules_items())
+
+
+def range_checks(counts: dict[str, int]) -> list[Row]:
+    """The range rules of a load, from counts taken while the items were written."""
+    return [
+        Row(table_name="order_items", rule=rule, severity=HARD, violations=counts[rule])
+        for rule in RANGE_RULES
+    ]
 
 
 def quality_foreign_key(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -193,9 +209,9 @@ def quality_foreign_key(items: DataFrame, orders: DataFrame) -> DataFrame:
     return _unpivot(counted, "order_items", {"order_id_known": HARD})
 
 
-def enforce(checks: DataFrame) -> list[Row]:
+def enforce(checks: DataFrame | list[Row]) -> list[Row]:
     """Run the checks, raise on any hard violation, return the rows otherwise."""
-    rows = checks.collect()  # one row per rule
+    rows = checks if isinstance(checks, list) else checks.collect()  # one row per rule
     failed = [r for r in rows if r.severity == HARD and r.violations > 0]
     if failed:
         raise DataQualityError(failed)

@@ -1,11 +1,14 @@
-"""The daily revenue report, from curated tables to a CSV file."""
+"""Daily revenue over the curated tables: the report file, and the view by name."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import reports
-from ..sources import csv
+from ..sources import csv, runs
+from . import etl
+
+VIEW = "v_daily_revenue"
 
 
 class ReportMismatch(ValueError):
@@ -18,10 +21,21 @@ def write_daily_report(orders: DataFrame, items: DataFrame, path: str) -> int:
 
 
 def verify_daily_report(
-    spark: SparkSession, path: str, orders: DataFrame, items: DataFrame
+    spark: SparkSession, path: str, days: int, orders: DataFrame, items: DataFrame
 ) -> None:
-    """Read the report back and compare its totals with the source."""
-    checks = reports.report_reconcile(csv.read_report(spark, path), orders, items).collect()
+    """Read the report back and compare it with the days written and with the source."""
+    report = csv.read_report(spark, path)
+    checks = reports.report_reconcile(report, days, orders, items).collect()
     failed = [row.asDict() for row in checks if not row.matches]
     if failed:
         raise ReportMismatch(f"{path}: {failed}")
+
+
+def create_revenue_view(spark: SparkSession, root: str, name: str = VIEW) -> None:
+    """The daily revenue view, by name, over the merged orders and items of the current run."""
+    run = runs.current_run(spark, root)
+    if run is None:
+        raise ValueError(f"no load has finished under {root}")
+    reports.daily_revenue_view(
+        etl.read_current_orders(spark, run), etl.read_current_items(spark, run)
+    ).createOrReplaceTempView(name)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import MONEY_ISSUES, TIMESTAMP_TEXT
+from ..functions import MONEY_ISSUES, OUT_OF_RANGE
 from ..operators import cleaning, merge, quality
 from ..sources import csv, parquet, runs
 
@@ -23,31 +23,73 @@ class EtlResult:
 
 
 def read_current_orders(spark: SparkSession, run: Row | None) -> DataFrame:
-    if run is None:
-        return merge.empty_orders(spark)
-    return parquet.read_parquet(spark, run.orders_path)
+    months = {} if run is None else run.order_months
+    return parquet.read_month_folders(spark, sorted(months.values()))
 
 
-def reload_items(raw_items: DataFrame, path: str, run_ts: datetime) -> dict[str, int]:
+def read_current_items(spark: SparkSession, run: Row) -> DataFrame:
+    return parquet.read_parquet(spark, run.items_path)
+
+
+def reload_items(
+    raw_items: DataFrame, path: str, run_ts: datetime
+) -> tuple[dict[str, int], list[Row]]:
     """Clean the items and write them as the whole new item table.
 
-    A scan, a projection and a write, without a shuffle. The rows kept and dropped are
-    counted while they pass: the count sits in the stage that writes, where Spark
-    counts every task once, however often it is retried. An empty batch gives an empty
-    table.
+    Returns the rows kept and dropped, and the range checks passed. A scan, a projection and a
+    write, without a shuffle. Everything is counted while it passes: the counts sit in the
+    stage that writes, where Spark counts every task once, however often it is retried. An
+    amount beyond the curated column raises, and what is at ``path`` then is not for use. An
+    empty batch gives an empty table.
     """
     counts = Observation()
     coerced = cleaning.coerce_items(raw_items).observe(
         counts,
-        F.count_if(F.col("price_issue").isNull()).alias("kept"),
         *[F.count_if(F.col("price_issue") == issue).alias(issue) for issue in MONEY_ISSUES],
+        F.count_if(F.col("price_issue").isNull()).alias("kept"),
+        F.count_if(F.col("price_issue") == OUT_OF_RANGE).alias("price_range"),
+        F.count_if(
+            (F.col("freight_issue") == OUT_OF_RANGE)
+            & F.coalesce(F.col("price_issue") == OUT_OF_RANGE, F.col("price_issue").isNull())
+        ).alias("freight_value_range"),
     )
-    clean = cleaning.narrow_items(cleaning.drop_unusable_items(coerced))
+    clean = cleaning.narrow_counted_items(cleaning.drop_unusable_items(coerced))
     curated = cleaning.surrogate_item_id(
         cleaning.stamp_audit_columns(clean, run_ts, ("created_at",))
     )
     parquet.write_parquet(curated, path)
-    return counts.get
+    found = counts.get
+    checks = quality.enforce(quality.range_checks(found))
+    return {name: found[name] for name in ["kept", *MONEY_ISSUES] if name != OUT_OF_RANGE}, checks
+
+
+def merge_by_month(
+    spark: SparkSession, months: dict[int, str], batch: DataFrame, path: str, run_ts: datetime
+) -> dict[int, str]:
+    """Merge a batch into orders that lie in month folders; returns the folder of each month.
+
+    Rewritten are the months of the batch and those where its orders were so far, found by a
+    scan of the target's keys and purchase times. The other months' files stay as they are. An
+    order that moves to another month leaves its old one, since both are rewritten; a month that
+    is left empty has no folder any more.
+    """
+    target = parquet.read_month_folders(spark, sorted(months.values()))
+    former = target.select("order_id", parquet.month_of_purchase()).join(
+        batch.select("order_id"), "order_id", "left_semi"
+    )
+    now = batch.select("order_id", parquet.month_of_purchase())
+    touched = former.unionByName(now).select(parquet.MONTH).distinct().collect()
+    rewritten = {row[parquet.MONTH] for row in touched}  # a number for each month at most
+    old = parquet.read_month_folders(
+        spark, [folder for month, folder in sorted(months.items()) if month in rewritten]
+    )
+    parquet.write_orders_by_month(merge.upsert_orders(old, batch, run_ts), path)
+    left = {month: folder for month, folder in months.items() if month not in rewritten}
+    if rewritten:
+        written = spark.read.parquet(path).select(parquet.MONTH).distinct().collect()
+        for row in written:
+            left[row[parquet.MONTH]] = parquet.month_folder(path, row[parquet.MONTH])
+    return dict(sorted(left.items()))
 
 
 def run_etl(
@@ -56,8 +98,8 @@ def run_etl(
     items_csv: str,
     root: str,
     run_ts: datetime,
-    multi_line: bool = True,
-    accepted: str = TIMESTAMP_TEXT,
+    multi_line: bool = False,
+    pattern: str | None = None,
 ) -> EtlResult:
     """Clean, check, merge the orders, reload the items, then make the run current.
 
@@ -72,27 +114,27 @@ def run_etl(
     )
 
     raw_orders = csv.read_raw_orders(spark, orders_csv, multi_line)
-    parquet.write_parquet(cleaning.clean_orders(raw_orders, accepted), clean_path)
+    rows = Observation()
+    clean = cleaning.clean_orders(raw_orders, pattern).observe(rows, F.count("*").alias("rows"))
+    parquet.write_parquet(clean, clean_path)
     batch = parquet.read_parquet(spark, clean_path)
     checks = quality.enforce(quality.load_checks_orders(batch))
 
     raw_items = csv.read_raw_items(spark, items_csv, multi_line)
-    dropped = reload_items(raw_items, items_path, run_ts)
+    counts, in_range = reload_items(raw_items, items_path, run_ts)
     items = parquet.read_parquet(spark, items_path)
-    checks += quality.enforce(quality.load_checks_items(items))
+    checks += in_range + quality.enforce(quality.load_checks_items(items))
 
-    target = read_current_orders(spark, previous)
-    order_rows = batch.count()
-    merged = merge.upsert_checked_batch(target, batch, run_ts, order_rows)
-    parquet.write_parquet(merged, orders_path)
-    orders = parquet.read_parquet(spark, orders_path)
+    months = {} if previous is None else previous.order_months
+    months = merge_by_month(spark, months, batch, orders_path, run_ts)
+    orders = parquet.read_month_folders(spark, sorted(months.values()))
     checks += quality.enforce(quality.quality_foreign_key(items, orders))
 
-    run = runs.commit_run(spark, root, previous, run_ts, clean_path, orders_path, items_path)
+    run = runs.commit_run(spark, root, previous, run_ts, clean_path, months, items_path)
     return EtlResult(
         run=run,
-        order_rows=order_rows,
-        item_rows=dropped.pop("kept"),
-        dropped_items=dropped,
+        order_rows=rows.get["rows"],
+        item_rows=counts.pop("kept"),
+        dropped_items=counts,
         checks=checks,
     )

@@ -14,8 +14,8 @@ ORDER_COLUMNS = [
 ]
 ITEM_COLUMNS = ["order_id", "product_id", "price", "freight_value"]
 
-# Raw order columns holding a timestamp. The file must carry the
-# first and the last; the others are parsed when present.
+# Raw order columns holding a timestamp. The file must carry the required
+# ones; the optional ones are parsed when present.
 REQUIRED_TIMESTAMPS = ["order_purchase_timestamp", "order_delivered_customer_date"]
 OPTIONAL_TIMESTAMPS = [
     "order_approved_at",
@@ -64,7 +64,9 @@ NULL_TOKENS = [
 ID_LENGTH = 50
 STATUS_LENGTH = 20
 
+# Curated amounts, and amounts as read from text: wide enough to tell what does not fit.
 MONEY = T.DecimalType(10, 2)
+WIDE_MONEY = T.DecimalType(18, 2)
 
 CLEAN_ORDERS = T.StructType(
     [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,15 +12,32 @@ MISFIT = "_row_of_another_shape"
 REPORT_SCHEMA = "report_date DATE, daily_revenue DOUBLE, order_count BIGINT"
 
 
+def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    """A line whose quotes do not pair off may be half of a row with a line break in a cell."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = spark.read.text(path).filter(quotes % 2 == 1).select("value").head(1)
+    if broken:
+        raise ValueError(
+            f"{path}: a line has a quote without its partner, so a cell may hold a line break; "
+            f"read it with multi_line=True: {broken[0].value[:200]}"
+        )
+
+
+def _cells(line: Column) -> Column:
+    """How many cells a line has: separators outside quotes, and one."""
+    bare = F.regexp_replace(line, '"([^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def read_csv(
-    spark: SparkSession, path: str, required: list[str], multi_line: bool = True
+    spark: SparkSession, path: str, required: list[str], multi_line: bool = False
 ) -> DataFrame:
     """Raw cells as strings, bound by header name.
 
-    ``multi_line`` reads line breaks inside quotes, and makes each file one task: turn
-    it off for huge files without such cells. Every file's header is compared with the
-    first one's. A row with too many cells fails the job. One with too few is filled
-    with NULL, but with ``multi_line`` off it fails too: it may be part of a broken row.
+    A row with too few cells is filled with NULL, one with too many fails the job, and every
+    file's header is compared with the first one's. Files are split into tasks at line breaks, so
+    a line with an open quote is refused, which takes a scan of the text beforehand.
+    ``multi_line`` reads line breaks inside quotes instead, and makes each file one task.
     """
     reader = (
         spark.read.option("header", True)
@@ -34,33 +51,27 @@ def read_csv(
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}")
     if not multi_line:
-        return reader.option("mode", "FAILFAST").schema(header).csv(path)
-
+        _refuse_open_quotes(spark, path)
     raw = (
         reader.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MISFIT)
         .schema(T.StructType(header.fields + [T.StructField(MISFIT, T.StringType())]))
         .csv(path)
     )
-    # Only rows of another shape carry their text; one cell more than the header is read.
-    # The message names a cell too, since Spark refuses to read that text alone.
-    cells = F.from_csv(
-        MISFIT,
-        ", ".join(f"c{n} STRING" for n in range(len(header) + 1)),
-        {"escape": '"', "multiLine": "true"},
-    )
+    # Only rows of another shape carry their text. The message names a cell too, since Spark
+    # refuses to read that text alone.
     too_long = F.when(
-        cells[f"c{len(header)}"].isNotNull(),
+        _cells(F.col(MISFIT)) > len(header),
         F.raise_error(F.concat_ws(" ", F.lit("too many cells at"), header.names[0], MISFIT)),
     )
     return raw.filter(too_long.isNull()).drop(MISFIT)
 
 
-def read_raw_orders(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_raw_orders(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, ORDER_COLUMNS, multi_line)
 
 
-def read_raw_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_raw_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, ITEM_COLUMNS, multi_line)
 
 

@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_TRIP = 10_000
 
 
-def key_range_options(column: str, lower: int, upper: int, partitions: int) -> dict[str, str]:
+def key_range_options(
+    column: str, lower: int | None, upper: int | None, partitions: int
+) -> dict[str, str]:
     """Options that split a scan by ranges of a numeric column.
 
-    The bounds only place the cuts: rows outside them are read too.
+    The bounds only place the cuts: rows outside them are read too. An empty table has no
+    bounds and is not split.
     """
+    if lower is None or upper is None:
+        return {}
     return {
         "partitionColumn": column,
         "lowerBound": str(lower),
@@ -40,8 +45,8 @@ def read_jdbc(
 
 def key_bounds(
     spark: SparkSession, url: str, table: str, column: str, connection: dict[str, str]
-) -> tuple[int, int]:
-    """Least and greatest key, computed by the database."""
+) -> tuple[int | None, int | None]:
+    """Least and greatest key, computed by the database; None for an empty table."""
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
     row = (
         spark.read.format("jdbc")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CURATED_ORDERS
@@ -20,16 +20,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def month_of_purchase() -> Column:
+    """The month as a number, 202405 for May 2024."""
+    purchased = F.col("order_purchase_timestamp")
+    return (F.year(purchased) * 100 + F.month(purchased)).alias(MONTH)
+
+
 def write_orders_by_month(orders: DataFrame, path: str) -> None:
-    """A layout for access by date: orders partitioned by purchase month.
+    """Orders partitioned by purchase month, for access by date and for merging by month.
 
-    It costs one more shuffle of the table, so the load does not write it by itself.
-    The rebalance hint lets adaptive execution gather a month into files of the
-    advisory size and split a large month over several tasks.
+    It costs one more shuffle of what is written. The rebalance hint lets adaptive execution
+    gather a month into files of the advisory size and split a large month over several tasks.
     """
-    purchased = F.col("order_purchase_timestamp")
     (
-        orders.withColumn(MONTH, F.year(purchased) * 100 + F.month(purchased))
+        orders.withColumn(MONTH, month_of_purchase())
         .hint("rebalance", MONTH)
         .write.mode("overwrite")
         .partitionBy(MONTH)
@@ -37,6 +41,18 @@ def write_orders_by_month(orders: DataFrame, path: str) -> None:
     )
 
 
+def month_folder(path: str, month: int) -> str:
+    """Where ``write_orders_by_month`` has put a month."""
+    return f"{path}/{MONTH}={month}"
+
+
+def read_month_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Curated orders of some month folders, of whichever runs; none of them gives no rows."""
+    if not folders:
+        return spark.createDataFrame([], CURATED_ORDERS)
+    return spark.read.schema(CURATED_ORDERS).parquet(*folders)
+
+
 def read_orders_by_month(
     spark: SparkSession, path: str, first_day: date | None = None, last_day: date | None = None
 ) -> DataFrame:

@@ -1,10 +1,13 @@
 """Curated snapshots and the log that says which one is current.
 
 Spark cannot overwrite files it is reading, and plain Parquet has no MERGE. Each run
-therefore writes its tables to a directory of its own and, when all of it has passed
-its checks, appends one record to the log. Readers follow the last record, so both
-tables change together and a run that fails or loses executors changes nothing. One
-writer at a time.
+therefore writes what it changes to a directory of its own and, when all of it has passed
+its checks, adds one record to the log. Readers follow the last record, so both tables
+change together and a run that fails or loses executors changes nothing. The record names
+the folder of each month of orders; a month that no run has touched since stays where it is.
+
+Two loads that started from the same record cannot both finish: a run first claims its number
+with a file that must not be there yet, and the second one to do so fails.
 """
 
 from __future__ import annotations
@@ -13,13 +16,14 @@ import tempfile
 import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOG_SCHEMA = (
     "run_number BIGINT, run_ts TIMESTAMP_NTZ, "
-    "orders_clean_path STRING, orders_path STRING, items_path STRING"
+    "orders_clean_path STRING, order_months MAP<INT, STRING>, items_path STRING"
 )
 
 
@@ -43,14 +47,32 @@ def new_run_folder(root: str, run_ts: datetime) -> str:
     return f"{root}/runs/{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+class RunConflict(RuntimeError):
+    """Another load has finished, or is finishing, since this one started."""
+
+
+def claim(spark: SparkSession, root: str, number: int) -> None:
+    """Claim a run number, which only one of two runs can do.
+
+    Spark's writers check and then write, so the file is made by Hadoop's file system, whose
+    creation of a new file is one step. A run that dies after this has to be cleared by hand:
+    the message says which file.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/claims/{number}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    if not files.createNewFile(path):
+        raise RunConflict(f"run {number} is taken by another load: {path.toString()}")
 
 
 def run_log(spark: SparkSession, root: str) -> DataFrame | None:
-    path = f"{root}/log"
-    return spark.read.schema(LOG_SCHEMA).parquet(path) if _exists(spark, path) else None
+    """All records, None before the first."""
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def current_run(spark: SparkSession, root: str) -> Row | None:
@@ -68,21 +90,24 @@ def commit_run(
     previous: Row | None,
     run_ts: datetime,
     orders_clean_path: str,
-    orders_path: str,
+    order_months: dict[int, str],
     items_path: str,
 ) -> Row:
-    """Make a finished run the current one."""
+    """Make a finished run the current one, if the run it built upon still is."""
+    claim(spark, root, 1 if previous is None else previous.run_number + 1)
     record = {
         "run_number": 1 if previous is None else previous.run_number + 1,
         "run_ts": run_ts,
         "orders_clean_path": orders_clean_path,
-        "orders_path": orders_path,
+        "order_months": order_months,
         "items_path": items_path,
     }
     # A Python datetime becomes a zoned literal, so the time goes in as text.
-    literals = record | {"run_ts": run_ts.isoformat(sep=" ")}
+    months = [F.lit(part) for month in order_months.items() for part in month]
+    literals = {name: F.lit(value) for name, value in record.items() if name != "order_months"}
+    literals |= {"run_ts": F.lit(run_ts.isoformat(sep=" ")), "order_months": F.create_map(*months)}
     fields = [
-        F.lit(literals[field.name]).cast(field.dataType).alias(field.name)
+        literals[field.name].cast(field.dataType).alias(field.name)
         for field in T.StructType.fromDDL(LOG_SCHEMA)
     ]
     spark.range(1, numPartitions=1).select(fields).write.mode("append").parquet(f"{root}/log")

@@ -74,7 +74,8 @@ SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(l_partkey AS STRING) AS prod
     WHEN 12 THEN '-0.0' WHEN 13 THEN '-0.004' WHEN 14 THEN '99999999.994'
     WHEN 15 THEN '99999999.996' WHEN 16 THEN '-1e20' WHEN 17 THEN 'abc' WHEN 18 THEN NULL
     ELSE CAST(l_extendedprice AS STRING) END AS price,
-  CASE WHEN l_partkey % 25 = 20 THEN 'n/a' WHEN l_partkey % 25 = 21 THEN '1f'
+  CASE l_partkey % 25 WHEN 20 THEN 'n/a' WHEN 21 THEN '1f' WHEN 22 THEN '-inf'
+    WHEN 23 THEN '123456789012' WHEN 24 THEN '-100000000'
     ELSE CAST(CAST(l_quantity * l_tax AS DECIMAL(10,2)) AS STRING) END AS freight_value
 FROM {lineitem}
 """
@@ -88,9 +89,63 @@ SELECT order_id,
 FROM {raw_items}
 """
 
-# A third of the rows share one order_id; some customers and statuses are missing.
+# The same with two of the optional columns; the third one is absent.
+OPTIONAL_TIMESTAMPS = """
+SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+  order_delivered_customer_date, order_delivered_customer_date AS order_approved_at,
+  replace(order_purchase_timestamp, '-', '/') AS order_estimated_delivery_date
+FROM {varied_timestamps}
+"""
+
+# Timestamps written month first, some of them ISO or no date at all.
+SLASHED_TIMESTAMPS = """
+SELECT order_id, customer_id, order_status,
+  concat(substr(order_purchase_timestamp, 6, 2), '/', substr(order_purchase_timestamp, 9, 2),
+    '/', substr(order_purchase_timestamp, 1, 4), substr(order_purchase_timestamp, 11, 9))
+    AS order_purchase_timestamp,
+  CASE CAST(order_id AS BIGINT) % 4 WHEN 0 THEN order_purchase_timestamp
+    WHEN 1 THEN concat('02/30/', substr(order_purchase_timestamp, 1, 4), ' 00:00:00')
+    WHEN 2 THEN concat('03/25/', substr(order_purchase_timestamp, 1, 4), ' 02:30:00')
+    ELSE '' END AS order_delivered_customer_date
+FROM {raw_orders}
+"""
+
+# Orders and items that break every declared constraint somewhere.
+BROKEN_ORDERS = """
+SELECT CASE WHEN CAST(order_id AS BIGINT) % 41 = 0 THEN concat(repeat('x', 50), order_id)
+    ELSE order_id END AS order_id,
+  CASE WHEN CAST(order_id AS BIGINT) % 43 = 0 THEN repeat('c', 51) ELSE customer_id END
+    AS customer_id,
+  CASE WHEN CAST(order_id AS BIGINT) % 47 = 0 THEN repeat('s', 21) ELSE order_status END
+    AS order_status,
+  CASE WHEN CAST(order_id AS BIGINT) % 53 = 0 THEN 'never' ELSE order_purchase_timestamp END
+    AS order_purchase_timestamp,
+  order_delivered_customer_date
+FROM {raw_orders}
+"""
+BROKEN_ITEMS = """
+SELECT CASE CAST(product_id AS BIGINT) % 19 WHEN 0 THEN 'NA' WHEN 1 THEN repeat('o', 51)
+    ELSE order_id END AS order_id,
+  CASE CAST(product_id AS BIGINT) % 23 WHEN 0 THEN '' WHEN 1 THEN repeat('p', 51)
+    ELSE product_id END AS product_id,
+  CASE CAST(product_id AS BIGINT) % 29 WHEN 0 THEN '100000000' WHEN 1 THEN 'inf'
+    WHEN 2 THEN '1e30' ELSE price END AS price,
+  CASE CAST(product_id AS BIGINT) % 31 WHEN 0 THEN '-0.01' WHEN 1 THEN '123456789012'
+    WHEN 2 THEN '-inf' ELSE freight_value END AS freight_value
+FROM {raw_items}
+"""
+
+# Items of which some have no order_id.
+KEYLESS_ITEMS = """
+SELECT CASE WHEN CAST(order_id AS BIGINT) % 13 = 0 THEN NULL ELSE order_id END AS order_id,
+  product_id, price, freight_value
+FROM {raw_items}
+"""
+
+# A third of the rows share one order_id; some keys, customers and statuses are missing.
 FLAWED_ORDERS = """
-SELECT CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '0' ELSE order_id END AS order_id,
+SELECT CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '0'
+    WHEN CAST(order_id AS BIGINT) % 103 = 0 THEN NULL ELSE order_id END AS order_id,
   CASE WHEN CAST(order_id AS BIGINT) % 101 = 0 THEN NULL ELSE customer_id END AS customer_id,
   CASE WHEN CAST(order_id AS BIGINT) % 97 = 0 THEN 'unknown'
     WHEN CAST(order_id AS BIGINT) % 89 = 0 THEN NULL ELSE order_status END AS order_status,
@@ -129,3 +184,23 @@ def token_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flawed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FLAWED_ORDERS, raw_orders=raw_orders(spark, sf_dir))
+
+
+def optional_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(OPTIONAL_TIMESTAMPS, varied_timestamps=varied_timestamps(spark, sf_dir))
+
+
+def slashed_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SLASHED_TIMESTAMPS, raw_orders=raw_orders(spark, sf_dir))
+
+
+def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(BROKEN_ORDERS, raw_orders=raw_orders(spark, sf_dir))
+
+
+def broken_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(BROKEN_ITEMS, raw_items=raw_items(spark, sf_dir))
+
+
+def keyless_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(KEYLESS_ITEMS, raw_items=raw_items(spark, sf_dir))

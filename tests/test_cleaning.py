@@ -42,10 +42,11 @@ PRICES = {
     "１": (None, "unparseable"),
     "inf": (None, "out_of_range"),
     "+Infinity": (None, "out_of_range"),
-    "123456789012": (None, "out_of_range"),
+    "123456789012": ("123456789012.00", "out_of_range"),
     "1e20": (None, "out_of_range"),
-    "99999999.996": (None, "out_of_range"),
+    "99999999.996": ("100000000.00", "out_of_range"),
     "-1": ("-1.00", "negative"),
+    "-123456789012": ("-123456789012.00", "negative"),
     "-1.005": ("-1.01", "negative"),
     "-0.004": ("0.00", "negative"),
     " -0.0000001": ("0.00", "negative"),
@@ -114,12 +115,21 @@ def test_price_verdicts(spark):
         assert got[n] == (price and Decimal(price), issue), repr(text)
 
 
-def test_clean_items_keeps_exactly_the_prices_without_issue(spark):
+def test_clean_items_keeps_what_is_fine_and_flags_what_does_not_fit(spark):
     raw = items(spark, [("o", str(n), text, "1") for n, text in enumerate(PRICES)])
     clean = cleaning.clean_items(raw)
-    assert clean.schema.simpleString() == CLEAN_ITEMS.simpleString()
-    kept = {int(r.product_id) for r in clean.collect()}
-    assert kept == {n for n, (_, issue) in enumerate(PRICES.values()) if issue is None}
+    issues = {int(r.product_id): r.price_issue for r in clean.collect()}
+    assert issues == {
+        n: issue
+        for n, (_, issue) in enumerate(PRICES.values())
+        if issue in (None, "out_of_range")
+    }
+    narrow = cleaning.narrow_items(clean.filter("price_issue IS NULL"))
+    assert narrow.schema.simpleString() == CLEAN_ITEMS.simpleString()
+    kept = {int(r.product_id) for r in narrow.collect()}
+    assert kept == {n for n, issue in issues.items() if issue is None}
+    with pytest.raises(Exception, match="price does not fit"):
+        cleaning.narrow_items(clean).collect()
     counts = {
         r.outcome: r.item_count
         for r in cleaning.dropped_item_counts(cleaning.coerce_items(raw)).collect()
@@ -131,9 +141,10 @@ def test_clean_items_keeps_exactly_the_prices_without_issue(spark):
 
 def test_bad_freight_is_kept_as_missing(spark):
     raw = items(spark, [("o", "a", "1", "n/a"), ("o", "b", "1", "-2"), ("o", "c", "1", None)])
-    got = {r.product_id: r.freight_value for r in cleaning.clean_items(raw).collect()}
+    clean = cleaning.narrow_items(cleaning.clean_items(raw))
+    got = {r.product_id: r.freight_value for r in clean.collect()}
     assert got == {"a": None, "b": Decimal("-2.00"), "c": None}
-    filled = cleaning.default_freight(cleaning.clean_items(raw))
+    filled = cleaning.default_freight(clean)
     assert {r.product_id: r.freight_value for r in filled.collect()} == {
         "a": Decimal("0.00"),
         "b": Decimal("-2.00"),
@@ -153,10 +164,34 @@ def test_timestamps_do_not_depend_on_the_session_zone(spark, zone):
     assert {r.t: r.p for r in rows} == TIMES
 
 
-def test_another_timestamp_form_can_be_accepted(spark):
-    df = spark.createDataFrame([("2018-01-02",), ("2018-01-02 00:00:00",)], "t string")
-    rows = df.select(parse_timestamp(F.col("t"), r"\A\d{4}-\d\d-\d\d\z").alias("p")).collect()
-    assert [r.p for r in rows] == [datetime(2018, 1, 2), None]
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_another_timestamp_form_by_pattern(spark, zone):
+    texts = {
+        "01/02/2018 03:04:05": datetime(2018, 1, 2, 3, 4, 5),
+        # Falls into a daylight-saving gap.
+        "03/25/2018 02:30:00": datetime(2018, 3, 25, 2, 30),
+        "2018-01-02 03:04:05": None,
+        "02/30/2018 00:00:00": None,
+        "01/02/9999 00:00:00": None,
+        '"01/02/2018, 03:04:05': None,
+        "": None,
+        None: None,
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        rows = df.select("t", parse_timestamp(F.col("t"), "MM/dd/yyyy H:m:s").alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {r.t: r.p for r in rows} == texts
+
+
+def test_freight_out_of_range_is_flagged(spark):
+    texts = {"1": None, "bad": None, "inf": 1, "-inf": 1, "123456789012": 1, "-1e30": 1, "-2": None}
+    raw = items(spark, [("o", text, "1", text) for text in texts])
+    got = {r.product_id: r.freight_issue for r in cleaning.coerce_items(raw).collect()}
+    assert got == {text: bad and "out_of_range" for text, bad in texts.items()}
 
 
 def test_delivery_date_is_filled_after_parsing(spark):
@@ -215,7 +250,7 @@ def test_cleaning_its_own_output_changes_nothing(spark):
     sf_dir = "/root/testdata/sf0.001"
     for once, clean in [
         (orders_of(spark, sf_dir), cleaning.clean_orders),
-        (items_of(spark, sf_dir), cleaning.clean_items),
+        (items_of(spark, sf_dir), lambda raw: cleaning.narrow_items(cleaning.clean_items(raw))),
     ]:
         text = once.select([F.col(name).cast("string") for name in once.columns])
         again = clean(text)
@@ -229,4 +264,4 @@ def test_every_row_is_kept_or_dropped_for_one_reason(spark):
     counts = cleaning.dropped_item_counts(cleaning.coerce_items(raw))
     counted = {r.outcome: r.item_count for r in counts.collect()}
     assert sum(counted.values()) == raw.count()
-    assert counted["kept"] == cleaning.clean_items(raw).count()
+    assert counted["kept"] + counted["out_of_range"] == cleaning.clean_items(raw).count()

@@ -82,9 +82,5 @@ def test_merge_equals_a_dictionary_update(spark, old, new):
     expected |= {k: (s, FIRST if k in old else SECOND, SECOND) for k, s in new.items()}
     got = {r.order_id: (r.order_status, r.created_at, r.updated_at) for r in merged.collect()}
     assert got == expected
-    for batch_rows in [len(new), merge.BROADCAST_ROWS + 1]:
-        checked = merge.upsert_checked_batch(target, batch, SECOND, batch_rows)
-        assert checked.schema.simpleString() == merged.schema.simpleString()
-        assert rows_of(checked) == rows_of(merged)
     again = merge.upsert_orders(merged, batch, SECOND)
     assert rows_of(again) == rows_of(merged)

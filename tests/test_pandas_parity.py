@@ -6,6 +6,7 @@ import re
 import warnings
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from orderledger.functions import parse_timestamp
@@ -101,9 +102,12 @@ def random_cell(rng):
     return "".join(rng.choice('ab1",\'\\ \n;#é') for _ in range(rng.randrange(6)))
 
 
-def test_csv_cells(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_cells(spark, tmp_path, multi_line):
     rng = random.Random(20)
     rows = [[str(n), *(random_cell(rng) for _ in range(3))] for n in range(2000)]
+    if not multi_line:
+        rows = [[cell.replace("\n", " ") for cell in row] for row in rows]
     for row in rows[::7]:
         del row[rng.randint(2, 4) :]
     names = ["order_id", "product_id", "price", "freight_value"]
@@ -111,7 +115,7 @@ def test_csv_cells(spark, tmp_path):
         writer = csv_module.writer(file, lineterminator="\n")
         writer.writerows([names, *rows])
     path = str(tmp_path / "items.csv")
-    raw = cleaning.normalize_null_tokens(csv.read_raw_items(spark, path))
+    raw = cleaning.normalize_null_tokens(csv.read_raw_items(spark, path, multi_line))
     got = {r.order_id: tuple(r) for r in raw.select(names).collect()}
     frame = pd.read_csv(path, dtype=str)
     expected = {

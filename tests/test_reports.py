@@ -150,7 +150,7 @@ def test_written_report_is_one_ordered_file(spark):
     assert rows == reports.daily_revenue_report(o, i).collect()
     parts = spark.read.text(path).select(F.input_file_name()).distinct().count()
     assert parts == 1
-    daily_report.verify_daily_report(spark, path, o, i)
+    daily_report.verify_daily_report(spark, path, 28, o, i)
 
 
 def test_verify_refuses_a_wrong_or_empty_report(spark):
@@ -160,8 +160,8 @@ def test_verify_refuses_a_wrong_or_empty_report(spark):
     daily_report.write_daily_report(o, i, path)
     more = items(spark, [("a", Decimal("1.01"))])
     with pytest.raises(daily_report.ReportMismatch, match="total_revenue"):
-        daily_report.verify_daily_report(spark, path, o, more)
+        daily_report.verify_daily_report(spark, path, 1, o, more)
     empty = runs.new_path(spark, "report")
     assert daily_report.write_daily_report(o, i.limit(0), empty) == 0
     with pytest.raises(daily_report.ReportMismatch, match="report_days"):
-        daily_report.verify_daily_report(spark, empty, o, i.limit(0))
+        daily_report.verify_daily_report(spark, empty, 0, o, i.limit(0))

@@ -33,7 +33,9 @@ def test_columns_bind_by_name(spark, folder, multi_line):
 
 def test_quotes_and_line_breaks(spark, folder):
     path = folder(a='order_id,product_id,price,freight_value\n1,"a ""q""\nb, c",2,3\n')
-    assert csv.read_raw_items(spark, path).first().product_id == 'a "q"\nb, c'
+    assert csv.read_raw_items(spark, path, multi_line=True).first().product_id == 'a "q"\nb, c'
+    with pytest.raises(ValueError, match="multi_line=True"):
+        csv.read_raw_items(spark, path)
 
 
 def test_missing_column_is_an_error(spark, folder):
@@ -43,23 +45,42 @@ def test_missing_column_is_an_error(spark, folder):
 
 @pytest.mark.parametrize("multi_line", [True, False])
 @pytest.mark.parametrize("columns", [["order_id"], ["order_id", "price"], []])
-def test_long_rows_fail_whatever_is_read(spark, folder, multi_line, columns):
-    path = folder(a="order_id,product_id,price,freight_value\n1,2,3,4\n1,2,3,4,5\n")
+@pytest.mark.parametrize("row", ["1,2,3,4,5", "1,2,3,4,", '1,"a,b",3,4,"c,""d"'])
+def test_long_rows_fail_whatever_is_read(spark, folder, multi_line, columns, row):
+    path = folder(a=f"order_id,product_id,price,freight_value\n1,2,3,4\n{row}\n")
     raw = csv.read_raw_items(spark, path, multi_line)
     with pytest.raises(Exception, match="MALFORMED|too many cells"):
         raw.select(columns).collect() if columns else raw.count()
 
 
-def test_short_rows_are_filled(spark, folder):
-    path = folder(a='order_id,product_id,price,freight_value\n1,2,3,4\n5,"x\ny"\n')
-    rows = csv.read_raw_items(spark, path).collect()
-    assert [tuple(r) for r in rows] == [("1", "2", "3", "4"), ("5", "x\ny", None, None)]
-
-
-def test_short_rows_fail_where_they_may_be_halves(spark, folder):
-    path = folder(a='order_id,product_id,price,freight_value\n1,"x\ny",3,4\n')
-    with pytest.raises(Exception, match="MALFORMED"):
-        csv.read_raw_items(spark, path, multi_line=False).select("order_id").collect()
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_short_rows_are_filled(spark, folder, multi_line):
+    path = folder(a='order_id,product_id,price,freight_value\n1,2,3,4\n5,"x,y"\n6\n')
+    rows = csv.read_raw_items(spark, path, multi_line).collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", "2", "3", "4"), ("5", "x,y", None, None), ("6", None, None, None)
+    ]
+
+
+def test_halves_that_look_like_rows_are_refused(spark, folder):
+    path = folder(a='order_id,product_id,price,freight_value\n1,2,3,"x\n5,6,7,y"\n')
+    with pytest.raises(ValueError, match="multi_line=True"):
+        csv.read_raw_items(spark, path)
+    row = csv.read_raw_items(spark, path, multi_line=True).first()
+    assert row.freight_value == "x\n5,6,7,y"
+
+
+def test_a_large_file_is_split_by_default(spark, folder):
+    lines = "\n".join(f"{n},product,1.50,0.10" for n in range(20000))
+    path = folder(a=f"order_id,product_id,price,freight_value\n{lines}\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        raw = csv.read_raw_items(spark, path)
+        assert raw.rdd.getNumPartitions() > 4
+        assert raw.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 @pytest.mark.parametrize("multi_line", [True, False])
@@ -80,7 +101,8 @@ def test_raw_text_survives_a_round_trip(spark):
     )
     path = runs.new_path(spark, "raw")
     csv.write_raw_csv(df, path)
-    back = {r.order_id: r.product_id for r in csv.read_raw_items(spark, path).collect()}
+    raw = csv.read_raw_items(spark, path, multi_line=True)
+    back = {r.order_id: r.product_id for r in raw.collect()}
     # An empty cell is one of the missing-value tokens, so NULL serves as well.
     assert [back[str(n)] or "" for n in range(len(cells))] == cells
 
@@ -113,6 +135,7 @@ def test_jdbc_split_options():
         "upperBound": "1000",
         "numPartitions": "4",
     }
+    assert jdbc.key_range_options("id", None, None, 4) == {}
 
 
 class Recorder:
@@ -167,13 +190,11 @@ def test_jdbc_requests():
 def test_run_log_follows_the_last_commit(spark):
     root = runs.new_path(spark, "curated")
     assert runs.current_run(spark, root) is None
-    first = runs.commit_run(spark, root, None, DAY, "c1", "o1", "i1")
-    second = runs.commit_run(spark, root, first, DAY, "c2", "o2", "i2")
+    first = runs.commit_run(spark, root, None, DAY, "c1", {202401: "o1"}, "i1")
+    second = runs.commit_run(spark, root, first, DAY, "c2", {202401: "o1", 202402: "o2"}, "i2")
     current = runs.current_run(spark, root)
-    assert (current.run_number, current.orders_path) == (2, "o2") == (
-        second.run_number,
-        second.orders_path,
-    )
+    assert current == second and current.run_number == 2
+    assert current.order_months == {202401: "o1", 202402: "o2"}
     assert runs.run_log(spark, root).count() == 2
 
 
