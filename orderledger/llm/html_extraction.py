@@ -202,7 +202,7 @@ def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
     words: list[str] = []
 
     def end_block() -> None:
-        text = " ".join(html.unescape("".join(words)).split())
+        text = " ".join("".join(words).split())
         words.clear()
         if text:
             blocks.append(text)
@@ -213,7 +213,7 @@ def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
         if item is None:
             end_block()
         elif isinstance(item, str):
-            words.append(item)
+            words.append(html.unescape(item))
         elif item.skipped or (not item.main and _path_key(item.path) in template):
             if item.tag not in INLINE:
                 end_block()

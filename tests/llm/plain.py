@@ -1,0 +1,68 @@
+"""Brute-force versions that the operators are held against."""
+
+from collections import defaultdict
+
+
+class Union:
+    def __init__(self):
+        self.parent = {}
+
+    def find(self, x):
+        while self.parent.setdefault(x, x) != x:
+            x = self.parent[x]
+        return x
+
+    def join(self, a, b):
+        a, b = sorted((self.find(a), self.find(b)))
+        self.parent[b] = a
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def linked(a, b, percent):
+    both = len(a & b)
+    return bool(a and b) and 100 * both >= percent * len(a | b)
+
+
+def components(sets, percent):
+    """{key: set} to {key: smallest key reachable}, by all pairs that share a member."""
+    union, holders = Union(), defaultdict(set)
+    for key, members in sets.items():
+        union.find(key)
+        for member in members:
+            holders[member].add(key)
+    met = {
+        (a, b)
+        for keys in holders.values()
+        if len(keys) > 1
+        for a in keys
+        for b in keys
+        if a < b
+    }
+    for a, b in met:
+        if linked(sets[a], sets[b], percent):
+            union.join(a, b)
+    return {key: union.find(key) for key in sets}
+
+
+def repeats(texts):
+    """Kept bytes and spans of each of the texts, in order, by all windows of 100 bytes."""
+    seen, result = set(), []
+    for text in texts:
+        covered, own = bytearray(len(text)), set()
+        for at in range(len(text) - 99):
+            window = text[at : at + 100]
+            if window in seen or window in own:
+                covered[at : at + 100] = b"\x01" * 100
+            own.add(window)
+        seen |= own
+        kept = bytes(c for c, gone in zip(text, covered) if not gone)
+        edges = [k for k in range(len(text) + 1)
+                 if (covered[k - 1] if k else 0) != (covered[k] if k < len(text) else 0)]
+        result.append((kept, list(zip(edges[::2], edges[1::2]))))
+    return result

@@ -1,0 +1,119 @@
+"""Groups against all pairs, hot groups, sketches, odd rows."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderledger.llm import near_duplicates as nd
+from orderledger.llm import setsketch
+from orderledger.llm.components import connected_components, local_components
+from tests.llm.conftest import ODD
+from tests.llm.plain import Union, components, shingles
+
+
+def found(df):
+    rows = nd.near_duplicates(df).collect()
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows}
+
+
+def expected(rows):
+    sets = {n: shingles(text) for n, text in rows}
+    groups = components(sets, nd.PERCENT)
+    return {n: (len(s), groups[n], groups[n] == n) for n, s in sets.items()}
+
+
+def test_documents_equal_brute_force(documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert found(documents) == expected(rows)
+
+
+def mutated(words, changes, rng):
+    words = list(words)
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("chunk", [8, 256])
+def test_a_large_group_of_near_copies(docs, monkeypatch, chunk):
+    """Copies around the threshold: many pairs are no links, most are linked through others."""
+    monkeypatch.setattr(nd, "CHUNK", chunk)
+    rng = random.Random(4)
+    base = [f"b{n}" for n in range(150)]
+    rows = [(n, mutated(base, rng.randrange(7), rng)) for n in range(120)]
+    rows += [(200 + n, mutated([f"c{n}_{k}" for k in range(40)], 1, rng)) for n in range(30)]
+    rng.shuffle(rows)
+    got = found(docs(rows))
+    assert got == expected(rows)
+    assert 1 < len({c for _, c, _ in got.values()}) < 150
+
+
+def test_letters_case_and_white_space(docs):
+    rows = [(3, "A b\x0bC d E f"), (4, "a B\nc\x0cd e F "), (5, "Ä b c d e f"), (6, "ä b c d e f"),
+            (7, "x y"), (8, "x  y"), (9, "y x"), (10, "a\x1cb"), (11, "a b")]
+    got = found(docs(rows))
+    assert got == expected(rows)
+    assert got[4][1] == 3 and got[8][1] == 7 and got[6][1] == 6 and got[11][1] == 11
+
+
+def test_odd_rows(docs):
+    rows = nd.near_duplicates(docs(ODD)).collect()
+    assert len(rows) == len(ODD)
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[None].kept and by_id[None].component_id is None
+    assert [by_id[n].n_shingles for n in (1, 2, 3)] == [0, 0, 0]
+    assert all(by_id[n].kept and by_id[n].component_id == n for n in (1, 2, 3, 4, 5, 6))
+    assert not by_id[7].kept and by_id[7].component_id == 6
+    assert nd.near_duplicates(docs([]).limit(0)).collect() == []
+    assert nd.one_of_each(docs([]).limit(0)).collect() == []
+
+
+def test_one_of_each_keeps_rows_and_columns(docs):
+    df = docs(ODD)
+    kept = nd.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6]
+
+
+def test_sketches_merge_and_estimate():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    whole = setsketch.registers(pool, np.array([0]))[0]
+    parts = setsketch.registers(pool, np.array([0, 1500]))
+    assert np.array_equal(setsketch.merge(*parts), whole)
+    for share, may in ((0.95, True), (0.85, True), (0.55, False), (0.2, False)):
+        a, both = pool[:1000], int(2000 * share / (1 + share))
+        b = np.concatenate([pool[:both], pool[1000 : 2000 - both]])
+        u, v = setsketch.registers(np.concatenate([a, b]), np.array([0, 1000]))
+        sizes = np.array([1000]), np.array([len(b)])
+        assert setsketch.may_reach(u[None], v[None], *sizes, 0.85)[0] == may, share
+
+
+def test_pairs_in_tasks():
+    tasks = np.array([1, 1, 1, 4, 7, 7])
+    for most in (1, 2, 100):
+        pairs = [p for a, b in nd.pairs_in_tasks(tasks, most) for p in zip(a.tolist(), b.tolist())]
+        assert pairs == [(0, 1), (0, 2), (1, 2), (4, 5)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    chain = [(n, n + 1) for n in range(500, 560)]
+    star = [(0, 1000 + n) for n in range(300)] + [(5000, 1000 + n) for n in range(0, 300, 50)]
+    some = [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)]
+    edges = chain + star + some + [(7, 7), (None, 3), (3, None)]
+    rng.shuffle(edges)
+    union = Union()
+    real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+    for a, b in real:
+        union.join(a, b)
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r.id: r.component for r in connected_components(frame).collect()}
+    assert got == {n: union.find(n) for edge in real for n in edge}
+    assert connected_components(frame.filter(F.lit(False))).collect() == []
+    a, b = np.array(real).T
+    labels = local_components(6000, a, b)
+    assert all(labels[n] == c for n, c in got.items())

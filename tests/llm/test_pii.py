@@ -1,0 +1,111 @@
+"""Base kinds against their expressions, checksums, context, odd rows."""
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from orderledger.llm import pii, queries
+from tests.llm.conftest import ODD, SF_DIR
+
+EXPRESSIONS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_luhn(digits):
+    total = 0
+    for k, c in enumerate(digits[::-1]):
+        total += sum(divmod(int(c) * 2, 10)) if k % 2 else int(c)
+    return total % 10 == 0
+
+
+def holds(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in value.split("."))
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and plain_luhn(digits)
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def base_spans(text):
+    return [
+        (kind, found.start(), found.end())
+        for kind, expression in EXPRESSIONS.items()
+        for found in re.finditer(expression, text)
+        if holds(kind, found[0])
+    ]
+
+
+def found_base(text):
+    return [
+        (s["kind"], s["start"], s["end"]) for s in pii.spans_of(text) if s["kind"] in EXPRESSIONS
+    ]
+
+
+TEXTS = [
+    "a@b.c@d.e f..@x.y.z @q.r x@y @@ a@b..c",
+    "1.2.3.4.5.6.7.8 256.1.1.1 0001.02.3.255 1.2.3",
+    "card 4111 1111 1111 1111 and 4111-1111-1111-1112 4 1 1 1",
+    "+1 (555) 555-1234 +1234567 ++12 345 678 9 +1-1",
+    "1" * 50 + " " + "+" * 40 + "a" * 5000 + "@",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_base_kinds(text):
+    assert found_base(text) == base_spans(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("a.@-+ 0129()%x:", max_size=60))
+def test_base_kinds_on_any_text(text):
+    assert found_base(text) == base_spans(text)
+
+
+def test_checksums():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765433")
+
+
+def test_added_kinds_need_confirmation():
+    kinds = lambda text: {s["kind"] for s in pii.spans_of(text)}
+    assert "iban" in kinds("pay to GB82 WEST 1234 5698 7654 32 BY MONDAY")
+    assert "iban" not in kinds("pay to GB82 WEST 1234 5698 7654 33 by Monday")
+    assert "short_card" in kinds("my amex card 378282246310005 thanks")
+    assert "short_card" not in kinds("number 378282246310005 of many")
+    assert "ssn" in kinds("SSN 078-05-1120") and "ssn" not in kinds("part 078-05-1120")
+    assert "local_phone" in kinds("call 555-123-4567 now")
+    assert not kinds("chapter 555-123-4567 of it")
+
+
+def test_long_runs_are_linear():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "+1" + "(" * 200_000, "1." * 100_000,
+                 "a@" * 100_000, "A1" * 100_000):
+        pii.spans_of(text)
+
+
+def test_operator_on_odd_rows(docs):
+    rows = [*ODD, (9, "mail a@b.cd")]
+    got = pii.find_pii(docs(rows)).collect()
+    assert len(got) == len(rows)
+    assert [s.value for r in got for s in r.spans] == ["a@b.cd"]
+    assert pii.find_pii(docs([]).limit(0)).collect() == []
+
+
+def test_query(spark, documents):
+    got = {r.doc_id: r for r in queries.QUERIES["op3_pii"](spark, SF_DIR).collect()}
+    for row in documents.collect():
+        spans = base_spans(row.text or "")
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        found = got[row.doc_id]
+        assert found.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        counts = [found.n_email, found.n_ip, found.n_card, found.n_phone]
+        assert counts == [sum(k == kind for k, _, _ in spans) for kind in EXPRESSIONS]
+        assert set(filter(None, text.split(","))) <= set(found.spans.split(","))

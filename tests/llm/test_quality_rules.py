@@ -1,0 +1,107 @@
+"""Measures against plain Python, EM on planted votes, odd rows."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderledger.llm import quality_rules as q
+from tests.llm.conftest import ODD, SF_DIR
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen = {}
+    for at in range(len(words) - 7):
+        seen.setdefault(tuple(words[at : at + 8]), []).append(at)
+    covered = {
+        at + k for places in seen.values() if len(places) > 1 for at in places for k in range(8)
+    }
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+TEXTS = [
+    "a b c d e f g h " * 3,
+    "a b c d e f g h x a b c d e f g h",
+    "a b c d e f g",
+    "x\x0by\x0cz\x1cw v",
+    "l\nl\n\n \nm\nl",
+    "a#b $$ <tag> |",
+]
+
+
+def test_measures_equal_plain_python(spark, docs, documents):
+    rows = [*ODD, *enumerate(TEXTS, 100)]
+    frame = docs(rows).select("doc_id", "text").unionByName(documents.select("doc_id", "text"))
+    kept = frame.withColumn("key", F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("-")), 256)))
+    texts = {row.key: row.text for row in kept.collect()}
+    got = {row.key: tuple(row[n] for n in NAMES) for row in q.measured(kept, "key").collect()}
+    assert got == {key: measures(text) for key, text in texts.items()}
+
+
+def test_every_row_has_one_verdict(docs):
+    rows = {r.doc_id: r for r in q.quality(docs(ODD)).collect()}
+    assert len(q.quality(docs(ODD)).collect()) == len(ODD)
+    assert all(rows[n].base_failed and not rows[n].kept for n in (1, 2, 3, 4, 5, 6, 7))
+    assert q.quality(docs([]).limit(0)).collect() == []
+
+
+def test_em_finds_planted_accuracies(spark):
+    """Two rules that often fire on bad documents, one that fires on any: it gets no say."""
+    votes = []
+    for n in range(4000):
+        bad = n % 10 == 0
+        votes.append(
+            [
+                -1 if bad and n % 4 else 0,
+                -1 if bad and n % 5 else 0,
+                -1 if n % 7 == 0 else 0,
+                0 if bad else 1,
+            ]
+        )
+    patterns = (
+        spark.createDataFrame([(v,) for v in votes], "votes array<int>")
+        .groupBy("votes")
+        .agg(F.count("*").alias("n"))
+    )
+    model = q.LabelModel(4).fit(patterns)
+    assert 0.85 < model.share < 0.95
+    assert model.given[0][0][-1] > 0.4 > 0.02 > model.given[0][1][-1]
+    one = spark.createDataFrame([([0, 0, -1, 1],), ([-1, -1, 0, 0],)], "votes array<int>")
+    good, bad = (r[0] for r in one.select(model.posterior(F.col("votes"))).collect())
+    assert good > 0.9 and bad < 0.1
+
+
+def test_posterior_agrees_with_labels(spark):
+    found = q.quality(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = found.join(labels, "doc_id").filter("NOT base_failed")
+    counts = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert counts[1, True] / (counts[1, True] + counts.get((1, False), 0)) > 0.99
+    assert counts[0, False] / (counts[0, False] + counts.get((0, True), 0)) > 0.8
+
+
+def test_no_python_on_the_main_path(documents):
+    plan = q.quality(documents)._jdf.queryExecution().toString()
+    measured = q.measured(documents)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan + measured)
+
+
+@pytest.mark.parametrize("name", ["op1_quality_rules"])
+def test_query_columns(spark, name):
+    from orderledger.llm.queries import QUERIES
+
+    df = QUERIES[name](spark, SF_DIR)
+    assert df.columns[:8] == ["doc_id", *NAMES, "base_failed", "kept"]
+    assert [kind for _, kind in df.dtypes[:8]] == ["bigint"] * 6 + ["boolean"] * 2
