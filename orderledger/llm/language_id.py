@@ -33,7 +33,12 @@ ROWS_PER_LANGUAGE = 700
 PIECES, PIECE = 3, 200
 EPOCHS, RATE, TRAIN_BATCH = 6, 0.01, 64
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+WORD_CHARACTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is alphabetic; a fraction, say, is a word character and no letter."""
+    return any(found[0].isalpha() for found in WORD_CHARACTER.finditer(text))
 
 
 @dataclass
@@ -151,7 +156,7 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> Network | None:
 
 def predict(network: Network | None, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Language and its probability; `und` and 0 for a text without a letter."""
-    spoken = [bool(LETTER.search(text)) and network is not None for text in texts]
+    spoken = [network is not None and has_letter(text) for text in texts]
     found, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     rows = np.flatnonzero(spoken)
     if len(rows):
@@ -175,10 +180,10 @@ def training_sample(labelled: DataFrame) -> tuple[list[str], list[str]]:
     Every document of a language has the same chance; what comes to the driver is bounded by the
     number of languages, not by the documents or their lengths.
     """
-    usable = labelled.filter(
+    known = labelled.filter(
         F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").rlike("\\p{L}")
     )
-    counts = usable.groupBy("lang").count().collect()
+    counts = known.groupBy("lang").count().collect()
     pieces = [
         F.substring("text", 1 + F.floor(F.length("text") * k / PIECES).cast("int"), F.lit(PIECE))
         for k in range(PIECES)
@@ -189,10 +194,10 @@ def training_sample(labelled: DataFrame) -> tuple[list[str], list[str]]:
             chance
         )
     drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < chance * (1 << 30)
-    rows = usable.filter(drawn).select("id", "lang", F.array(*pieces).alias("pieces")).collect()
+    rows = known.filter(drawn).select("id", "lang", F.array(*pieces).alias("pieces")).collect()
     rows.sort(key=lambda row: (row.id, row.pieces))
-    texts = [piece for row in rows for piece in row.pieces if LETTER.search(piece)]
-    return texts, [row.lang for row in rows for piece in row.pieces if LETTER.search(piece)]
+    usable = [(piece, row.lang) for row in rows for piece in row.pieces if has_letter(piece)]
+    return [piece for piece, _ in usable], [lang for _, lang in usable]
 
 
 def held_out(id_column: Column) -> Column:

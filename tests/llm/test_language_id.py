@@ -78,7 +78,7 @@ def test_gradients(network):
 def test_odd_rows(spark, docs):
     train = spark.createDataFrame([(n + 100, t, lang) for n, t, lang in rows()],
                                   "doc_id bigint, text string, lang string")
-    odd = docs([*ODD, (8, "12 34 !!"), (9, "x")]).withColumn("lang", F.lit(None).cast("string"))
+    odd = docs([*ODD, (8, "12 ½ ² !!"), (9, "x")]).withColumn("lang", F.lit(None).cast("string"))
     both = train.unionByName(odd.select("doc_id", "text", "lang"))
     out = {r.doc_id: r for r in li.identify(both).collect()}
     assert li.identify(both).count() == 60 + len(ODD) + 2
