@@ -26,9 +26,11 @@ from orderledger.llm.near_duplicates import spanning_edges, whole_tasks
 
 THRESHOLD = 0.9
 SAMPLE, MOST_CELLS, CELL_ROWS, ROUNDS = 16384, 1024, 400, 8
-#: A vector visits the cells whose centre is at most this much less similar than its own one.
-MARGIN = 0.15
-#: Members of a cell that a task takes from each of two blocks.
+#: A vector visits the cells whose centre is at most this much less similar than its own one. On
+#: vectors without any clusters, of pairs with a cosine of exactly 0.9 the margin meets 0.994, of
+#: those with 0.95 all but 0.0002 (measured with 128 cells of 64 dimensions).
+MARGIN = 0.1
+#: A task compares so many members of a cell with as many members or visitors.
 BLOCK = 256
 
 
@@ -118,42 +120,72 @@ def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, tasks[1:] != tasks[:-1]])
         for start, end in zip(starts, [*starts[1:], len(tasks)]):
             block = table.slice(start, end - start)
+            at_home = block["as_home"].to_numpy()
+            if at_home.all() or not at_home.any():
+                continue
             reps, members = block["rep"].to_numpy(), block["members"].to_numpy()
-            home, cell = block["home"].to_numpy(), block["cell"].to_numpy()
-            own = block["own"].to_numpy()
+            home, cell = block["home"].to_numpy(), block["cell"].to_numpy()[0]
             rows = unit_rows(block["vector"])
-            linked = rows @ rows.T >= THRESHOLD
-            np.fill_diagonal(linked, False)
-            at_home = home == cell
-            linked &= at_home[:, None] | at_home[None, :]
-            if block["mixed"][0].as_py():  # two blocks: their own pairs are another task's
-                linked &= own[:, None] != own[None, :]
+            own, others = np.flatnonzero(at_home), np.flatnonzero(~at_home)
+            linked = rows[own] @ rows[others].T >= THRESHOLD
+            linked &= reps[own][:, None] != reps[others][None, :]
             a, b = np.nonzero(linked)
-            # A guest's pair is left to the smaller of two cells that could compare it.
-            guest = np.flatnonzero(home[a] != home[b])
-            if len(guest):
+            a, b = own[a], others[b]
+            # A visitor's pair is left to the smaller of two cells that both compare it.
+            visitor = home[b] != cell
+            doubtful = np.flatnonzero(visitor & (home[b] < cell))
+            if len(doubtful):
                 cells = block["cells"].to_pylist()
                 keep = np.ones(len(a), bool)
-                for i in guest:
-                    x, y = (a[i], b[i]) if home[a[i]] == cell[0] else (b[i], a[i])
-                    keep[i] = not (home[y] < cell[0] and home[y] in cells[x])
-                a, b = a[keep], b[keep]
-            links = np.bincount(a, members[b], len(reps)).astype(np.int64)
+                keep[doubtful] = [home[b[i]] not in cells[a[i]] for i in doubtful]
+                a, b, visitor = a[keep], b[keep], visitor[keep]
+            # Two members meet twice, each being the first once; a visitor's pair counts for both.
+            links = np.bincount(a, members[b], len(reps))
+            links += np.bincount(b[visitor], members[a[visitor]], len(reps))
             some = links > 0
             edges = spanning_edges(reps, a, b)
             nothing = pa.nulls(int(some.sum()), pa.int64())
+            counts = pa.array(links[some].astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([pa.array(reps[some]), edges.column("a")]),
                     pa.concat_arrays([nothing, edges.column("b")]),
-                    pa.concat_arrays(
-                        [pa.array(links[some]), pa.nulls(edges.num_rows, pa.int64())]
-                    ),
+                    pa.concat_arrays([counts, pa.nulls(edges.num_rows, pa.int64())]),
                 ],
                 names=["a", "b", "links"],
             )
 
 
+def _dealt(assigned: DataFrame) -> DataFrame:
+    """Each cell's members, in blocks, to meet each block of its members and visitors."""
+    visits = assigned.withColumn("cell", F.explode("cells"))
+    member = F.col("home") == F.col("cell")
+    sizes = written(
+        visits.groupBy("cell").agg(
+            F.ceil(F.count_if(member) / BLOCK).cast("int").alias("home_blocks"),
+            F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+        ),
+        "cell_sizes",
+    )
+    placed = visits.join(sizes.filter("home_blocks > 0"), "cell")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    home_block = F.pmod(F.xxhash64("rep"), F.col("home_blocks")).cast("int")
+    first = placed.filter(member).select(
+        "*",
+        F.lit(True).alias("as_home"),
+        home_block.alias("x"),
+        F.explode(F.expr("sequence(0, blocks - 1)")).alias("y"),
+    )
+    second = placed.select(
+        "*",
+        F.lit(False).alias("as_home"),
+        F.explode(F.expr("sequence(0, home_blocks - 1)")).alias("x"),
+        block.alias("y"),
+    )
+    both = first.unionByName(second).withColumn("task", F.xxhash64("cell", "x", "y"))
+    return both.drop("home_blocks", "blocks", "x", "y")
+
+
 def near_vectors(
     df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -196,18 +228,9 @@ def near_vectors(
         ),
         "cells",
     )
-    visits = assigned.withColumn("cell", F.explode("cells"))
-    sizes = visits.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = (
-        visits.join(sizes, "cell")
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .withColumn("task", F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")))
-        .withColumn("mixed", F.col("own") != F.col("other"))
-        .drop("blocks", "other")
-    )
     links = written(
-        dealt.repartition("task")
+        _dealt(assigned)
+        .repartition("task")
         .sortWithinPartitions("task")
         .mapInArrow(_block_links, "a bigint, b bigint, links bigint"),
         "vector_links",
