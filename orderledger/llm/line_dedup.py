@@ -8,7 +8,7 @@ first stays. "First" goes by document id, then by place in the document.
 
 Candidates are linked to the smallest class of their bucket, and the components of these links
 are groups outside of which no class has a candidate. The lines of a group meet, in chunks where
-there are many (see `near_duplicates.in_chunks`), and pairs not yet connected are compared.
+there are many (see `near_duplicates.in_chunks`), and all pairs that meet are compared.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from orderledger.llm.near_duplicates import in_chunks, spanning_edges, whole_tas
 SHINGLE = 9
 #: A link: PERCENT of the union are in both.
 PERCENT = 80
-#: Eight bands of four values: at a similarity of 0.8 a pair is met with probability 0.985, at
-#: 0.85 with 0.998, and unrelated lines (at most some 0.01) with less than 1e-7.
-ROWS, BANDS = 4, 8
+#: Ten bands of four values: at a similarity of 0.8 a pair is met with probability 0.995, at
+#: 0.85 with 0.9994, and unrelated lines (at most some 0.01) with at most 1e-7.
+ROWS, BANDS = 4, 10
 _RANDOM = np.random.default_rng(20240518)
 _MIX = _RANDOM.integers(0, 2**63, 6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLIERS = _RANDOM.integers(0, 2**31, ROWS * BANDS, dtype=np.uint32) * np.uint32(2)
@@ -53,8 +53,8 @@ def shingle_set(line: str) -> set[str]:
     return {line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)}
 
 
-def signature_bands(lines: list[str]) -> np.ndarray:
-    """Each normal line's band hashes, a row each: minima of its shingles, four to a band."""
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of all shingles of normal lines, and where each line's begin."""
     lines = [line.ljust(SHINGLE) for line in lines]
     sizes = np.array([len(line) for line in lines], np.int64)
     chars = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -64,13 +64,16 @@ def signature_bands(lines: list[str]) -> np.ndarray:
     nine = eight[:-1] * _MIX[3] + chars[SHINGLE - 1 :]
     nine ^= nine >> np.uint64(32)
     nine *= _MIX[4]
-    ends = np.cumsum(sizes)
     inside = np.ones(len(chars), bool)
-    tails = (ends[:, None] - np.arange(1, SHINGLE)).ravel()
-    inside[tails] = False
-    hashes = (nine >> np.uint64(32)).astype(np.uint32)[inside[: len(nine)]]
+    inside[(np.cumsum(sizes)[:, None] - np.arange(1, SHINGLE)).ravel()] = False
     counts = sizes - (SHINGLE - 1)
-    starts = np.cumsum(counts) - counts
+    return nine[inside[: len(nine)]], np.cumsum(counts) - counts
+
+
+def signature_bands(lines: list[str]) -> np.ndarray:
+    """Each normal line's band hashes, a row each: minima of its shingles, four to a band."""
+    names, starts = shingle_hashes(lines)
+    hashes = (names >> np.uint64(32)).astype(np.uint32)
     bands = np.zeros((len(lines), BANDS), np.uint64)
     for i in range(ROWS * BANDS):
         least = np.minimum.reduceat(hashes * _MULTIPLIERS[i] + _ADDENDS[i], starts)
@@ -92,7 +95,7 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     copies of frequent lines out of the exchange of buckets.
     """
     seen: set[int] = set()
-    for docs, texts in text_groups(batches):
+    for docs, texts in text_groups(batches, 250_000):
         counts, places, digests, ends, repeats = [], [], [], [0], []
         fresh: dict[int, str] = {}
         for text in texts:
@@ -158,45 +161,87 @@ def _picked_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _similar(a: set, b: set) -> bool:
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
-        return False
-    both = len(a & b)
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+def similar_pairs(lines: list[str], columns: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of the lines whose shingle sets are similar enough, by exact counts.
+
+    Intersections of all pairs at once are a matrix product of the lines' shingles, of which
+    those of one line only cannot count.
+    """
+    hashes, starts = shingle_hashes(lines)
+    owner = np.repeat(np.arange(len(lines)), np.diff(np.append(starts, len(hashes))))
+    order = np.lexsort((owner, hashes))
+    hashes, owner = hashes[order], owner[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    hashes, owner = hashes[first], owner[first]
+    sizes = np.bincount(owner, minlength=len(lines))
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    names = np.cumsum(new) - 1
+    common = np.bincount(names)[names] > 1
+    names, owner = np.unique(names[common], return_inverse=True)[1], owner[common]
+    both = np.zeros((len(lines), len(lines)), np.float32)
+    for begin in range(0, int(names.max(initial=-1)) + 1, columns):
+        part = (names >= begin) & (names < begin + columns)
+        rows = np.zeros((len(lines), columns), np.float32)
+        rows[owner[part], names[part] - begin] = 1
+        both += rows @ rows.T
+    union = sizes[:, None] + sizes[None, :] - both
+    a, b = np.nonzero(100 * both.astype(np.float64) >= PERCENT * union)
+    return a[a < b], b[a < b]
 
 
 def _confirmed_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact comparison of the lines of a task, each with those it is not yet connected to."""
+    """Exact comparison of the lines of each task."""
     for table in whole_tasks(batches, 1024):
         tasks, keys = table["task"].to_numpy(), table["h1"].to_numpy()
         lines = table["line"].to_pylist()
-        parent = list(range(len(lines)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
+        found_a, found_b = [], []
         starts = np.flatnonzero(np.r_[True, tasks[1:] != tasks[:-1]]).tolist()
         for start, end in zip(starts, [*starts[1:], len(lines)]):
-            sets = [shingle_set(line) for line in lines[start:end]]
-            for x in range(1, end - start):
-                for y in range(x):
-                    if root(start + x) != root(start + y) and _similar(sets[x], sets[y]):
-                        parent[root(start + x)] = root(start + y)
-        roots = np.array([root(x) for x in range(len(lines))], np.int64)
-        yield spanning_edges(keys, np.arange(len(lines)), roots)
+            if end - start == 2:
+                linked = _similar(*map(shingle_set, lines[start:end]))
+                a, b = (np.array([0]), np.array([1])) if linked else ([], [])
+            else:
+                a, b = similar_pairs(lines[start:end])
+            found_a.append(np.asarray(a, np.int64) + start)
+            found_b.append(np.asarray(b, np.int64) + start)
+        yield spanning_edges(keys, np.concatenate(found_a), np.concatenate(found_b))
+
+
+def _similar(a: set, b: set) -> bool:
+    both = len(a & b)
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
+def _to_the_smallest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket and class, links of each class to the first of its bucket.
+
+    A bucket streams through: its first class is all that is remembered of it.
+    """
+    last, head = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        buckets, classes = batch.column("bucket").to_numpy(), batch.column("h1").to_numpy()
+        new = np.ones(len(buckets), bool)
+        new[1:] = buckets[1:] != buckets[:-1]
+        new[0] = last is None or buckets[0] != last
+        begins = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+        heads = np.where(begins >= 0, classes[begins], 0 if head is None else head)
+        last, head = buckets[-1], heads[-1]
+        other = heads != classes
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(heads[other]), pa.array(classes[other])], names=["a", "b"]
+        )
 
 
 def candidate_groups(lines: DataFrame) -> DataFrame:
     """h1 and grp of the classes that share a band with another, over any number of steps."""
-    banded = lines.select("h1", F.explode("bands").alias("bucket"))
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    met = banded.join(written(sizes.select("bucket"), "buckets"), "bucket").distinct()
-    met = written(met, "bucket_members")
-    smallest = written(met.groupBy("bucket").agg(F.min("h1").alias("a")), "bucket_heads")
-    links = met.join(smallest, "bucket").select("a", F.col("h1").alias("b"))
+    banded = lines.select(F.explode("bands").alias("bucket"), "h1").repartition("bucket")
+    links = banded.sortWithinPartitions("bucket", "h1").mapInArrow(
+        _to_the_smallest, "a bigint, b bigint"
+    )
     return connected_components(links).select(
         F.col("id").alias("h1"), F.col("component").alias("grp")
     )
@@ -228,7 +273,7 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         ),
         "line_classes",
     )
-    groups = classes.join(candidate_groups(lines), "h1")
+    groups = written(classes.join(candidate_groups(lines), "h1"), "line_groups")
     picks = groups.groupBy("first_id").agg(
         F.collect_list(F.struct(F.col("first_no").alias("no"), "h1", "grp")).alias("picks")
     )
@@ -237,7 +282,7 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select("text", "picks")
         .mapInArrow(_picked_lines, "h1 bigint, grp bigint, line string")
     )
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    sizes = written(groups.groupBy("grp").agg(F.count("*").alias("members")), "group_sizes")
     tasks = in_chunks(texts, "grp", F.col("h1"), sizes).repartition("task")
     confirmed = tasks.sortWithinPartitions("task").mapInArrow(
         _confirmed_links, "a bigint, b bigint"

@@ -77,7 +77,7 @@ def _set_key(hashes: np.ndarray) -> bytes:
 
 
 def _sketcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in text_groups(batches):
+    for ids, texts in text_groups(batches, 250_000):
         sets = shingle_sets(texts)
         sizes = np.array([len(s) for s in sets], np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -291,6 +291,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     grouped = written(classes.join(groups, "rep"), "groups")
     sizes = grouped.groupBy("grp").agg(F.count("*").alias("members"))
+    sizes = written(sizes, "group_sizes")
     sets = docs.join(grouped, F.col("id") == F.col("rep")).mapInArrow(
         _set_maker, "rep bigint, grp bigint, n bigint, sketch binary, hashes array<bigint>"
     )
