@@ -70,48 +70,36 @@ def systematic_sample(rows: DataFrame, seed: int = SEED) -> DataFrame:
 
     Rows that agree in source, size and id are told apart by nothing and take turns.
     """
-    dealt = rows.withColumn("band", _band(F.col("size"))).withColumn(
-        "block", _digest(seed, F.col("id"), 2)
+    # A key without NULLs, by which rows are dealt out once for both the window and the join.
+    named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("none"))
+    place = ["source_key", "band", "block"]
+    dealt = rows.withColumns(
+        {
+            "source_key": named,
+            "band": _band(F.col("size")),
+            "block": _digest(seed, F.col("id"), 2),
+            "offset": _digest(seed, F.col("source"), 8) % UNIT,
+        }
     )
-    blocks = dealt.groupBy("source", "band", "block").agg(F.sum("units").alias("block_units"))
-    bands = blocks.groupBy("source", "band").agg(F.sum("block_units").alias("band_units"))
+    blocks = dealt.groupBy(place).agg(F.sum("units").alias("block_units"))
+    bands = blocks.groupBy(place[:2]).agg(F.sum("block_units").alias("band_units"))
     earlier = (Window.unboundedPreceding, -1)
     bands_before = F.sum("band_units").over(
-        Window.partitionBy("source").orderBy("band").rowsBetween(*earlier)
+        Window.partitionBy("source_key").orderBy("band").rowsBetween(*earlier)
     )
     blocks_before = F.sum("block_units").over(
-        Window.partitionBy("source", "band").orderBy("block").rowsBetween(*earlier)
-    )
-    bands = bands.select(
-        F.col("source").alias("s"),
-        F.col("band").alias("b"),
-        F.coalesce(bands_before, F.lit(0)).alias("bands_before"),
+        Window.partitionBy("source_key", "band").orderBy("block").rowsBetween(*earlier)
     )
+    bands = bands.select(*place[:2], F.coalesce(bands_before, F.lit(0)).alias("bands_before"))
     blocks = blocks.withColumn("blocks_before", F.coalesce(blocks_before, F.lit(0)))
-    offset = _digest(seed, F.col("source"), 8) % UNIT
-    starts = blocks.join(
-        bands, F.col("source").eqNullSafe(F.col("s")) & (F.col("band") == F.col("b"))
-    ).select(
-        F.col("source").alias("s"),
-        F.col("band").alias("b"),
-        F.col("block").alias("k"),
-        (F.col("bands_before") + F.col("blocks_before") + offset).alias("block_start"),
-    )
-    in_block = Window.partitionBy("source", "band", "block").orderBy("size", "id")
-    summed = dealt.withColumn(
-        "upto", F.sum("units").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    same = (
-        F.col("source").eqNullSafe(F.col("s"))
-        & (F.col("band") == F.col("b"))
-        & (F.col("block") == F.col("k"))
-    )
-    crossed = f"(block_start + upto) div {UNIT} - (block_start + upto - units) div {UNIT}"
-    return (
-        summed.join(starts, same)
-        .withColumn("copies", F.expr(crossed))
-        .drop("s", "b", "k", "band", "block", "block_start", "upto")
-    )
+    before = (F.col("bands_before") + F.col("blocks_before")).alias("before")
+    starts = blocks.join(bands, place[:2]).select(*place, before)
+    in_block = Window.partitionBy(place).orderBy("size", "id")
+    upto = F.sum("units").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
+    until = "offset + before + upto"
+    copies = F.expr(f"({until}) div {UNIT} - ({until} - units) div {UNIT}")
+    summed = dealt.withColumn("upto", upto).join(starts, place)
+    return summed.withColumn("copies", copies).drop(*place, "offset", "before", "upto")
 
 
 def mix(
