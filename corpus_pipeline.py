@@ -17,8 +17,8 @@ from orderledger.llm.common import table, words_of, written
 from orderledger.llm.queries import piece_model, sha256
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose language is less likely than this is rejected, and one without a letter.
-LEAST_SCORE = 0.4
+#: Rejected are documents without a letter, and those whose language is hardly a guess.
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

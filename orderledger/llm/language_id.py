@@ -32,6 +32,8 @@ BATCH = 64
 ROWS_PER_LANGUAGE = 700
 PIECES, PIECE = 3, 200
 EPOCHS, RATE, TRAIN_BATCH = 6, 0.01, 64
+#: A small sample is gone through more often, until the network has made so many steps.
+LEAST_STEPS = 300
 UNKNOWN = "und"
 WORD_CHARACTER = re.compile(r"[^\W\d_]")
 
@@ -137,10 +139,10 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> Network | None:
     weights = network.arrays()
     means = [np.zeros_like(w) for w in weights]
     squares = [np.zeros_like(w) for w in weights]
-    step = 0
-    for epoch in range(EPOCHS):
+    epochs, step = max(EPOCHS, -(-LEAST_STEPS * TRAIN_BATCH // len(windows))), 0
+    for epoch in range(epochs):
         order = random.permutation(len(windows))
-        rate = RATE * (1 - epoch / EPOCHS)
+        rate = RATE * (1 - epoch / epochs)
         for begin in range(0, len(order), TRAIN_BATCH):
             batch = order[begin : begin + TRAIN_BATCH]
             step += 1
