@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..schema import INACTIVE_STATUSES
 
-SALTS = 16
+SALTS = 8
 SALT = "_salt"
 
 
