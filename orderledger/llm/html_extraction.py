@@ -9,7 +9,8 @@ important node stays below the threshold is template and goes, on each page of t
 
 Two things no entropy can tell. What a style says about itself (`nav`, `footer`, an advert's class
 and so on) settles it for its whole branch, as menus and comments may differ on each page. And a
-page's `article` or `main`, where it has one, is its content however many pages repeat it.
+page's `article` or `main`, where it has one, is its content however many pages repeat it: branches
+in it that are template go, but not most of it.
 
 The merged statistics of a host are one row for each node of its style tree, aggregated before
 the shuffle. Pages meet them by host and a salt, so a host with a third of all pages is read by
@@ -33,6 +34,8 @@ from orderledger.llm.common import text_groups, written
 THRESHOLD, MIN_PAGES = 0.3, 8
 #: A host's pages are dealt to this many tasks' keys.
 SALTS = 64
+#: An article that would lose more than all but this share of its words stays whole.
+LEAST_SHARE = 0.25
 #: Nodes deeper than this count as children of the node at this depth.
 MOST_DEPTH = 256
 
@@ -192,20 +195,20 @@ def elements(root: Node) -> Iterator[Node]:
         stack.extend(child for child in reversed(node.children) if isinstance(child, Node))
 
 
-def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
-    """The blocks of the page's main branches, without those that are template.
+def _blocks(root: Node, template: frozenset | set = frozenset()) -> list[tuple[str, bool]]:
+    """The blocks of text that are left, and whether each is of an `article` or `main`.
 
-    If that leaves nothing of a page without an article, no branch of it counts as template.
+    Inside of these an inline element is part of a sentence and is never template by itself.
     """
     only_main = any(node.main and not node.skipped for node in elements(root))
-    blocks: list[str] = []
+    blocks: list[tuple[str, bool]] = []
     words: list[str] = []
 
     def end_block() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
-            blocks.append(text)
+            blocks.append((text, only_main))
 
     stack: list = [root]
     while stack:
@@ -214,7 +217,9 @@ def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
             end_block()
         elif isinstance(item, str):
             words.append(html.unescape(item))
-        elif item.skipped or (not item.main and _path_key(item.path) in template):
+        elif item.skipped or (
+            not (item.main and item.tag in INLINE) and _path_key(item.path) in template
+        ):
             if item.tag not in INLINE:
                 end_block()
         else:
@@ -228,8 +233,25 @@ def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
                 if isinstance(child, Node) or item.main or not only_main:
                     stack.append(child)
     end_block()
-    text = " ".join(blocks)
-    return main_text(root) if not text and template else text
+    return blocks
+
+
+def _size(blocks: list[tuple[str, bool]]) -> int:
+    return sum(len(text.split()) for text, _ in blocks)
+
+
+def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
+    """The blocks of the page's main branches, without those that are template.
+
+    An article of which template would leave less than LEAST_SHARE of the words is a copy and stays
+    whole. If nothing is left of a page, no branch of it counts as template.
+    """
+    blocks = _blocks(root, template)
+    if template:
+        whole = _blocks(root)
+        if not blocks or (whole[0][1] and _size(blocks) < LEAST_SHARE * _size(whole)):
+            blocks = whole
+    return " ".join(text for text, _ in blocks)
 
 
 def host_of(url) -> str:

@@ -65,6 +65,23 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in he.extract_text(df).collect()} == {"Same"}
 
 
+def test_template_inside_articles_goes(spark):
+    more = "<p class='app'>Read more in our <b>app</b></p>"
+    rows = [
+        (n, "http://a.b/", f"<article><h1>T{n}</h1><p>Story {n} of <i>it</i></p>{more}</article>")
+        for n in range(20)
+    ]
+    # Copies of one article, with a counter in it that differs.
+    rows += [
+        (n, "http://c.d/", f"<main><p>One and the same long story</p><div class='n'>{n}</div></main>")
+        for n in range(20, 40)
+    ]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in he.extract_text(df).collect()}
+    assert all(got[n] == f"T{n} Story {n} of it" for n in range(20))
+    assert all(got[n] == f"One and the same long story {n}" for n in range(20, 40))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "http://a.b", "<p>x"), (3, "http://a.b", "<p>y"),
             (3, "http://a.b", "<p>y"), (4, "HTTPS://u@A.B:80/p?q#f", "<p>" + "z " * 100_000)]
