@@ -57,16 +57,22 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
-#: Words in classes, ids and roles that speak of something other than the main text.
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|"
-    r"promo|promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|widget|"
-    r"footer|masthead|topbar|cookie|cookies|consent|gdpr|notice|popup|modal|overlay|newsletter|"
-    r"subscribe|signup|login|share|sharing|social|related|recommended|comment|comments|reply|"
-    r"replies|disqus|pagination|pager|toolbar|copyright|legal|skip)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Of these nothing is ever shown as text.
+UNSEEN = frozenset(
+    "head script style template noscript iframe object embed svg math canvas audio video "
+    "select textarea input title".split()
+)
+#: Words in classes and ids that speak of something other than the main text.
+BOILERPLATE = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion "
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar side widget footer masthead topbar "
+    "cookie cookies consent gdpr notice popup modal overlay newsletter subscribe signup login share "
+    "sharing social related recommended comment comments reply replies disqus pagination pager "
+    "toolbar copyright legal skip".split()
 )
-HEADING = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.IGNORECASE)
+#: Their names speak of the page's layout, and inside an article of what a part is about.
+PAGE = frozenset("html body main article".split())
+PARTS = frozenset("section h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
 )
@@ -81,8 +87,20 @@ ATTRIBUTE = re.compile(
 )
 
 
+def _boilerplate(names: str) -> bool:
+    """Whether a class or id is made of such words only: `cookie-notice`, not `side-effects`."""
+    return any(
+        BOILERPLATE.issuperset(filter(None, re.split("[_-]", name)))
+        for name in names.lower().split()
+        if name.strip("_-")
+    )
+
+
 class Node:
-    """An element: its style, parent, and children in order, texts among them."""
+    """An element: its style, parent, and children in order, texts among them.
+
+    `skipped` is told of the top of a branch only; `main` of all nodes in an article.
+    """
 
     __slots__ = ("tag", "style", "parent", "children", "depth", "path", "skipped", "main")
 
@@ -92,11 +110,12 @@ class Node:
         self.depth = 0 if parent is None else parent.depth + 1
         above = parent.path if parent is not None else ""
         self.path = above if self.depth > MOST_DEPTH else f"{above}/{self.style}"
-        own = tag in SKIPPED or role in ROLES or bool(names and BOILERPLATE.search(names))
-        if tag == "header" or (names and HEADING.search(names)):
-            # An article's header may hold its title.
-            own = own or not (parent is not None and parent.main)
-        self.skipped = own or (parent is not None and parent.skipped)
+        inside = parent is not None and parent.main
+        told = names and tag not in PAGE and not (inside and tag in PARTS)
+        self.skipped = tag in SKIPPED or role in ROLES or bool(told and _boilerplate(names))
+        # An article's header may hold its title.
+        if (tag == "header" or (told and "header" in names.lower().split())) and not inside:
+            self.skipped = True
         self.main = tag in MAIN or role == "main" or (parent is not None and parent.main)
 
 
@@ -195,12 +214,22 @@ def elements(root: Node) -> Iterator[Node]:
         stack.extend(child for child in reversed(node.children) if isinstance(child, Node))
 
 
+def _seen(root: Node) -> Iterator[Node]:
+    """The elements outside of skipped branches, and the tops of these."""
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        yield node
+        if not node.skipped:
+            stack.extend(child for child in reversed(node.children) if isinstance(child, Node))
+
+
 def _blocks(root: Node, template: frozenset | set = frozenset()) -> list[tuple[str, bool]]:
     """The blocks of text that are left, and whether each is of an `article` or `main`.
 
     Inside of these an inline element is part of a sentence and is never template by itself.
     """
-    only_main = any(node.main and not node.skipped for node in elements(root))
+    only_main = any(node.main and not node.skipped for node in _seen(root))
     blocks: list[tuple[str, bool]] = []
     words: list[str] = []
 
@@ -244,13 +273,21 @@ def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
     """The blocks of the page's main branches, without those that are template.
 
     An article of which template would leave less than LEAST_SHARE of the words is a copy and stays
-    whole. If nothing is left of a page, no branch of it counts as template.
+    whole. If nothing is left of a page, no branch of it counts as template, and if still nothing
+    is, the largest of its skipped branches that can be seen is the page.
     """
     blocks = _blocks(root, template)
     if template:
         whole = _blocks(root)
         if not blocks or (whole[0][1] and _size(blocks) < LEAST_SHARE * _size(whole)):
             blocks = whole
+    if not blocks:
+        branches = [node for node in _seen(root) if node.skipped and node.tag not in UNSEEN]
+        for every in (False, True):
+            for branch in branches:
+                for node in elements(branch) if every else [branch]:
+                    node.skipped = node.tag in UNSEEN
+            blocks = blocks or max(map(_blocks, branches), key=_size, default=[])
     return " ".join(text for text, _ in blocks)
 
 

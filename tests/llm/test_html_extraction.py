@@ -65,6 +65,27 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in he.extract_text(df).collect()} == {"Same"}
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<body class='single right-sidebar'><p>s</p>", "s"),
+        ("<body class='no-sidebar'><main class='cookies-not-set'><p>s</p></main>", "s"),
+        ("<article class='comment'><p>s</p></article>", "s"),
+        ("<article><h2 id='related-work'>R</h2><section id='side-effects'>E</section></article>",
+         "R E"),
+        ("<article><h2 id=legal>L</h2><section class='comments'>C</section></article>", "L C"),
+        ("<div id='legal-status'>l</div><div class='nav item'>n</div><p>s</p>", "l s"),
+        ("<form><nav>n</nav><div class=share>f</div><p>the story</p></form><footer>f</footer>",
+         "the story"),
+        ("<script>no</script><div class='menu'><div class='nav'><p>all</p></div></div>", "all"),
+        ("<script>no</script><noscript><p>no</p></noscript><nav></nav>", ""),
+        ("<nav>" * 20000 + "x", "x"),
+    ],
+)
+def test_names_do_not_empty_pages(page, text):
+    assert he.main_text(he.parse(page)) == text
+
+
 def test_template_inside_articles_goes(spark):
     more = "<p class='app'>Read more in our <b>app</b></p>"
     rows = [
