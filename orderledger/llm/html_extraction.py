@@ -9,8 +9,8 @@ important node stays below the threshold is template and goes, on each page of t
 
 Two things no entropy can tell. What a style says about itself (`nav`, `footer`, an advert's class
 and so on) settles it for its whole branch, as menus and comments may differ on each page. And a
-page's `article` or `main`, where it has one, is its content however many pages repeat it: branches
-in it that are template go, but not most of it.
+page's `article` or `main`, where it holds enough of the words, is its content however many pages
+repeat it: branches in it that are template go, but not most of it.
 
 The merged statistics of a host are one row for each node of its style tree, aggregated before
 the shuffle. Pages meet them by host and a salt, so a host with a third of all pages is read by
@@ -34,7 +34,8 @@ from orderledger.llm.common import text_groups, written
 THRESHOLD, MIN_PAGES = 0.3, 8
 #: A host's pages are dealt to this many tasks' keys.
 SALTS = 64
-#: An article that would lose more than all but this share of its words stays whole.
+#: An article that would lose more than all but this share of its words stays whole, and articles
+#: with less than this share of a page's words are not all of its content.
 LEAST_SHARE = 0.25
 #: Nodes deeper than this count as children of the node at this depth.
 MOST_DEPTH = 256
@@ -229,25 +230,28 @@ def _blocks(root: Node, template: frozenset | set = frozenset()) -> list[tuple[s
 
     Inside of these an inline element is part of a sentence and is never template by itself.
     """
-    only_main = any(node.main and not node.skipped for node in _seen(root))
     blocks: list[tuple[str, bool]] = []
     words: list[str] = []
+    main = root.main
 
     def end_block() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
-            blocks.append((text, only_main))
+            blocks.append((text, main))
 
-    stack: list = [root]
+    stack: list = [(root, root.main)]
     while stack:
-        item = stack.pop()
+        item, inside = stack.pop()
+        if inside != main:
+            end_block()
+            main = inside
         if item is None:
             end_block()
         elif isinstance(item, str):
             words.append(html.unescape(item))
         elif item.skipped or (
-            not (item.main and item.tag in INLINE) and _path_key(item.path) in template
+            not (inside and item.tag in INLINE) and _path_key(item.path) in template
         ):
             if item.tag not in INLINE:
                 end_block()
@@ -257,10 +261,9 @@ def _blocks(root: Node, template: frozenset | set = frozenset()) -> list[tuple[s
                 words.append(" ")
             if block:
                 end_block()
-                stack.append(None)
+                stack.append((None, inside))
             for child in reversed(item.children):
-                if isinstance(child, Node) or item.main or not only_main:
-                    stack.append(child)
+                stack.append((child, child.main if isinstance(child, Node) else inside))
     end_block()
     return blocks
 
@@ -269,25 +272,38 @@ def _size(blocks: list[tuple[str, bool]]) -> int:
     return sum(len(text.split()) for text, _ in blocks)
 
 
-def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
-    """The blocks of the page's main branches, without those that are template.
+def _main_blocks(
+    root: Node, template: frozenset | set = frozenset()
+) -> list[tuple[str, bool]]:
+    """The blocks of the articles that hold enough of the page's words, or else all that are left.
 
-    An article of which template would leave less than LEAST_SHARE of the words is a copy and stays
-    whole. If nothing is left of a page, no branch of it counts as template, and if still nothing
-    is, the largest of its skipped branches that can be seen is the page.
+    Without those that are template, but for articles of which these would leave less than
+    LEAST_SHARE of the words: they are copies and stay whole.
     """
     blocks = _blocks(root, template)
+    main = [block for block in blocks if block[1]]
     if template:
-        whole = _blocks(root)
-        if not blocks or (whole[0][1] and _size(blocks) < LEAST_SHARE * _size(whole)):
-            blocks = whole
+        whole = [block for block in _blocks(root) if block[1]]
+        if _size(main) < LEAST_SHARE * _size(whole):
+            main = whole
+    rest = [block for block in blocks if not block[1]]
+    return main if main and _size(main) >= LEAST_SHARE * _size(main + rest) else blocks
+
+
+def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
+    """The blocks of the page's main branches, without those that are template.
+
+    If nothing is left of a page, no branch of it counts as template, and if still nothing is, the
+    largest of its skipped branches that can be seen is the page.
+    """
+    blocks = _main_blocks(root, template) or _main_blocks(root)
     if not blocks:
         branches = [node for node in _seen(root) if node.skipped and node.tag not in UNSEEN]
         for every in (False, True):
             for branch in branches:
                 for node in elements(branch) if every else [branch]:
                     node.skipped = node.tag in UNSEEN
-            blocks = blocks or max(map(_blocks, branches), key=_size, default=[])
+            blocks = blocks or max(map(_main_blocks, branches), key=_size, default=[])
     return " ".join(text for text, _ in blocks)
 
 

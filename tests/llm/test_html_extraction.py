@@ -86,6 +86,24 @@ def test_names_do_not_empty_pages(page, text):
     assert he.main_text(he.parse(page)) == text
 
 
+STORY = "a story of many words in a block that no tag tells from others"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class=content>{STORY}</div><article class=card>One teaser</article>",
+         f"{STORY} One teaser"),
+        (f"<main></main><div>{STORY}</div>", STORY),
+        (f"<main><nav>m</nav></main><div>{STORY}</div>", STORY),
+        (f"<main>{STORY}</main><div>Other <article>text</article></div>", f"{STORY} text"),
+        (f"<div>x<span role=main>{STORY}</span>y</div>", STORY),
+    ],
+)
+def test_articles_need_their_share(page, text):
+    assert he.main_text(he.parse(page)) == text
+
+
 def test_template_inside_articles_goes(spark):
     more = "<p class='app'>Read more in our <b>app</b></p>"
     rows = [
