@@ -12,9 +12,11 @@ and so on) settles it for its whole branch, as menus and comments may differ on
 page's `article` or `main`, where it holds enough of the words, is its content however many pages
 repeat it: branches in it that are template go, but not most of it.
 
-The merged statistics of a host are one row for each node of its style tree, aggregated before
-the shuffle. Pages meet them by host and a salt, so a host with a third of all pages is read by
-many tasks.
+The merged statistics are rows by host and node, aggregated before the shuffle, and so are the
+importances that nodes hand up to their ancestors: no row holds more than one node. Pages of a host
+that have the same paths share a name. What is joined to a page are those of its own paths that are
+template, by host and name; names are dealt by the pages' bytes, so a host with a third of all pages
+is read by many tasks.
 """
 
 from __future__ import annotations
@@ -25,15 +27,17 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderledger.llm.common import text_groups, written
 
 #: Branches below this importance are template, on hosts with at least MIN_PAGES pages.
 THRESHOLD, MIN_PAGES = 0.3, 8
-#: A host's pages are dealt to this many tasks' keys.
+#: Pages of a host that have the same paths are dealt to this many names.
 SALTS = 64
+#: A node of the style tree meets the pages that have it in this many tasks' keys.
+PATH_SALTS = 8
 #: An article that would lose more than all but this share of its words stays whole, and articles
 #: with less than this share of a page's words are not all of its content.
 LEAST_SHARE = 0.25
@@ -317,14 +321,20 @@ def _path_key(path: str) -> int:
     return xxhash.xxh3_64_intdigest(path) - (1 << 63)
 
 
-def node_features(page: str) -> dict[int, tuple[int, int, int]]:
-    """For each path of a page: its parent's key, and hashes of its child styles and its texts."""
+def _path_keys(root: Node) -> set[int]:
+    return {_path_key(path) for path in {node.path for node in elements(root)}}
+
+
+def node_features(page: str) -> dict[int, tuple[tuple, int, int]]:
+    """For each path of a page: its ancestors' keys, and hashes of its child styles and its texts."""
     styles: dict[int, list] = {}
     texts: dict[int, list] = {}
-    parents: dict[int, int] = {}
+    above: dict[int, tuple] = {}
     for node in elements(parse(page)):
         key = _path_key(node.path)
-        parents.setdefault(key, _path_key(node.parent.path) if node.parent else key)
+        if key not in above:
+            parent = _path_key(node.parent.path) if node.parent else key
+            above[key] = (*above[parent], parent) if parent != key else ()
         styles.setdefault(key, []).extend(
             child.style for child in node.children if isinstance(child, Node)
         )
@@ -333,7 +343,7 @@ def node_features(page: str) -> dict[int, tuple[int, int, int]]:
         )
     return {
         key: (
-            parents[key],
+            above[key],
             _path_key("\x00".join(styles[key])),
             _path_key("\x00".join(filter(None, texts[key]))) if any(texts[key]) else 0,
         )
@@ -341,6 +351,17 @@ def node_features(page: str) -> dict[int, tuple[int, int, int]]:
     }
 
 
+def _page_name(page: str, paths: Iterable[int]) -> int:
+    """A name that pages with the same paths share, dealt to SALTS names by the page's bytes."""
+    salt = xxhash.xxh3_64_intdigest(page) % SALTS
+    return _path_key(f"{salt} {sorted(paths)}")
+
+
+#: Kinds of feature rows. `variant` is a hash of the child styles, of the texts, the key of an
+#: ancestor, or the name of a page that has the path.
+STYLES, TEXTS, ABOVE, NAMES = range(4)
+
+
 def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of (host, path, kind, variant), added up over a group of pages."""
     for urls, pages in text_groups(batches):
@@ -349,42 +370,47 @@ def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             host = host_of(url)
             if not host or not page:
                 continue
-            for key, (parent, style, text) in node_features(page).items():
-                for kind, variant in ((0, style), (1, text)):
-                    row = (host, key, parent, kind, variant)
+            features = node_features(page)
+            name = _page_name(page, features)
+            for key, (above, style, text) in features.items():
+                variants = [(STYLES, style), (TEXTS, text), (NAMES, name)]
+                for kind, variant in variants + [(ABOVE, ancestor) for ancestor in above]:
+                    row = (host, key, kind, variant)
                     counts[row] = counts.get(row, 0) + 1
-        hosts, keys, parents, kinds, variants = zip(*counts) if counts else [()] * 5
+        hosts, keys, kinds, variants = zip(*counts) if counts else [()] * 4
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(hosts, pa.string()),
                 pa.array(keys, pa.int64()),
-                pa.array(parents, pa.int64()),
                 pa.array(kinds, pa.int8()),
                 pa.array(variants, pa.int64()),
                 pa.array(list(counts.values()), pa.int64()),
             ],
-            names=["host", "path", "parent", "kind", "variant", "pages"],
+            names=["host", "path", "kind", "variant", "pages"],
         )
 
 
-def style_trees(pages: DataFrame) -> DataFrame:
-    """host, path, parent, pages and importance (0 to 1) of every node of the merged trees.
-
-    The importance of a node is the larger of its two entropies; a node without text has its
-    presentation only.
-    """
-    variants = (
+def node_variants(pages: DataFrame) -> DataFrame:
+    """host, path, kind, variant and the number n of pages that show it."""
+    return (
         pages.select("url", "html")
         .mapInArrow(
-            _feature_rows,
-            "host string, path bigint, parent bigint, kind tinyint, variant bigint, pages bigint",
+            _feature_rows, "host string, path bigint, kind tinyint, variant bigint, pages bigint"
         )
         .groupBy("host", "path", "kind", "variant")
-        .agg(F.sum("pages").alias("n"), F.min("parent").alias("parent"))
+        .agg(F.sum("pages").alias("n"))
     )
-    silent = (F.col("kind") == 1) & (F.col("variant") == 0)
-    entropies = variants.groupBy("host", "path", "kind").agg(
-        F.min("parent").alias("parent"),
+
+
+def importances(variants: DataFrame) -> DataFrame:
+    """host, path, pages and importance (0 to 1) of every node of the merged trees by itself.
+
+    The importance of a node is the larger of its two entropies; a node without text has its
+    presentation only.
+    """
+    silent = (F.col("kind") == TEXTS) & (F.col("variant") == 0)
+    shown = variants.filter(F.col("kind").isin(STYLES, TEXTS))
+    entropies = shown.groupBy("host", "path", "kind").agg(
         F.sum("n").alias("pages"),
         F.sum(F.when(~silent, F.col("n"))).alias("m"),
         F.sum(F.when(~silent, F.col("n") * F.log2("n"))).alias("weighted"),
@@ -392,31 +418,73 @@ def style_trees(pages: DataFrame) -> DataFrame:
     entropy = F.log2("m") - F.col("weighted") / F.col("m")
     own = F.when(F.col("m") > 1, entropy / F.log2("m")).when(F.col("m") == 1, 1.0).otherwise(0.0)
     return entropies.groupBy("host", "path").agg(
-        F.min("parent").alias("parent"),
-        F.max("pages").alias("pages"),
-        F.max(own).alias("importance"),
+        F.max("pages").alias("pages"), F.max(own).alias("importance")
     )
 
 
-def _template_paths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each host's tree (a row with its nodes) the paths of the branches that are template."""
+def style_trees(pages: DataFrame) -> DataFrame:
+    """host, path, pages and importance (0 to 1) of every node of the merged trees by itself."""
+    return importances(node_variants(pages))
+
+
+def branches(variants: DataFrame) -> DataFrame:
+    """host, path, pages and importance of every branch: that of its most important node.
+
+    Each node's importance goes to its ancestors, MOST_DEPTH at most, as rows of their own.
+    """
+    own = importances(variants)
+    above = variants.filter(F.col("kind") == ABOVE).select(
+        "host", "path", F.col("variant").alias("ancestor")
+    )
+    below = above.join(own.select("host", "path", "importance"), ["host", "path"]).select(
+        "host", F.col("ancestor").alias("path"), F.lit(0).cast("bigint").alias("pages"), "importance"
+    )
+    return (
+        own.unionByName(below)
+        .groupBy("host", "path")
+        .agg(F.max("pages").alias("pages"), F.max("importance").alias("importance"))
+    )
+
+
+def _dealt(few: DataFrame) -> DataFrame:
+    """The rows once for each salt."""
+    return few.withColumn("salt", F.explode(F.expr(f"sequence(0, {PATH_SALTS - 1})")))
+
+
+def _salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(PATH_SALTS)).cast("int").alias("salt")
+
+
+def page_templates(pages: DataFrame) -> DataFrame:
+    """host, page name and `template`, the page's own paths that are template, where it has any."""
+    variants = written(node_variants(pages), "style_variants")
+    template = branches(variants).filter(
+        (F.col("importance") < THRESHOLD) & (F.col("pages") >= MIN_PAGES)
+    )
+    named = variants.filter(F.col("kind") == NAMES).select(
+        "host", "path", F.col("variant").alias("name"), _salt("variant")
+    )
+    return (
+        named.join(_dealt(template.select("host", "path")), ["host", "path", "salt"])
+        .groupBy("host", "name")
+        .agg(F.collect_list("path").alias("template"))
+    )
+
+
+def _namer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds each page's host and name; pages of no tree have a name by their id and no host."""
     for batch in batches:
-        found = []
-        for nodes in batch.column("nodes").to_pylist():
-            best = {node["path"]: node["importance"] for node in nodes}
-            parents = {node["path"]: node["parent"] for node in nodes}
-            seen = {node["path"]: node["pages"] for node in nodes}
-            for path, importance in list(best.items()):
-                above, steps = parents[path], 0
-                while above in best and steps <= MOST_DEPTH and best[above] < importance:
-                    best[above] = importance
-                    above, steps = parents[above], steps + 1
-            found.append(
-                [p for p, value in best.items() if value < THRESHOLD and seen[p] >= MIN_PAGES]
+        hosts, names = [], []
+        for row, url, page in zip(*map(batch.column, ["id", "url", "html"])):
+            page, host = page.as_py(), host_of(url.as_py())
+            known = page and host
+            hosts.append(host if known else "")
+            names.append(
+                _page_name(page, _path_keys(parse(page))) if known else _path_key(str(row))
             )
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array(found, pa.list_(pa.int64()))],
-            names=["host", "template"],
+            [*batch.columns, pa.array(hosts, pa.string()), pa.array(names, pa.int64())],
+            names=["id", "url", "html", "host", "name"],
         )
 
 
@@ -445,24 +513,12 @@ def extract_text(
     pages = df.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
     )
-    nodes = style_trees(pages).groupBy("host").agg(
-        F.collect_list(F.struct("path", "parent", "pages", "importance")).alias("nodes")
-    )
-    templates = written(
-        nodes.mapInArrow(_template_paths, "host string, template array<bigint>").filter(
-            "size(template) > 0"
-        ),
-        "templates",
-    )
-    host = F.lower(
-        F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    )
-    salted = templates.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
-    dealt = pages.withColumn("host", host).withColumn(
-        "salt", F.pmod(F.xxhash64("url", "id"), F.lit(SALTS)).cast("int")
-    )
-    joined = dealt.join(salted, ["host", "salt"], "left").select("id", "url", "html", "template")
     kind = pages.schema["id"].dataType.simpleString()
+    named = pages.mapInArrow(
+        _namer, f"id {kind}, url string, html string, host string, name bigint"
+    )
+    templates = written(page_templates(pages), "templates")
+    joined = named.join(templates, ["host", "name"], "left").select("id", "url", "html", "template")
     return joined.mapInArrow(_extractor, f"id {kind}, url string, text string").withColumnRenamed(
         "id", id_col
     )

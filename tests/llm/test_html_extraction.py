@@ -121,6 +121,34 @@ def test_template_inside_articles_goes(spark):
     assert all(got[n] == f"One and the same long story {n}" for n in range(20, 40))
 
 
+def test_what_meets_a_page_is_bounded_by_the_page(spark):
+    # Each page has paths of its own, and every ten share others, so the host's tree has many.
+    rows = [
+        (n, "http://a.b/", f"<div class=t{n // 10}><p>Menu</p></div><div id=post-{n}><p>Story {n}</p>")
+        for n in range(400)
+    ]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert he.style_trees(df).count() > 800
+    sizes = [len(r.template) for r in he.page_templates(df).collect()]
+    assert len(sizes) == 400 and set(sizes) == {2}
+    assert {r.text for r in he.extract_text(df).collect()} == {f"Story {n}" for n in range(400)}
+
+
+def test_branches_equal_their_most_important_nodes(spark):
+    rows = [(n, "http://a.b/", f"<div class=x><div><p>{n if n < 5 else 'Same'}</p></div><b>S</b></div>")
+            for n in range(12)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    variants = he.node_variants(df)
+    own = {r.path: r.importance for r in he.importances(variants).collect()}
+    got = {r.path: r.importance for r in he.branches(variants).collect()}
+    key = he._path_key
+    least = own[key("//div.x/div/p")]
+    assert 0.5 < least < 1 and own[key("//div.x")] == 0
+    for path in ("/", "//div.x", "//div.x/div", "//div.x/div/p"):
+        assert got[key(path)] == least
+    assert got[key("//div.x/b")] == 0
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "http://a.b", "<p>x"), (3, "http://a.b", "<p>y"),
             (3, "http://a.b", "<p>y"), (4, "HTTPS://u@A.B:80/p?q#f", "<p>" + "z " * 100_000)]
