@@ -5,7 +5,9 @@ id) are one node of the host's style tree. Two entropies say how much a node tel
 Its presentation: over the sequences of child styles that its pages show there; its content: over
 the texts right below it. Both are taken to the base of the number of pages, so that a branch that
 is the same on every page has importance 0 and one that differs on each has 1. A branch whose most
-important node stays below the threshold is template and goes, on each page of the host.
+important node stays below the threshold is template and goes, on each page of the host. A single
+page tells nothing: for hosts with one page, and pages without a URL, the mean importance of the
+branch on the hosts that have several decides.
 
 Two things no entropy can tell. What a style says about itself (`nav`, `footer`, an advert's class
 and so on) settles it for its whole branch, as menus and comments may differ on each page. And a
@@ -32,8 +34,11 @@ from pyspark.sql import functions as F
 
 from orderledger.llm.common import text_groups, written
 
-#: Branches below this importance are template, on hosts with at least MIN_PAGES pages.
+#: Branches below this importance are template, if they are on MIN_PAGES pages of their host or on
+#: half of them and two at least.
 THRESHOLD, MIN_PAGES = 0.3, 8
+#: On so many hosts with several pages a branch must be for these to tell about other hosts.
+MIN_HOSTS = 3
 #: Pages of a host that have the same paths are dealt to this many names.
 SALTS = 64
 #: A node of the style tree meets the pages that have it in this many tasks' keys.
@@ -311,6 +316,11 @@ def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
     return " ".join(text for text, _ in blocks)
 
 
+def site_of(url, page: str) -> str:
+    """The host, or a name that only copies of the page share, which begins with a space."""
+    return host_of(url) or f" {xxhash.xxh3_64_hexdigest(page)}"
+
+
 def host_of(url) -> str:
     """Lower case, without port; empty without a URL."""
     found = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
@@ -367,9 +377,9 @@ def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for urls, pages in text_groups(batches):
         counts: dict[tuple, int] = {}
         for url, page in zip(urls.to_pylist(), pages):
-            host = host_of(url)
-            if not host or not page:
+            if not page:
                 continue
+            host = site_of(url, page)
             features = node_features(page)
             name = _page_name(page, features)
             for key, (above, style, text) in features.items():
@@ -455,32 +465,65 @@ def _salt(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(PATH_SALTS)).cast("int").alias("salt")
 
 
+def template_paths(variants: DataFrame) -> DataFrame:
+    """host and path of the branches that are template, once each.
+
+    Only branches on few pages ask for their host's number of pages, and only of small hosts.
+    """
+    found = written(branches(variants), "branches")
+    real = ~F.col("host").startswith(" ")
+    low = found.filter(real & (F.col("importance") < THRESHOLD)).select("host", "path", "pages")
+    many = low.filter(F.col("pages") >= MIN_PAGES).select("host", "path")
+    small = _dealt(
+        found.filter(
+            real & (F.col("path") == _path_key("/")) & (F.col("pages") <= 2 * (MIN_PAGES - 1))
+        ).select("host", F.col("pages").alias("of"))
+    )
+    some = low.filter((F.col("pages") >= 2) & (F.col("pages") < MIN_PAGES))
+    few = (
+        some.select("*", _salt("path")).join(small, ["host", "salt"])
+        .filter(2 * F.col("pages") >= F.col("of"))
+        .select("host", "path")
+    )
+    pool = (
+        found.filter(real & (F.col("pages") >= 2))
+        .groupBy("path")
+        .agg(F.count("*").alias("hosts"), F.avg("importance").alias("importance"))
+        .filter((F.col("hosts") >= MIN_HOSTS) & (F.col("importance") < THRESHOLD))
+    )
+    once = found.filter(real & (F.col("pages") == 1)).select("host", "path", _salt("path"))
+    single = once.join(small.filter(F.col("of") == 1), ["host", "salt"])
+    lone = single.select("host", "path").unionByName(found.filter(~real).select("host", "path"))
+    pooled = (
+        lone.select("*", _salt("host"))
+        .join(_dealt(pool.select("path")), ["path", "salt"])
+        .select("host", "path")
+    )
+    return many.unionByName(few).unionByName(pooled)
+
+
 def page_templates(pages: DataFrame) -> DataFrame:
     """host, page name and `template`, the page's own paths that are template, where it has any."""
     variants = written(node_variants(pages), "style_variants")
-    template = branches(variants).filter(
-        (F.col("importance") < THRESHOLD) & (F.col("pages") >= MIN_PAGES)
-    )
     named = variants.filter(F.col("kind") == NAMES).select(
         "host", "path", F.col("variant").alias("name"), _salt("variant")
     )
     return (
-        named.join(_dealt(template.select("host", "path")), ["host", "path", "salt"])
+        named.join(_dealt(template_paths(variants)), ["host", "path", "salt"])
         .groupBy("host", "name")
         .agg(F.collect_list("path").alias("template"))
     )
 
 
 def _namer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds each page's host and name; pages of no tree have a name by their id and no host."""
+    """Adds each page's host and name; rows without a page have a name by their id and no host."""
     for batch in batches:
         hosts, names = [], []
         for row, url, page in zip(*map(batch.column, ["id", "url", "html"])):
-            page, host = page.as_py(), host_of(url.as_py())
-            known = page and host
-            hosts.append(host if known else "")
+            page = page.as_py()
+            hosts.append(site_of(url.as_py(), page) if page else "")
             names.append(
-                _page_name(page, _path_keys(parse(page))) if known else _path_key(str(row))
+                _page_name(page, _path_keys(parse(page))) if page else _path_key(str(row))
             )
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(hosts, pa.string()), pa.array(names, pa.int64())],
@@ -506,8 +549,8 @@ def extract_text(
 ) -> DataFrame:
     """Id, url and `text` (empty if none) of every row.
 
-    A NULL or empty page has no text. A page without a URL belongs to no host's tree, and hosts of
-    fewer than 8 pages have no template: what their styles say decides alone. Repeated rows and
+    A NULL or empty page has no text. A page without a URL belongs to no host's tree; for it, and for
+    the page of a host with one, the trees of all hosts with several pages tell. Repeated rows and
     NULL ids are rows like others; other columns are left out; an empty table gives an empty one.
     """
     pages = df.select(

@@ -149,6 +149,37 @@ def test_branches_equal_their_most_important_nodes(spark):
     assert got[key("//div.x/b")] == 0
 
 
+@pytest.mark.parametrize("pages", [2, 3, 7, 8, 30])
+def test_small_hosts_are_cleaned_like_large_ones(spark, pages):
+    rows = [(n, f"http://a.b/{n}", page(f"<p>Story {n} of it</p>", 0)) for n in range(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in he.extract_text(df).collect()}
+    assert got == {n: f"Story {n} of it" for n in range(pages)}
+
+
+def test_other_hosts_tell_about_single_pages(spark):
+    def html_of(host, n):
+        return f"<div class=top>{host}</div><div class=c><p>Story {n}</p></div><b class=x>{n}</b>"
+
+    rows = [(n, f"http://h{n % 4}.b/{n}", html_of(n % 4, n)) for n in range(20)]
+    rows += [(20, "http://one.b/", html_of("one", 20)), (21, None, html_of("none", 21)),
+             (22, None, html_of("none", 21)), (23, "http://two.b/", "<div class=top>All</div>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in he.extract_text(df).collect()}
+    assert all(got[n] == f"Story {n} {n}" for n in range(22))
+    assert got[22] == "Story 21 21" and got[23] == "All"
+
+
+def test_copies_among_other_pages_stay(spark):
+    rows = [(n, "http://a.b/", f"<div class=top>T</div><div id=p{n}><p>Story {n}</p></div><i>{n}</i>")
+            for n in range(30)]
+    copy = "<div class=top>T</div><div id=q><p>Twice the same</p></div>"
+    rows += [(n, f"http://a.b/?{n}", f"{copy}<i>{n}</i>") for n in (30, 31)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in he.extract_text(df).collect()}
+    assert got[30] == "Twice the same 30" and got[0] == "Story 0 0"
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "http://a.b", "<p>x"), (3, "http://a.b", "<p>y"),
             (3, "http://a.b", "<p>y"), (4, "HTTPS://u@A.B:80/p?q#f", "<p>" + "z " * 100_000)]
