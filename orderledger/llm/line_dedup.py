@@ -92,15 +92,16 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's number of lines, its distinct lines that are not blank, and repeats.
 
     `bands` comes with the first line of a class that a task meets only, which takes most
-    copies of frequent lines out of the exchange of buckets.
+    copies of frequent lines out of the exchange of buckets. A document without an id lists no
+    lines, so it takes no line's bands from others.
     """
     seen: set[int] = set()
     for docs, texts in text_groups(batches, 250_000):
         counts, places, digests, ends, repeats = [], [], [], [0], []
         fresh: dict[int, str] = {}
-        for text in texts:
+        for text, known in zip(texts, docs.field("id").is_valid().to_pylist()):
             lines, own, again = text.split("\n") if text else [], {}, []
-            for no, line in enumerate(lines):
+            for no, line in enumerate(lines if known else []):
                 line = normal(line)
                 if line:
                     digest = xxhash.xxh3_128_intdigest(line)

@@ -86,6 +86,15 @@ def test_odd_rows(docs):
     assert ld.line_verdicts(docs([]).limit(0)).collect() == []
 
 
+def test_documents_without_id_take_no_bands(docs):
+    rng = random.Random(4)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(240)).strip()
+    rows = [(None, base), (1, base), (2, near_line(rng, base)), (None, base)]
+    got = {r.doc_id: (r.n_lines, list(r.removed))
+           for r in ld.line_verdicts(docs(rows).coalesce(1)).collect()}
+    assert got == {None: (1, []), 1: (1, []), 2: (1, [0])}
+
+
 def test_texts_without_their_lines(docs):
     df = docs([(1, "a line of text\nanother\n\nlast"), (2, "a line of text"), (3, "new\nanother"),
                (4, None), (5, " \n"), (5, " \n")])
