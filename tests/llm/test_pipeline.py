@@ -1,6 +1,7 @@
 """Each stage against a plain version of what it decides, and the whole run."""
 
 import collections
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,20 @@ def test_language_stage_rejects_what_it_cannot_tell(stages):
     assert len(expected) >= 0.95 * stages[0].count()
 
 
+def test_language_stage_rejects_noise_and_keeps_clean_texts(spark, documents):
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    noise = ["".join(rng.choice(letters) for _ in range(600)) for _ in range(200)]
+    made = spark.createDataFrame(
+        [(10**9 + n, text, None, "noise", 600) for n, text in enumerate(noise)], documents.schema
+    )
+    left = cp.language(spark, documents.unionByName(made), SF_DIR)
+    assert left.filter("source = 'noise'").count() <= 100
+    clean = documents.filter(language_id.held_out(F.col("doc_id")) & F.col("text").rlike("\\p{L}"))
+    kept = left.join(clean.select("doc_id"), "doc_id", "left_semi")
+    assert kept.count() >= 0.99 * clean.count()
+
+
 def test_line_stage(stages):
     removed = {r.doc_id: set(r.removed) for r in line_dedup.line_verdicts(stages[1]).collect()}
     expected = collections.Counter()
