@@ -40,6 +40,9 @@ _ADDENDS = _RANDOM.integers(0, 2**32, ROWS * BANDS, dtype=np.uint32)
 _BAND_MIX = _RANDOM.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2)
 _BAND_MIX += np.uint64(1)
 
+#: Classes that a task remembers to have met.
+SEEN = 1 << 18
+
 LINES = "array<struct<no:int,h1:bigint,h2:bigint,bands:array<bigint>>>"
 
 
@@ -121,7 +124,7 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = [rows.pop(digest, -1) for digest in digests]
         band_ends = np.cumsum([0, *(BANDS * (row >= 0) for row in first)]).astype(np.int32)
         picked = made[[row for row in first if row >= 0]].ravel()
-        if len(seen) + len(fresh) > 1 << 20:
+        if len(seen) + len(fresh) > SEEN:
             seen.clear()
         seen.update(fresh)
         entries = pa.StructArray.from_arrays(
@@ -330,21 +333,21 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         .select(F.col(id_col).alias("gone"), F.col("text_hash").alias("gone_hash"), "removed")
         .dropDuplicates(["gone", "gone_hash"])
     )
+    # The text is in the row: a second copy of it would double what the join moves.
+    text = F.col("row")[text_col]
     rows = df.select(
         F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("row"),
         F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
+        F.xxhash64(text_col).alias("hash"),
     )
-    same = (F.col("id") == F.col("gone")) & (F.xxhash64("text") == F.col("gone_hash"))
-    lines = F.split("text", "\n")
+    same = (F.col("id") == F.col("gone")) & (F.col("hash") == F.col("gone_hash"))
+    lines = F.split(text, "\n")
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
     left = F.array_join(F.transform(places, lambda place: F.get(F.col("lines"), place)), "\n")
     return (
         rows.join(gone, same, "left")
         .withColumn("lines", F.when(F.col("removed").isNotNull(), lines))
-        .withColumn(
-            "kept_text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(left)
-        )
+        .withColumn("kept_text", F.when(F.col("removed").isNull(), text).otherwise(left))
         .filter("removed IS NULL OR kept_text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
         .select("row", "kept_text")
     )

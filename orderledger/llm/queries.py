@@ -94,13 +94,8 @@ def piece_model() -> str:
 
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = sentencepiece_codec.encode_decode(table(spark, sf_dir, "documents"), piece_model())
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        sha256(F.array_join("ids", ",")).alias("ids_sha256"),
-        sha256(F.col("decoded")).alias("decoded_sha256"),
-    )
+    documents = table(spark, sf_dir, "documents")
+    return sentencepiece_codec.encoded_digests(documents, piece_model)
 
 
 @query

@@ -13,6 +13,7 @@ the texts have (README).
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -27,40 +28,69 @@ from orderledger.llm.common import text_groups
 #: The white-space marker, a fixed value of the library.
 MARK = "▁"
 MARKED_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Words a task keeps; at some 200 bytes each the table stays near 100 MB.
-TABLE_ENTRIES = 1 << 19
+#: Words a task keeps, and ids of them; at some 200 bytes a word the table stays near 50 MB.
+TABLE_ENTRIES, TABLE_IDS = 1 << 18, 1 << 22
 #: Longer words are segmented where they stand and not kept.
 KEPT_CHARS = 64
+#: Characters of the texts that a task works on at once, and of a part of a longer text.
+GROUP_CHARS = 250_000
 
 
-def marked_words(text: str) -> list[str]:
-    """The text cut before each run of markers; an empty text has no words."""
+def text_parts(text: str, most: int = GROUP_CHARS) -> list[str]:
+    """A text cut at spaces into parts of some `most` characters.
+
+    A cut is where a run of markers begins, so that no word is cut: a part but for the first
+    begins with the marker of its first word.
+    """
+    parts, begin = [], 0
+    while len(text) - begin > most:
+        at = begin + most
+        while (at := text.find(" ", at)) >= 0 and text[at - 1] in (" ", MARK):
+            at += 1
+        if at < 0:
+            break
+        parts.append(text[begin:at])
+        begin = at
+    parts.append(text[begin:])
+    return parts
+
+
+def marked_words(text: str, first: bool = True) -> list[str]:
+    """The text cut before each run of markers; an empty text has no words.
+
+    A `first` part of a text gets the marker in front, a later one begins with its own.
+    """
     if not text:
         return []
-    marked = MARK + text.replace(" ", MARK)
+    marked = (MARK if first else "") + text.replace(" ", MARK)
     if MARK + MARK in marked:
         return MARKED_WORD.findall(marked)
     return marked.replace(MARK, " " + MARK).split(" ")[1:]
 
 
 class ChunkTable:
-    """The ids of distinct marked words, each segmented by the library once."""
+    """The ids of distinct marked words, each segmented by the library once.
 
-    def __init__(self, model_path: str, entries: int = TABLE_ENTRIES):
+    Kept words fill the front of two arrays that grow by doubling. Words too long to be kept stand
+    behind them for the texts at hand and are gone with these, ids and all.
+    """
+
+    def __init__(self, model_path: str, entries: int = TABLE_ENTRIES, most_ids: int = TABLE_IDS):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
         if any(MARK in piece.lstrip(MARK) for piece in pieces):
             raise ValueError("this vocabulary has pieces that cross whitespace markers")
-        self.entries = entries
+        self.entries, self.most_ids = entries, most_ids
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.starts = np.empty(0, np.int64)
-        self.lengths = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int32)
+        self.n_words = self.n_ids = 0
+        #: The ids of row k are those from ends[k] to ends[k + 1].
+        self.ends = np.zeros(1024, np.int64)
+        self.ids = np.empty(4096, np.int32)
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """The library puts a marker in front itself, so a word goes in without its first."""
@@ -72,30 +102,58 @@ class ChunkTable:
         """New rows behind the ones there."""
         found = self.segment(words)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        self.rows.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, ids])
+        first, last = self.n_words, self.n_words + len(words)
+        n_ids = self.n_ids + int(lengths.sum())
+        self.ends = _room(self.ends, first + 1, last + 1)
+        self.ids = _room(self.ids, self.n_ids, n_ids)
+        self.ends[first + 1 : last + 1] = self.n_ids + np.cumsum(lengths)
+        self.ids[self.n_ids : n_ids] = np.fromiter(
+            chain.from_iterable(found), np.int32, n_ids - self.n_ids
+        )
+        self.rows.update(zip(words, range(first, last)))
+        self.n_words, self.n_ids = last, n_ids
+
+    def forget(self, words: list[str], n_words: int, n_ids: int) -> None:
+        """Take out the last rows, down to the numbers that were there before them."""
+        for word in words:
+            del self.rows[word]
+        self.n_words, self.n_ids = n_words, n_ids
+        if len(self.ids) > 4 * self.most_ids:
+            self.ids = self.ids[: self.most_ids + n_ids].copy()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text: the rows of its words, one behind the other."""
-        words = [marked_words(text) for text in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.rows))
-        if len(self.rows) + len(new) > self.entries:
+        parts = [text_parts(text) for text in texts]
+        found, group, size = [], [], 0
+        for k, part in ((k, part) for text in parts for k, part in enumerate(text)):
+            group.append((part, k == 0))
+            size += len(part)
+            if size >= GROUP_CHARS:
+                found.extend(self._encode_group(group))
+                group, size = [], 0
+        found.extend(self._encode_group(group))
+        ends = np.cumsum([0, *map(len, parts)])
+        return [
+            found[a] if b - a == 1 else np.concatenate(found[a:b])
+            for a, b in zip(ends[:-1], ends[1:])
+        ]
+
+    def _encode_group(self, parts: list[tuple[str, bool]]) -> list[np.ndarray]:
+        words = [marked_words(text, first) for text, first in parts]
+        distinct = set(chain.from_iterable(words))
+        new = distinct.difference(self.rows)
+        if len(self.rows) + len(new) > self.entries or self.n_ids > self.most_ids:
             self.clear()
-            new = list(set(chain.from_iterable(words)))
-        self.add(new)
-        found = chain.from_iterable(words)
-        rows = np.fromiter(map(self.rows.__getitem__, found), np.int64)
-        lengths = self.lengths[rows]
+            new = distinct
+        self.add([word for word in new if len(word) <= KEPT_CHARS])
+        long, kept = [word for word in new if len(word) > KEPT_CHARS], (self.n_words, self.n_ids)
+        self.add(long)
+        rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(words)), np.int64)
+        starts, lengths = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
         ends = np.cumsum(lengths)
-        places = np.repeat(self.starts[rows] - ends + lengths, lengths) + np.arange(lengths.sum())
+        places = np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())
         ids = self.ids[places]
-        for word in new:
-            if len(word) > KEPT_CHARS:
-                del self.rows[word]
+        self.forget(long, *kept)
         text_ends = np.cumsum([0, *map(len, words)])
         cuts = np.concatenate([[0], ends])[text_ends]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
@@ -104,35 +162,78 @@ class ChunkTable:
         return self.model.decode(ids.tolist())
 
 
+def _room(array: np.ndarray, used: int, needed: int) -> np.ndarray:
+    """The array, or one twice as long or longer with what is used of it."""
+    if needed <= len(array):
+        return array
+    larger = np.empty(max(needed, 2 * len(array)), array.dtype)
+    larger[:used] = array[:used]
+    return larger
+
+
 def encode_decode(
-    df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    model_path: str | Callable[[], str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Id, `ids` (array of int) and `decoded` of every row; other columns are left out.
 
     A NULL or empty text has no ids and decodes to an empty text. Repeated rows and NULL ids
-    are rows like others. Nothing is shuffled; an empty table gives an empty table.
+    are rows like others. Nothing is shuffled; an empty table gives an empty table. A path that is
+    a function is asked for in the task, on the executor that reads it.
+    """
+    return _coded(df, model_path, id_col, text_col, "ids array<int>, decoded string", _real)
+
+
+def encoded_digests(
+    df: DataFrame,
+    model_path: str | Callable[[], str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Id, `n_tokens`, `ids_sha256` and `decoded_sha256` of what `encode_decode` returns.
+
+    The ids (decimal, joined by commas) and the decoded text are hashed where they are made, so
+    that neither travels from the worker.
     """
+    out = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _coded(df, model_path, id_col, text_col, out, _digests)
+
+
+def _coded(df, model_path, id_col: str, text_col: str, out: str, columns: Callable) -> DataFrame:
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    out = f"id {kind}, ids array<int>, decoded string"
-    return docs.mapInArrow(_encoder(model_path), out).withColumnRenamed("id", id_col)
-
-
-def _encoder(model_path: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches):
-        table = ChunkTable(model_path)
-        for keys, texts in text_groups(batches):
-            ids = table.encode(texts)
-            decoded = [table.decode(found) for found in ids]
-            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    keys,
-                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))),
-                    pa.array(decoded, pa.string()),
-                ],
-                names=["id", "ids", "decoded"],
-            )
+    found = docs.mapInArrow(_encoder(model_path, columns), f"id {kind}, {out}")
+    return found.withColumnRenamed("id", id_col)
+
+
+def _real(ids: list[np.ndarray], decode: Callable) -> dict[str, pa.Array]:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return {
+        "ids": pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))),
+        "decoded": pa.array([decode(found) for found in ids], pa.string()),
+    }
 
-    return run
 
+def _digests(ids: list[np.ndarray], decode: Callable) -> dict[str, pa.Array]:
+    def sha256(text: str) -> str:
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    return {
+        "n_tokens": pa.array([len(found) for found in ids], pa.int64()),
+        "ids_sha256": pa.array(
+            [sha256(",".join(map(str, found.tolist()))) for found in ids], pa.string()
+        ),
+        "decoded_sha256": pa.array([sha256(decode(found)) for found in ids], pa.string()),
+    }
+
+
+def _encoder(model_path: str | Callable[[], str], columns: Callable) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ChunkTable(model_path() if callable(model_path) else model_path)
+        for keys, texts in text_groups(batches, GROUP_CHARS):
+            made = columns(table.encode(texts), table.decode)
+            yield pa.RecordBatch.from_arrays([keys, *made.values()], names=["id", *made])
+
+    return run
