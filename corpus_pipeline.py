@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orderledger.llm import language_id, line_dedup, mixing, near_duplicates, sentencepiece_codec
 from orderledger.llm.common import table, words_of, written
-from orderledger.llm.queries import piece_model, sha256
+from orderledger.llm.queries import piece_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rejected are documents without a letter, and those whose language is a guess. Of 0.4, 0.5, 0.55,
@@ -45,13 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = sentencepiece_codec.encode_decode(docs, piece_model())
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        sha256(F.array_join("ids", ",")).alias("ids_sha256"),
-        sha256(F.col("decoded")).alias("decoded_sha256"),
-    )
+    return sentencepiece_codec.encoded_digests(docs, piece_model)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
