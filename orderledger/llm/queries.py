@@ -18,6 +18,7 @@ from orderledger.llm import (
     quality_rules,
     repeated_passages,
     sentencepiece_codec,
+    sharding,
 )
 from orderledger.llm.common import table, words_of, written
 
@@ -180,3 +181,25 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
+        F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),
+        # Of the text itself, two hashes ride along.
+        F.when(text.isNotNull(), F.xxhash64(text)).alias("h1"),
+        F.when(text.isNotNull(), F.xxhash64(F.lit(1), text)).alias("h2"),
+    )
+    return sharding.sharded(rows, ["h1", "h2"]).select(
+        "row.doc_id",
+        "row.size",
+        "row.text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
