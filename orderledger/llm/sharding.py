@@ -1,16 +1,20 @@
 """Sharding by balanced label propagation: linked rows move together, shards stay even.
 
 Rows are linked if they agree in all link columns. The members of a group that lie in one shard have
-the same neighbours and can stand for each other, so what the rounds move are units: a row for each
-group and shard, with its number of members. That adds rows up ahead of every shuffle: a group has
-as many units as there are shards at most, however many rows it has.
+the same neighbours and can stand for each other, so what the rounds move are units: a group is a
+row that lists, for each shard that has some, its number of members there. That adds rows up ahead of
+every shuffle, and a group's list is no longer than there are shards, however many rows it has.
 
 1. All linked rows are dealt out in turn, so that no shard has more of them than its final size.
 2. In each round every unit would move to the shard where most of its group is, of those that have
    room. For two shards, as many rows move one way as the other; beyond that a shard takes what its
    room allows, shared among the shards that send. These quotas are filled in the order of what
-   is gained, where need be by a part of a unit. No move adds to the cut edges, and each that
+   is gained, the last ones by a part of each unit; rows that rounding leaves beyond a shard's size
+   (two flows of a swap may differ by a few) are dealt out with the rows of step 4. No move adds to the cut edges, and each that
    happens takes some away: a group's uncut pairs grow with the squares of its units.
+   What the units wish for is added up by the two shards, gain and a hash; from these sums, of a
+   number that does not grow with the rows, follow the quotas and where each is used up, and the
+   groups are joined with these.
 3. Once nothing moves to shards with room, shards without it are asked for swaps; when these bring
    nothing either, the units have come to rest. Groups that lie in one shard leave the rounds.
 4. Rows without links fill the shards up to their exact sizes.
@@ -31,6 +35,10 @@ SHARDS = 24
 ROUNDS = 40
 #: Rows of a block on average, as long as there are no more than MOST_BLOCKS of them.
 BLOCK_ROWS, MOST_BLOCKS = 1000, 1 << 16
+#: Wishes from a shard to another are told apart by gain and so many hash values.
+BUCKETS = 64
+#: Rows for each task that writes groups; these are at most half as many.
+TASK_ROWS = 500_000
 GROUP = ["g1", "g2"]
 
 
@@ -70,125 +78,167 @@ def prefix_sums(
     return placed.join(starts, place).withColumn(name, before).drop("_first", "_block", "_start")
 
 
+def _array(values: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{value}L' for value in values)})")
+
+
 def _numbers(values: list[int], index: Column) -> Column:
-    return F.get(F.array(*(F.lit(value).cast("bigint") for value in values)), index)
+    return F.get(_array(values), index)
 
 
 def _dealt_in_turn(groups: DataFrame, shards: int, blocks: int) -> DataFrame:
-    """g1, g2, shard, n: the members of all groups, one behind the other, to the shards in turn."""
-    dealt = prefix_sums(groups, [], GROUP, "members", "start", blocks).withColumn(
-        "turn", F.explode(F.expr(f"sequence(0, int(least({shards}, members)) - 1)"))
-    )
-    return dealt.select(
-        *GROUP,
-        F.expr(f"int((start + turn) % {shards})").alias("shard"),
-        F.expr(f"(members - 1 - turn) div {shards} + 1").alias("n"),
+    """g1, g2, units: the members of all groups, one behind the other, to the shards in turn."""
+    dealt = prefix_sums(groups, [], GROUP, "members", "start", blocks)
+    units = F.transform(
+        F.expr(f"sequence(0L, least({shards}L, members) - 1)"),
+        lambda turn: _unit(
+            F.call_function("div", F.col("members") - 1 - turn, F.lit(shards)) + 1,
+            ((F.col("start") + turn) % shards).cast("int"),
+        ),
     )
+    return dealt.select(*GROUP, units.alias("units"))
 
 
-def _proposals(units: DataFrame, room: list[int], swaps: bool) -> DataFrame:
-    """Units with the shard `to` that has more of their group, and how many it has there (`most`)."""
-    own = F.struct("n", F.xxhash64(*GROUP, "shard").alias("tie"), F.col("shard").alias("to"))
-    open_to_all = F.lit(swaps) | (_numbers(room, F.col("shard")) > 0)
-    best = F.max(F.when(open_to_all, own)).over(Window.partitionBy(GROUP))
-    return (
-        units.select(*GROUP, "shard", "n", own.alias("own"), best.alias("best"))
-        .filter("best > own")
-        .select(*GROUP, "shard", "n", F.col("best.to").alias("to"), F.col("best.n").alias("most"))
-    )
+def _unit(n: Column, shard: Column) -> Column:
+    """Units compare by their size, then by a hash that prefers another shard for each group."""
+    return F.struct(n.alias("n"), F.xxhash64(*GROUP, shard).alias("tie"), shard.alias("shard"))
 
 
-def _quotas(proposals: DataFrame, room: list[int]) -> DataFrame:
-    """shard, to, quota: what moves back and forth, and a share of the room beyond that."""
-    flows = proposals.groupBy("shard", "to").agg(F.sum("n").alias("wish"))
-    back = flows.select(
-        F.col("to").alias("shard"), F.col("shard").alias("to"), F.col("wish").alias("back")
+def _with_goals(groups: DataFrame, room: list[int], swaps: bool) -> DataFrame:
+    """Adds `goal`: the largest unit in a shard that has room, or for swaps in any."""
+    asked = F.lit(swaps)
+    open_units = F.filter("units", lambda unit: asked | (_numbers(room, unit["shard"]) > 0))
+    return groups.withColumn("goal", F.array_max(open_units)).withColumn(
+        "to", F.col("goal")["shard"]
     )
-    both = flows.join(back, ["shard", "to"], "left").withColumn(
-        "swap", F.least("wish", F.coalesce("back", F.lit(0)))
+
+
+def _wish_key(shard: Column, number: int) -> Column:
+    """The place of a wish among those between two shards: large gains first, then a hash."""
+    gain = F.lit(64) - F.length(F.bin(F.col("goal")["n"]))
+    bucket = F.pmod(F.xxhash64(*GROUP, shard, F.lit(number)), F.lit(BUCKETS))
+    return (gain * BUCKETS + bucket).cast("int")
+
+
+def _quotas(aimed: DataFrame, room: list[int], number: int) -> DataFrame:
+    """to, cuts: for each shard that sends, the first wish that is not met in full.
+
+    A cut is the wish's key, what is left for it and what it asks for; where all is met, none.
+    The wishes are added up first: at most 64 * BUCKETS sums for two shards, which one task turns
+    into quotas.
+    """
+    smaller = F.filter("units", lambda unit: unit < F.col("goal"))
+    wishes = aimed.select("to", "goal", *GROUP, F.explode(smaller).alias("unit"))
+    shard, into = F.col("unit")["shard"].alias("shard"), Window.partitionBy("to")
+    sums = (
+        wishes.groupBy(shard, "to", _wish_key(shard, number).alias("key"))
+        .agg(F.sum("unit.n").alias("wish"))
+        .coalesce(1)
     )
-    into = Window.partitionBy("to")
-    upto = F.sum("rest").over(into.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
-    rest = both.withColumn("rest", F.col("wish") - F.col("swap")).withColumns(
-        {
-            "all_rest": F.sum("rest").over(into),
-            "upto": upto,
-            "room": _numbers(room, F.col("to")),
-        }
+    flow = Window.partitionBy("shard", "to")
+    pair = Window.partitionBy(F.least("shard", "to"), F.greatest("shard", "to"))
+    upto_here = (Window.unboundedPreceding, 0)
+    forth = F.sum(F.when(F.expr("shard < to"), F.col("wish"))).over(pair)
+    back = F.sum(F.when(F.expr("shard > to"), F.col("wish"))).over(pair)
+    swap = F.coalesce(F.when(forth < back, forth).otherwise(F.when(back <= forth, back)), F.lit(0))
+    once = F.when(F.col("first"), F.col("rest"))
+    rest = (
+        sums.withColumns(
+            {
+                "first": F.row_number().over(flow.orderBy("key")) == 1,
+                "upto": F.sum("wish").over(flow.orderBy("key").rowsBetween(*upto_here)),
+                "swap": swap,
+                "rest": F.sum("wish").over(flow) - swap,
+            }
+        ).withColumns(
+            {
+                "all_rest": F.sum(once).over(into),
+                "upto_rest": F.sum(once).over(into.orderBy("shard", "key").rowsBetween(*upto_here)),
+                "room": _numbers(room, F.col("to")),
+            }
+        )
     )
     # Shares are differences of rounded sums, so that they use up the room.
     rounded = "CAST({} AS DECIMAL(19,0)) * CAST(room AS DECIMAL(19,0)) div all_rest"
     share = F.when(F.expr("all_rest <= room"), F.col("rest")).otherwise(
-        F.expr(rounded.format("upto")) - F.expr(rounded.format("(upto - rest)"))
+        F.expr(rounded.format("upto_rest")) - F.expr(rounded.format("(upto_rest - rest)"))
     )
-    return rest.select("shard", "to", (F.col("swap") + share).alias("quota"))
-
-
-def _moves(proposals: DataFrame, room: list[int], blocks: int) -> DataFrame:
-    """g1, g2, shard, to and how many members move, the largest gains first."""
-    gain = -F.length(F.bin("most"))
-    ordered = prefix_sums(proposals, ["shard", "to"], GROUP, "n", "before", blocks, gain)
+    left = (F.col("quota") - F.col("upto") + F.col("wish")).alias("left")
+    cut = F.when(F.expr("upto > quota"), F.struct("key", left, F.col("wish").alias("asked")))
     return (
-        ordered.join(_quotas(proposals, room), ["shard", "to"])
-        .withColumn("moved", F.least("n", F.col("quota") - F.col("before")))
-        .filter("moved > 0")
-        .select(*GROUP, "shard", "to", "moved")
+        rest.withColumn("quota", F.col("swap") + share)
+        .groupBy("to", "shard")
+        .agg(F.min(cut).alias("cut"))
+        .filter("cut IS NOT NULL")
+        .groupBy("to")
+        .agg(F.map_from_entries(F.collect_list(F.struct("shard", "cut"))).alias("cuts"))
     )
 
 
-def _after(units: DataFrame, moves: DataFrame) -> DataFrame:
-    changes = units.select(*GROUP, "shard", "n")
-    changes = changes.unionByName(
-        moves.select(
-            *GROUP,
-            F.inline(
-                F.array(
-                    F.struct(F.col("shard"), (-F.col("moved")).alias("n")),
-                    F.struct(F.col("to").alias("shard"), F.col("moved").alias("n")),
-                )
-            ),
-        )
+def _moved(aimed: DataFrame, quotas: DataFrame, number: int) -> DataFrame:
+    """The groups after a round. There are no more quotas than shards, so they go to every task."""
+
+    def leaving(unit: Column) -> Column:
+        cut, key = F.col("cuts")[unit["shard"]], _wish_key(unit["shard"], number)
+        n = unit["n"].cast("decimal(19,0)") * cut["left"].cast("decimal(19,0)")
+        part = F.call_function("div", n, cut["asked"])
+        met = F.when(cut.isNull() | (key < cut["key"]), unit["n"])
+        met = met.when(key == cut["key"], part).otherwise(0)
+        return F.when(unit < F.col("goal"), met).otherwise(0).cast("bigint")
+
+    moved = F.transform(
+        "units", lambda unit: F.struct(unit.alias("unit"), leaving(unit).alias("leaving"))
     )
-    return changes.groupBy(*GROUP, "shard").agg(F.sum("n").alias("n")).filter("n > 0")
+    arriving = F.aggregate("moved", F.lit(0).cast("bigint"), lambda n, one: n + one["leaving"])
 
+    def after(one: Column) -> Column:
+        there = F.when(one["unit"]["shard"] == F.col("to"), F.col("arriving")).otherwise(0)
+        n = one["unit"]["n"] - one["leaving"] + there
+        return F.struct(n.alias("n"), one["unit"]["tie"], one["unit"]["shard"])
 
-def _with_rest(units: DataFrame) -> DataFrame:
-    """Adds `alone`: whether the unit is its whole group."""
-    return units.withColumn("alone", F.count("*").over(Window.partitionBy(GROUP)) == 1)
+    units = F.filter(F.transform("moved", after), lambda unit: unit["n"] > 0)
+    return (
+        aimed.join(F.broadcast(quotas), "to", "left")
+        .withColumn("moved", moved)
+        .withColumn("arriving", arriving)
+        .select(*GROUP, units.alias("units"))
+    )
 
 
 def propagated(
-    units: DataFrame, sizes: list[int], blocks: int, rounds: int = ROUNDS
+    groups: DataFrame, sizes: list[int], tasks: int, rounds: int = ROUNDS
 ) -> tuple[DataFrame, list[int]]:
-    """The units when they have come to rest, and each shard's linked rows.
+    """The groups when their units have come to rest, and each shard's linked rows.
 
-    The driver sees a row for each shard and round.
+    The driver sees a row of sums for each shard and round.
     """
     rested, loads, swaps = [], [0] * len(sizes), False
-    state = written(_with_rest(units), "units")
-    uncut = None
+    state, uncut = written(groups.coalesce(tasks), "units"), None
+    alone = F.size("units") == 1
+    sums = [
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("alone"), F.col("n")).otherwise(0)).alias("rested"),
+        F.sum(F.when(~F.col("alone"), F.col("n").cast("decimal(19,0)") * F.col("n"))).alias("uncut"),
+    ]
     for number in range(rounds + 1):
-        found = state.groupBy("shard").agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("alone"), F.col("n")).otherwise(0)).alias("rested"),
-            F.sum(F.when(~F.col("alone"), F.col("n").cast("decimal(19,0)") * F.col("n"))).alias(
-                "uncut"
-            ),
-        ).collect()
+        units = state.select(alone.alias("alone"), F.inline("units"))
         now = list(loads)
+        found = units.groupBy("shard").agg(*sums).coalesce(1).collect()
         for row in found:
             now[row.shard] += row.n
             loads[row.shard] += row.rested
-        rested.append(state.filter("alone").drop("alone"))
-        active = state.filter("NOT alone").drop("alone")
-        same = uncut == (uncut := sum(row.uncut or 0 for row in found))
-        if not uncut or number == rounds or (same and swaps):
+        last, uncut = uncut, sum(row.uncut or 0 for row in found)
+        rested.append(state.filter(alone))
+        active = state.filter(~alone)
+        if not uncut or number == rounds or (swaps and uncut == last):
             rested.append(active)
             break
-        swaps = same
+        swaps = uncut == last
         room = [size - load for size, load in zip(sizes, now)]
-        proposals = written(_proposals(active, room, swaps), "proposals")
-        state = written(_with_rest(_after(active, _moves(proposals, room, blocks))), "units")
+        aimed = _with_goals(active, room, swaps)
+        state = written(
+            _moved(aimed, _quotas(aimed, room, number), number).coalesce(tasks), "units"
+        )
     whole = rested[0]
     for more in rested[1:]:
         whole = whole.unionByName(more)
@@ -227,26 +277,33 @@ def sharded(
         prefix_sums(nodes.filter("g1 IS NOT NULL"), GROUP, ["node"], "one", "rank", blocks),
         "ranked",
     )
+    tasks = -(-max(1, total) // TASK_ROWS)
     groups = ranked.filter("`all` > 1 AND rank = 0").select(*GROUP, F.col("all").alias("members"))
-    units = _dealt_in_turn(written(groups, "groups"), shards, blocks)
-    units, loads = propagated(units, sizes, blocks, rounds)
-    placed = _linked(ranked.filter("`all` > 1"), written(units, "rested"), blocks)
+    groups = _dealt_in_turn(written(groups.coalesce(tasks), "groups"), shards, blocks)
+    groups, loads = propagated(groups, sizes, tasks, rounds)
+    units = groups.select(*GROUP, F.inline("units")).drop("tie")
+    placed = _linked(ranked.filter("`all` > 1"), written(units.coalesce(tasks), "rested"), blocks)
 
-    needs = [size - load for size, load in zip(sizes, loads)]
+    needs = [max(0, size - load) for size, load in zip(sizes, loads)]
     ends = [sum(needs[: shard + 1]) for shard in range(shards)]
     single = ["node", "one", "row"]
     singles = nodes.filter("g1 IS NULL").select(single).unionByName(
         ranked.filter("`all` = 1").select(single)
     )
-    alone = prefix_sums(singles, [], ["node"], "one", "rank", blocks)
-    passed = F.filter(
-        F.array(*(F.lit(end).cast("bigint") for end in ends)), lambda end: end <= F.col("rank")
+    alone = prefix_sums(singles, [], ["node"], "one", "rank", blocks).select("row", "rank")
+    # Linked rows beyond a shard's size fill the last of the free places.
+    over = [max(0, load - size) for size, load in zip(sizes, loads)]
+    begins = [sum(needs) - sum(over[shard:]) for shard in range(shards)]
+    beyond = F.col("slot") - _numbers(sizes, F.col("shard"))
+    spare = placed.filter(beyond >= 0).select(
+        "row", (_numbers(begins, F.col("shard")) + beyond).alias("rank")
     )
-    offsets = [load + need - end for load, need, end in zip(loads, needs, ends)]
-    alone = alone.withColumn("shard", F.size(passed)).select(
-        "row", "shard", (_numbers(offsets, F.col("shard")) + F.col("rank")).alias("slot")
+    passed = F.filter(_array(ends), lambda end: end <= F.col("rank"))
+    first = [load + need - end for load, need, end in zip(loads, needs, ends)]
+    filled = alone.unionByName(spare).withColumn("shard", F.size(passed)).select(
+        "row", "shard", (_numbers(first, F.col("shard")) + F.col("rank")).alias("slot")
     )
-    return placed.unionByName(alone)
+    return placed.filter(beyond < 0).unionByName(filled)
 
 
 def _linked(ranked: DataFrame, units: DataFrame, blocks: int) -> DataFrame:
