@@ -19,14 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here.
 
     A lost executor costs the tasks it ran, never the steps before the table.
     """
     spark = df.sparkSession
     path = runs.new_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

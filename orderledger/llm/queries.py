@@ -19,6 +19,7 @@ from orderledger.llm import (
     repeated_passages,
     sentencepiece_codec,
     sharding,
+    token_alignment,
 )
 from orderledger.llm.common import table, words_of, written
 
@@ -203,3 +204,20 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def byte_model() -> str:
+    """The same for the byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+#: Entries of the piece vocabulary.
+PIECES = 32_000
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return token_alignment.alignment_scores(documents, byte_model, piece_model, PIECES)

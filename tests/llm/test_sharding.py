@@ -61,7 +61,7 @@ def test_without_single_rows_swaps_take_cut_edges_away(docs):
     texts = ["warm"] * 60 + [f"group {n // 4}" for n in range(180)]
     table = docs(list(enumerate(texts)))
     cuts = [cut(shards_of(table, 8, rounds=rounds)) for rounds in (0, 2, 20)]
-    assert cuts[1] < 0.8 * cuts[0] and cuts[2] < 0.6 * cuts[0]
+    assert cuts[2] <= 1.02 * cuts[1] < 0.85 * cuts[0]
 
 
 @pytest.mark.parametrize("blocks", [1, 3, 50])
