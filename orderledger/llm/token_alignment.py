@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -59,8 +60,6 @@ class ByteLevel:
     """Byte-level BPE from the file of its tokenizer, whose special tokens are plain text here."""
 
     def __init__(self, path: str):
-        import tiktoken
-
         with open(path, encoding="utf-8") as file:
             whole = json.load(file)
         model, cutter = whole["model"], whole["pre_tokenizer"]
@@ -78,18 +77,25 @@ class ByteLevel:
         )
         if not plain:
             raise ValueError(f"{path} is no byte-level BPE whose ids follow its merges")
-        ranks = {
+        self.ranks = {
             bytes(letters[letter] for letter in entry): number
             for entry, number in vocabulary.items()
             if number not in special
         }
-        self.model = tiktoken.Encoding(
-            "byte_level", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={}
-        )
-        self.bytes = [b""] * (max([*ranks.values(), *special]) + 1)
-        for entry, number in ranks.items():
+        if any(bytes([byte]) not in self.ranks for byte in range(256)):
+            raise ValueError(f"{path} has no token for some byte, so texts are not given back")
+        self.bytes = [b""] * (max([*self.ranks.values(), *special]) + 1)
+        for entry, number in self.ranks.items():
             self.bytes[number] = entry
 
+    @cached_property
+    def model(self):
+        import tiktoken
+
+        return tiktoken.Encoding(
+            "byte_level", pat_str=CUTS, mergeable_ranks=self.ranks, special_tokens={}
+        )
+
     def encode(self, part: str, first: bool) -> list[int]:
         return self.model.encode_ordinary(" " + part if first else part)
 
@@ -128,16 +134,16 @@ class Sides:
         ]
 
     def encode(self, text: str | None) -> list[np.ndarray]:
-        """The ids of A and B, none where one of them does not give back space and text."""
+        """The ids of A and B, none where B does not give back space and text; A always does."""
         none = [np.empty(0, kind) for kind in self.kinds]
         if not text:
             return none
         parts = whole_parts(text)
-        raw, found = b" " + text.encode(), []
+        found = []
         for side, kind in zip((self.a, self.b), self.kinds):
             ids = [side.encode(part, k == 0) for k, part in enumerate(parts)]
             ids = ids[0] if len(ids) == 1 else [i for part in ids for i in part]
-            if b"".join(map(side.bytes.__getitem__, ids)) != raw:
+            if side is self.b and b"".join(map(side.bytes.__getitem__, ids)) != b" " + text.encode():
                 return none
             found.append(np.array(ids, kind))
         return found
@@ -185,16 +191,18 @@ class Batch:
             np.concatenate([forth[x].to_numpy(), back[x].to_numpy()]).astype(np.int64) for x in "ab"
         )
 
+    @cached_property
     def closing(self) -> list[np.ndarray]:
         """Whether a token's end is one of the other side too, for both sides."""
-        return [
-            np.isin(mine, other, assume_unique=True, kind="sort")
-            for mine, other in (self.end, self.end[::-1])
-        ]
+        found = []
+        for mine, other in (self.end, self.end[::-1]):
+            at = np.minimum(np.searchsorted(other, mine), max(0, len(other) - 1))
+            found.append(other[at] == mine)
+        return found
 
     def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens group by group, A's first: side, place on its side, whether its group ends there."""
-        closing = self.closing()
+        closing = self.closing
         groups = [np.cumsum(ends) - ends for ends in closing]
         number = int(closing[0].sum())
         sizes = [np.bincount(group, minlength=number) for group in groups]
@@ -327,7 +335,7 @@ def _scorer(a_path: Path, b_path: Path, frequent) -> Callable:
                 hashlib.sha256("".join(shown[i:j])[:-1].encode()).hexdigest() if j > i else ""
                 for i, j in zip(cuts[:-1], cuts[1:])
             ]
-            groups = batch.per_doc(batch.doc[0][batch.closing()[0]])
+            groups = batch.per_doc(batch.doc[0][batch.closing[0]])
             numbers = [n_a, n_b, groups, batch.per_doc(doc), n_best, count_sum]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -400,7 +408,7 @@ def _group_maker(a_path: Path, b_path: Path) -> Callable:
             columns = []
             ends, starts = [np.cumsum(batch.per_doc(doc)) for doc in batch.doc], []
             starts = [np.concatenate([[0], end[:-1]]) for end in ends]
-            closing = batch.closing()
+            closing = batch.closing
             for k in (0, 1):
                 last = np.flatnonzero(closing[k])
                 begins = np.concatenate([[0], last[:-1] + 1]).astype(np.int32)
