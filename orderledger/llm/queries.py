@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderledger.llm import (
+    collocations,
     embedding_dedup,
     html_extraction,
     language_id,
@@ -67,6 +68,51 @@ WITH docs AS (
 SELECT doc_id, size, source_size, target,
   (upto // 1000000 - (upto - units) // 1000000) * size AS taken
 FROM summed
+""",
+    "op12_collocations": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(
+    unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+  FROM docs
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+), begins AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), grams AS (
+  SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, 6)) AS m FROM begins) WHERE i + m - 1 <= len(words)
+), counts AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, f AS a, m, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k
+  FROM counts WHERE m > 1
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n,
+    ((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals t USING (lang)
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+), worst AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_begins AS (
+  SELECT lang, f, m, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS i
+  FROM counts WHERE m > 2
+), around AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(2, m)) AS s FROM inner_begins) WHERE i + s - 1 <= m
+  GROUP BY ALL
+), ranked AS (
+  SELECT w.*, row_number() OVER (
+    PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank
+  FROM worst w LEFT JOIN around o ON o.lang = w.lang AND o.phrase = w.phrase
+  WHERE o.longer IS NULL OR 100 * o.longer < 100 * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """,
 }
 
@@ -221,3 +267,8 @@ PIECES = 32_000
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return token_alignment.alignment_scores(documents, byte_model, piece_model, PIECES)
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
