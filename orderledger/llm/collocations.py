@@ -14,7 +14,8 @@ words; an n-gram is n words in a row within a piece.
 3. Scores of the cuts from the exact counts, in decimals; phrases inside equally frequent longer ones
    go; each language's first phrases by score.
 
-What survived is told to the tasks by a filter of FILTER_BITS bits, whose size does not grow: a name
+The texts are cut into words twice, for each pass: the first one leaves a table of their hashes, which
+all lengths of n-grams read. What survived is told to the tasks by a filter of FILTER_BITS bits, whose size does not grow: a name
 that it lets through by chance costs a count and no more. All shuffles are of counts that have been
 added up before, so a frequent word is a row for each task.
 """
@@ -39,8 +40,8 @@ PERCENT = 100
 FILTER_BITS = 1 << 26
 #: Counters of a summary at first, names that a task adds up at once, and words that it remembers.
 CAPACITY, BUFFER, VOCABULARY = 1 << 18, 1 << 20, 1 << 19
-#: Characters of the texts that a task cuts into words at once.
-GROUP_CHARS = 500_000
+#: Characters of the texts that a task cuts into words at once, and words that it names at once.
+GROUP_CHARS, GROUP_WORDS = 500_000, 100_000
 #: No part of a phrase that is joined by hash has more than 1 / HOT of the rows.
 HOT = 1000
 
@@ -54,9 +55,9 @@ _MIX = np.random.default_rng(29).integers(0, 2**63, 4, dtype=np.uint64) * np.uin
 _MIX += np.uint64(1)
 
 
-def cut_words(text: str) -> list[bytes]:
-    """The words of a text in lower case (A-Z only), and b"." between pieces."""
-    return text.encode().translate(LETTERS).replace(b".", b" . ").split()
+def cut_words(text: str) -> bytes:
+    """A text in lower case (A-Z only): words between blanks, and "." between pieces."""
+    return text.encode().translate(LETTERS).replace(b".", b" . ")
 
 
 def _text_parts(text: str) -> Iterator[str]:
@@ -78,40 +79,52 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """Numbers of the words that a task has met; 0 is where a piece ends."""
+    """Numbers of the words that a task has met; 0 is where a piece ends, 1 where a text does."""
 
     def __init__(self):
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.hashes = [0]
-        self[b"."] = 0
+        self.hashes = [0, 0]
+        self.update({b".": 0, b"..": 1})
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        self.hashes.append(xxhash.xxh3_64_intdigest(word) | 1)
         return number
 
 
-class Grams:
-    """The n-grams of some texts: words in a row, names, and where an n-gram may begin."""
+class Texts:
+    """Some texts cut into words: the words, their numbers and hashes, and where each text ends."""
 
-    def __init__(self, words: Words, languages: list[str], texts: list[str]):
-        cut = [[word for part in _text_parts(text) for word in cut_words(part)] + [b"."]
-               for text in texts]
+    def __init__(self, words: Words, texts: list[str]):
         if len(words) > VOCABULARY:
             words.clear()
-        self.words = [word for text in cut for word in text]
+        parts = (b"".join(map(cut_words, _text_parts(text))) for text in texts)
+        # No word has a stop in it, so two are free to stand for the end of a text.
+        self.words = (b" .. ".join(parts) + b" ..").split()
         self.ids = np.fromiter(map(words.__getitem__, self.words), np.int64, len(self.words))
+        self.hashes = np.array(words.hashes, np.uint64)[self.ids]
+        self.ends = np.flatnonzero(self.ids == 1) + 1
+
+
+class Grams:
+    """The n-grams of some texts: their names, and where an n-gram may begin.
+
+    The hash of a word is never 0; 0 is where a piece ends, and the last one of a text.
+    """
+
+    def __init__(self, languages: list[str], hashes: np.ndarray, ends: np.ndarray):
         self.languages = sorted(set(languages))
         place = {language: k for k, language in enumerate(self.languages)}
-        self.language = np.repeat([place[x] for x in languages], list(map(len, cut)))
-        self.hashes = np.array(words.hashes, np.uint64)[self.ids]
+        lengths = np.diff(ends, prepend=0)
+        self.language = np.repeat(np.array([place[x] for x in languages], np.int64), lengths)
+        self.hashes = hashes
         salts = [xxhash.xxh3_64_intdigest(language.encode()) for language in self.languages]
         self.salt = np.array(salts, np.uint64)[self.language]
-        here = np.arange(len(self.ids))
-        stops = np.where(self.ids == 0, here, len(self.ids))
+        here = np.arange(len(hashes))
+        stops = np.where(hashes == 0, here, len(hashes))
         #: Words from here to the end of the piece.
         self.run = np.minimum.accumulate(stops[::-1])[::-1] - here
 
@@ -126,10 +139,35 @@ class Grams:
             yield name
 
 
-def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[Grams]:
+def _cutter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
     for languages, texts in text_groups(batches, GROUP_CHARS):
-        yield Grams(words, languages.to_pylist(), texts)
+        cut = Texts(words, texts)
+        own = np.split(cut.hashes, cut.ends[:-1])
+        yield pa.RecordBatch.from_arrays(
+            [languages, pa.array([hashes.tobytes() for hashes in own], pa.binary())],
+            names=["language", "hashes"],
+        )
+
+
+def hashed_words(texts: DataFrame) -> DataFrame:
+    """language and the packed hashes of the words of each text, written."""
+    cut = texts.mapInArrow(_cutter, "language string, hashes binary")
+    return written(cut, "words", compression="zstd")
+
+
+def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[Grams]:
+    """The n-grams of some GROUP_WORDS words at once."""
+    for batch in batches:
+        languages, column = batch.column("language").to_pylist(), batch.column("hashes")
+        begin, parts, size = 0, [], 0
+        for at in range(batch.num_rows):
+            parts.append(np.frombuffer(column[at].as_buffer(), np.uint64))
+            size += len(parts[-1])
+            if size >= GROUP_WORDS or at + 1 == batch.num_rows:
+                ends = np.cumsum(list(map(len, parts)))
+                yield Grams(languages[begin : at + 1], np.concatenate(parts), ends)
+                begin, parts, size = at + 1, [], 0
 
 
 def filter_places(name: Column) -> Column:
@@ -267,9 +305,9 @@ def _name_counter(n: int, shorter) -> Callable:
     return run
 
 
-def survivors(texts: DataFrame, n: int, shorter, threshold: int) -> DataFrame:
-    """The names of all n-grams that may be frequent; `texts` has language and text."""
-    names = texts.mapInArrow(_name_counter(n, shorter), "name bigint, n bigint")
+def survivors(words: DataFrame, n: int, shorter, threshold: int) -> DataFrame:
+    """The names of all n-grams that may be frequent; `words` are hashed ones."""
+    names = words.mapInArrow(_name_counter(n, shorter), "name bigint, n bigint")
     return written(
         names.repartition("name").mapInArrow(_summarizer(threshold), "name bigint"), "survivors"
     )
@@ -282,32 +320,33 @@ def _phrase_counter(known) -> Callable:
     """Counts of the phrases whose names survived; words 0 is all words of a language."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for grams in _grams(batches):
+        words_met = Words()
+        for languages, texts in text_groups(batches, GROUP_CHARS):
+            cut = Texts(words_met, texts)
+            grams = Grams(languages.to_pylist(), cut.hashes, cut.ends)
             totals = np.bincount(grams.language[grams.run >= 1], minlength=len(grams.languages))
             rows = [[language, 0, "", int(n)] for language, n in zip(grams.languages, totals) if n]
-            # Equal numbers for equal phrases: that of the phrase without its last word, and this one.
-            number, alive = grams.language, np.ones(len(grams.ids), bool)
-            width = int(grams.ids.max(initial=0)) + 1
+            # Equal numbers for equal phrases: of the phrase without its last word, and of that word.
+            number, alive = grams.language, np.ones(len(cut.ids), bool)
+            width = int(cut.ids.max(initial=0)) + 1
             for n, names in enumerate(grams.names(), 1):
-                before = alive
-                alive = (grams.run >= n) & grams.hashes.astype(bool)
-                alive &= before
+                before, alive = alive, (grams.run >= n) & alive
                 if n > 1:
                     alive[:-1] &= before[1:]
                 at = np.flatnonzero(alive)
                 at = at[known.value.holds(names[at])]
                 if not len(at):
                     break
-                keys = number[at] * width + grams.ids[at + n - 1]
+                keys = number[at] * width + cut.ids[at + n - 1]
                 _, first, same, counts = np.unique(
                     keys, return_index=True, return_inverse=True, return_counts=True
                 )
-                alive = np.zeros(len(grams.ids), bool)
+                alive = np.zeros(len(cut.ids), bool)
                 alive[at] = True
-                number = np.zeros(len(grams.ids), np.int64)
+                number = np.zeros(len(cut.ids), np.int64)
                 number[at] = same
                 for place, count in zip(at[first].tolist(), counts.tolist()):
-                    phrase = b" ".join(grams.words[place : place + n]).decode()
+                    phrase = b" ".join(cut.words[place : place + n]).decode()
                     rows.append([grams.languages[grams.language[place]], n, phrase, count])
             language, words, phrase, count = zip(*rows) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
@@ -328,8 +367,9 @@ def frequent_phrases(
 ) -> DataFrame:
     """language, words, phrase, n: exact counts of all frequent phrases, and of all words (0)."""
     spark, shorter, all_bits = texts.sparkSession, None, None
+    words = hashed_words(texts)
     for n in range(1, most_words + 1):
-        found = _filter_of(survivors(texts, n, shorter, threshold))
+        found = _filter_of(survivors(words, n, shorter, threshold))
         if not found.bits.any():
             break
         all_bits = found.bits if all_bits is None else all_bits | found.bits

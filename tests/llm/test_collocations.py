@@ -117,8 +117,9 @@ def test_overlaps_punctuation_and_odd_rows(docs):
 def test_long_texts_are_cut_at_pieces(monkeypatch):
     monkeypatch.setattr(co, "GROUP_CHARS", 10)
     text = "some words, and more words\nand a long piece without any stop " * 3
-    whole = co.Grams(co.Words(), ["x"], [text])
-    assert b" ".join(whole.words) == b" ".join(co.cut_words(text) + [b"."])
+    whole = co.Texts(co.Words(), [text, "", "next"])
+    assert whole.words == co.cut_words(text).split() + [b"..", b"..", b"next", b".."]
+    assert whole.ends.tolist() == [len(whole.words) - 3, len(whole.words) - 2, len(whole.words)]
 
 
 def test_query_equals_sql(spark):
