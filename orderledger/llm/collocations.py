@@ -91,7 +91,7 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word) | 1)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word) >> 32 | 1)
         return number
 
 
@@ -105,14 +105,15 @@ class Texts:
         # No word has a stop in it, so two are free to stand for the end of a text.
         self.words = (b" .. ".join(parts) + b" ..").split()
         self.ids = np.fromiter(map(words.__getitem__, self.words), np.int64, len(self.words))
-        self.hashes = np.array(words.hashes, np.uint64)[self.ids]
+        self.hashes = np.array(words.hashes, np.uint32)[self.ids]
         self.ends = np.flatnonzero(self.ids == 1) + 1
 
 
 class Grams:
     """The n-grams of some texts: their names, and where an n-gram may begin.
 
-    The hash of a word is never 0; 0 is where a piece ends, and the last one of a text.
+    The hash of a word is never 0; 0 is where a piece ends, and the last one of a text. Hashes have 32
+    bits, so that their table stays small: equal names of unlike n-grams only add to what survives.
     """
 
     def __init__(self, languages: list[str], hashes: np.ndarray, ends: np.ndarray):
@@ -120,7 +121,7 @@ class Grams:
         place = {language: k for k, language in enumerate(self.languages)}
         lengths = np.diff(ends, prepend=0)
         self.language = np.repeat(np.array([place[x] for x in languages], np.int64), lengths)
-        self.hashes = hashes
+        self.hashes = hashes.astype(np.uint64)
         salts = [xxhash.xxh3_64_intdigest(language.encode()) for language in self.languages]
         self.salt = np.array(salts, np.uint64)[self.language]
         here = np.arange(len(hashes))
@@ -162,7 +163,7 @@ def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[Grams]:
         languages, column = batch.column("language").to_pylist(), batch.column("hashes")
         begin, parts, size = 0, [], 0
         for at in range(batch.num_rows):
-            parts.append(np.frombuffer(column[at].as_buffer(), np.uint64))
+            parts.append(np.frombuffer(column[at].as_buffer(), np.uint32))
             size += len(parts[-1])
             if size >= GROUP_WORDS or at + 1 == batch.num_rows:
                 ends = np.cumsum(list(map(len, parts)))
