@@ -85,6 +85,11 @@ _VIEWS = {
     "broken_orders": inputs.BROKEN_ORDERS.format(raw_orders="raw_orders"),
     "broken_items": inputs.BROKEN_ITEMS.format(raw_items="raw_items"),
     "keyless_items": inputs.KEYLESS_ITEMS.format(raw_items="raw_items"),
+    "skewed_items": inputs.SKEWED_ITEMS.format(raw_items="raw_items"),
+    "quoted_items": inputs.QUOTED_ITEMS.format(raw_items="raw_items"),
+    "reloaded_items": inputs.RELOADED_ITEMS.format(raw_items="raw_items"),
+    "clean_reloaded": "SELECT order_id, product_id, price, freight_value "
+    f"FROM ({_coerced('reloaded_items')}) WHERE price >= 0",
     "coerced": _coerced("raw_items"),
     "clean_items": "SELECT order_id, product_id, price, freight_value FROM coerced "
     "WHERE price >= 0",
@@ -181,7 +186,117 @@ def _active_report(orders: str) -> str:
     )
 
 
+# Of the inferred types: the form of a cell and, for timestamps, how it is read.
+_FORMS = {
+    "yyyy-MM-dd HH:mm:ss": (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", "%Y-%m-%d %H:%M:%S"),
+    "yyyy-MM-dd": (r"\d{4}-\d{2}-\d{2}", "%Y-%m-%d"),
+    "yyyy-MM-dd'T'HH:mm:ss": (r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}", "%Y-%m-%dT%H:%M:%S"),
+    "MM/dd/yyyy HH:mm:ss": (r"\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}", "%m/%d/%Y %H:%M:%S"),
+    "dd/MM/yyyy HH:mm:ss": (r"\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}", "%d/%m/%Y %H:%M:%S"),
+}
+_INTEGER_CELL = r"regexp_full_match(c, '\s*[+-]?\d+\s*')"
+_DECIMAL_CELL = r"regexp_full_match(c, '\s*[+-]?(\d+\.?\d*|\.\d+)\s*')"
+_DOUBLE_CELL = (
+    r"regexp_full_match(lower(c), '\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*')"
+)
+
+
+def _inferred(source: str, table: str, column: str, percent: int = 90) -> str:
+    """One column's type by plain counts."""
+
+    def count(condition: str) -> str:
+        return f"COUNT(*) FILTER (WHERE {condition})"
+
+    def longest(pattern: str) -> str:
+        return (
+            f"COALESCE(MAX(length(regexp_extract(c, '{pattern}', 1))) "
+            f"FILTER (WHERE {_DECIMAL_CELL}), 0)"
+        )
+
+    times = ", ".join(
+        count(f"regexp_full_match(c, '{form}') AND TRY_STRPTIME(c, '{parse}') IS NOT NULL")
+        + f" AS t{k}"
+        for k, (form, parse) in enumerate(_FORMS.values())
+    )
+    most = "greatest(" + ", ".join(f"t{k}" for k in range(len(_FORMS))) + ")"
+    first = " ".join(
+        "WHEN t{} = {} THEN '{}'".format(k, most, name.replace("'", "''"))
+        for k, name in enumerate(_FORMS)
+    )
+    enough = f"* 100 >= present * {percent}"
+    return f"""
+      SELECT '{table}' AS table_name, '{column}' AS column_name, row_count, missing_count,
+        kind AS inferred_type, CASE WHEN kind = 'timestamp_ntz' THEN CASE {first} END END AS pattern,
+        CASE kind WHEN 'void' THEN 0 WHEN 'boolean' THEN booleans WHEN 'bigint' THEN integers
+          WHEN 'double' THEN doubles WHEN 'timestamp_ntz' THEN {most} WHEN 'string' THEN present
+          ELSE CASE WHEN integers {enough} THEN integers ELSE decimals END END AS fitting_count
+      FROM (SELECT *,
+        CASE WHEN present = 0 THEN 'void' WHEN booleans {enough} THEN 'boolean'
+          WHEN integers {enough} AND before <= 18 THEN 'bigint'
+          WHEN decimals {enough} THEN concat('decimal(', greatest(before + after, 1), ',', after, ')')
+          WHEN doubles {enough} THEN 'double' WHEN {most} {enough} THEN 'timestamp_ntz'
+          ELSE 'string' END AS kind
+      FROM (SELECT COUNT(*) AS row_count, {count('c IS NULL')} AS missing_count,
+        COUNT(c) AS present, {count("lower(c) IN ('true', 'false')")} AS booleans,
+        {count(_INTEGER_CELL)} AS integers, {count(_DECIMAL_CELL)} AS decimals,
+        {count(_DOUBLE_CELL)} AS doubles, {longest(r'^\s*[+-]?0*(\d*)')} AS before,
+        {longest(r'\.(\d*)\s*$')} AS after, {times}
+      FROM (SELECT {_known(column)} AS c FROM {source})))"""
+
+
+_RAW_ORDER_COLUMNS = [
+    "order_id",
+    "customer_id",
+    "order_status",
+    "order_purchase_timestamp",
+    "order_delivered_customer_date",
+]
+_RAW_ITEM_COLUMNS = ["order_id", "product_id", "price", "freight_value"]
+_ITEM_ORDER = ", ".join(f"{name} NULLS FIRST" for name in _RAW_ITEM_COLUMNS)
+_RELOADED_ORDERS = "(SELECT * FROM merged WHERE order_status NOT IN ('canceled', 'unavailable'))"
+
 _BODIES = {
+    "infer_column_types": " UNION ALL ".join(
+        _inferred(source, table, column)
+        for table, source, columns in [
+            ("orders", "raw_orders", _RAW_ORDER_COLUMNS),
+            ("order_items", "raw_items", _RAW_ITEM_COLUMNS),
+            ("slashed_orders", "slashed_timestamps", _RAW_ORDER_COLUMNS),
+        ]
+        for column in columns
+    ),
+    "scan_csv_typed": "SELECT CAST(order_id AS BIGINT) AS order_id, "
+    "CAST(product_id AS BIGINT) AS product_id, "
+    "CAST(TRY_CAST(price AS DECIMAL(18,2)) AS DOUBLE) AS price, "
+    "CAST(TRY_CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE) AS freight_value FROM raw_items",
+    "scan_csv_quoted": f"SELECT order_id, product_id, {_known('price')} AS price, "
+    f"{_known('freight_value')} AS freight_value FROM quoted_items",
+    "heavy_order_ids": "SELECT order_id, COUNT(*) AS n, total FROM skewed_items, "
+    "(SELECT COUNT(order_id) AS total FROM skewed_items) "
+    "WHERE order_id IS NOT NULL GROUP BY order_id, total HAVING COUNT(*) * 1000 > total",
+    "dense_item_ids": "SELECT CAST(1 AS INTEGER) AS load_number, "
+    f"row_number() OVER (ORDER BY {_ITEM_ORDER}) AS id, {_ITEM_MONEY} FROM clean_items "
+    "UNION ALL SELECT 2, (SELECT COUNT(*) FROM clean_items) + "
+    f"row_number() OVER (ORDER BY {_ITEM_ORDER}), {_ITEM_MONEY} FROM clean_reloaded",
+    "items_of_product": f"SELECT {_ITEM_MONEY} FROM clean_items WHERE product_id = '10'",
+    "items_of_order": f"SELECT {_ITEM_MONEY} FROM clean_items WHERE order_id = '7'",
+    "orders_of_customer": "SELECT * FROM clean_orders WHERE customer_id = '10'",
+    "orders_of_status": "SELECT * FROM clean_orders WHERE order_status = 'canceled'",
+    "changed_items": "SELECT change, COUNT(*) AS copies, "
+    f"{_ITEM_MONEY} FROM (SELECT 'added' AS change, * FROM "
+    "(SELECT * FROM clean_reloaded EXCEPT ALL SELECT * FROM clean_items) "
+    "UNION ALL SELECT 'removed', * FROM "
+    "(SELECT * FROM clean_items EXCEPT ALL SELECT * FROM clean_reloaded)) "
+    "GROUP BY change, order_id, product_id, price, freight_value",
+    "snapshot_checksum": "SELECT 'orders' AS table_name, COUNT(*) AS row_count, TRUE AS matches "
+    "FROM clean_orders UNION ALL SELECT 'order_items', COUNT(*), TRUE FROM clean_items",
+    "report_output_order": "SELECT row_number() OVER (ORDER BY report_date NULLS FIRST) "
+    f"AS line_number, * FROM ({_report('clean_orders')})",
+    "view_output_order": "SELECT row_number() OVER (ORDER BY report_date NULLS LAST) "
+    f"AS line_number, * FROM ({_active_report('active')})",
+    "daily_revenue_incremental": _active_report(_RELOADED_ORDERS).replace(
+        "clean_items", "clean_reloaded"
+    ),
     "scan_csv_orders": "SELECT * FROM raw_orders",
     "scan_csv_items": f"SELECT order_id, {_known('product_id')} AS product_id, "
     f"{_known('price')} AS price, {_known('freight_value')} AS freight_value FROM token_items",

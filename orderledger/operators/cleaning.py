@@ -62,14 +62,22 @@ def coerce_item_numbers(items: DataFrame) -> DataFrame:
     the gate) and ``freight_issue`` (out of range or NULL). An amount that not even the wide
     type holds, an infinite one say, is NULL and has its issue.
     """
-    price, freight = F.col("price"), F.col("freight_value")
-    return items.withColumns(
-        {
-            "price": parse_money(price),
-            "freight_value": parse_money(freight),
-            "price_issue": money_issue(price, parse_money(price)),
-            "freight_issue": range_issue(freight, parse_money(freight)),
-        }
+    # A generated column is computed once. As a plain one, the parsing would be copied to wherever
+    # the optimizer moves a filter on it.
+    names = items.columns
+    texts = ["price", "freight_value"]
+    parsed = items.select(
+        "*", F.inline(F.array(F.struct(*(parse_money(F.col(n)).alias(f"_{n}") for n in texts))))
+    )
+    issues = F.struct(
+        money_issue(F.col("price"), F.col("_price")).alias("price_issue"),
+        range_issue(F.col("freight_value"), F.col("_freight_value")).alias("freight_issue"),
+    )
+    judged = parsed.select("*", F.inline(F.array(issues)))
+    return judged.select(
+        *(F.col(f"_{name}").alias(name) if name in texts else F.col(f"`{name}`") for name in names),
+        "price_issue",
+        "freight_issue",
     )
 
 

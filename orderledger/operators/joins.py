@@ -1,12 +1,14 @@
 """Joins between orders and items.
 
-No join carries a broadcast hint: nothing bounds the size of either table, so the
-choice is left to the size checks of the optimizer and of adaptive execution.
-
-The joins that return items split every key: an item's other columns give it one of SALTS
-salts, and each order is there once for each of them. So an order that holds a third of all
-items is dealt to up to SALTS tasks at any size and setting, at the price of SALTS copies of
-the orders' columns that the join needs.
+No join carries a broadcast hint on one of the tables: nothing bounds their size, so the choice is
+left to the size checks of the optimizer and of adaptive execution.
+
+The joins that return items deal out the heavy orders, those with more than a thousandth of the
+items, and only these: the items of a heavy order go in turn to as many parts as it has thousandths,
+also where they are equal, and the order is there once for each part. So no part holds much more
+than a thousandth of the items, whatever one order has. Finding the heavy orders takes a pass over
+the items' keys (`frequent`). The turn is an item's place in its map task, which a retried task
+gives again as long as its input comes in the same order, as files do.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import INACTIVE_STATUSES
+from .frequent import copies_of_heavy_keys
 
-SALTS = 8
-SALT = "_salt"
+PART = "_part"
 
 
 def active_orders(orders: DataFrame) -> DataFrame:
@@ -31,31 +33,40 @@ def order_report_date(orders: DataFrame) -> DataFrame:
     )
 
 
-def _salted(items: DataFrame) -> DataFrame:
-    """Items with a salt that a retried task gives them again: a hash of their other columns."""
-    others = [name for name in items.columns if name != "order_id"]
-    return items.withColumn(SALT, F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
-
-
-def _for_each_salt(orders: DataFrame) -> DataFrame:
-    return orders.withColumn(SALT, F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+def _dealt(items: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the columns to join on: the key alone where no order is heavy."""
+    copies = copies_of_heavy_keys(items, "order_id")
+    if not copies:
+        return items, orders, ["order_id"]
+    # Fewer than a thousand rows, see `frequent`.
+    heavy = F.broadcast(
+        items.sparkSession.createDataFrame(sorted(copies.items()), "order_id string, _copies int")
+    )
+    turn = F.pmod(F.monotonically_increasing_id(), F.coalesce("_copies", F.lit(1))).cast("int")
+    parts = F.explode(F.expr("sequence(0, coalesce(_copies, 1) - 1)"))
+    return (
+        items.join(heavy, "order_id", "left").withColumn(PART, turn).drop("_copies"),
+        orders.join(heavy, "order_id", "left").withColumn(PART, parts).drop("_copies"),
+        ["order_id", PART],
+    )
 
 
 def _without_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
-    keys = _for_each_salt(orders.select("order_id").filter("order_id IS NOT NULL"))
-    return _salted(items).join(keys, ["order_id", SALT], "left_anti").drop(SALT)
+    keys = orders.select("order_id").filter("order_id IS NOT NULL")
+    items, keys, on = _dealt(items, keys)
+    return items.join(keys, on, "left_anti").drop(PART)
 
 
 def join_orders_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per item of a known order: ``(order_id, report_date, price)``."""
-    dated = _for_each_salt(order_report_date(orders))
-    priced = _salted(items).select("order_id", SALT, "price")
-    return dated.join(priced, ["order_id", SALT]).select("order_id", "report_date", "price")
+    priced, dated, on = _dealt(items.select("order_id", "price"), order_report_date(orders))
+    return dated.join(priced, on).select("order_id", "report_date", "price")
 
 
 def join_using(orders: DataFrame, items: DataFrame) -> DataFrame:
     """All columns of both tables, one key column."""
-    return _for_each_salt(orders).join(_salted(items), ["order_id", SALT]).drop(SALT)
+    items, orders, on = _dealt(items, orders)
+    return orders.join(items, on).drop(PART)
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ def _items_per_order(items: DataFrame) -> DataFrame:
     )
 
 
-def _per_day(orders: DataFrame, items: DataFrame) -> DataFrame:
+def per_day(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """(report_date, amount, priced, order_count), the sums that both forms are made of."""
     joined = order_report_date(orders).join(_items_per_order(items), "order_id")
     return joined.groupBy("report_date").agg(
         F.sum("amount").alias("amount"),
@@ -36,7 +37,7 @@ def _per_day(orders: DataFrame, items: DataFrame) -> DataFrame:
 def daily_revenue_report(orders: DataFrame, items: DataFrame) -> DataFrame:
     """``(report_date, daily_revenue, order_count)`` over orders of every status."""
     return (
-        _per_day(orders, items)
+        per_day(orders, items)
         .select(
             "report_date",
             F.round("amount", 2).cast("double").alias("daily_revenue"),
@@ -49,7 +50,7 @@ def daily_revenue_report(orders: DataFrame, items: DataFrame) -> DataFrame:
 def daily_revenue_view(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Revenue of active orders, with ``avg_order_value``, the mean *item price*."""
     return (
-        _per_day(active_orders(orders), items)
+        per_day(active_orders(orders), items)
         .select(
             "report_date",
             "order_count",

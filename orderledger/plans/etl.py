@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import MONEY_ISSUES, OUT_OF_RANGE
-from ..operators import cleaning, merge, quality
+from ..operators import cleaning, merge, numbering, quality
 from ..sources import csv, parquet, runs
 
 
@@ -32,12 +32,13 @@ def read_current_items(spark: SparkSession, run: Row) -> DataFrame:
 
 
 def reload_items(
-    raw_items: DataFrame, path: str, run_ts: datetime
+    raw_items: DataFrame, path: str, run_ts: datetime, after: int = 0
 ) -> tuple[dict[str, int], list[Row]]:
     """Clean the items and write them as the whole new item table.
 
     Returns the rows kept and dropped, and the range checks passed. A scan, a projection and a
-    write, without a shuffle. Everything is counted while it passes: the counts sit in the
+    write, without a shuffle; then the rows get their ids, dense and going on from the last one of
+    the load before (`after`), which is a second pass over what was written, beside `path`. Everything is counted while it passes: the counts sit in the
     stage that writes, where Spark counts every task once, however often it is retried. An
     amount beyond the curated column raises, and what is at ``path`` then is not for use. An
     empty batch gives an empty table.
@@ -54,9 +55,8 @@ def reload_items(
         ).alias("freight_value_range"),
     )
     clean = cleaning.narrow_counted_items(cleaning.drop_unusable_items(coerced))
-    curated = cleaning.surrogate_item_id(
-        cleaning.stamp_audit_columns(clean, run_ts, ("created_at",))
-    )
+    stamped = cleaning.stamp_audit_columns(clean, run_ts, ("created_at",))
+    curated = numbering.dense_ids(stamped, f"{path}_unnumbered", after)
     parquet.write_parquet(curated, path)
     found = counts.get
     checks = quality.enforce(quality.range_checks(found))
@@ -121,7 +121,8 @@ def run_etl(
     checks = quality.enforce(quality.load_checks_orders(batch))
 
     raw_items = csv.read_raw_items(spark, items_csv, multi_line)
-    counts, in_range = reload_items(raw_items, items_path, run_ts)
+    last_id = 0 if previous is None else previous.last_item_id or 0
+    counts, in_range = reload_items(raw_items, items_path, run_ts, last_id)
     items = parquet.read_parquet(spark, items_path)
     checks += in_range + quality.enforce(quality.load_checks_items(items))
 
@@ -130,7 +131,8 @@ def run_etl(
     orders = parquet.read_month_folders(spark, sorted(months.values()))
     checks += quality.enforce(quality.quality_foreign_key(items, orders))
 
-    run = runs.commit_run(spark, root, previous, run_ts, clean_path, months, items_path)
+    last_id += counts["kept"]
+    run = runs.commit_run(spark, root, previous, run_ts, clean_path, months, items_path, last_id)
     return EtlResult(
         run=run,
         order_rows=rows.get["rows"],

@@ -58,11 +58,16 @@ def read_csv(
         .schema(T.StructType(header.fields + [T.StructField(MISFIT, T.StringType())]))
         .csv(path)
     )
+    return without_misfits(raw, header.names)
+
+
+def without_misfits(raw: DataFrame, header: list[str]) -> DataFrame:
+    """The rows without MISFIT; one with more cells than the header fails the job."""
     # Only rows of another shape carry their text. The message names a cell too, since Spark
     # refuses to read that text alone.
     too_long = F.when(
         _cells(F.col(MISFIT)) > len(header),
-        F.raise_error(F.concat_ws(" ", F.lit("too many cells at"), header.names[0], MISFIT)),
+        F.raise_error(F.concat_ws(" ", F.lit("too many cells at"), header[0], MISFIT)),
     )
     return raw.filter(too_long.isNull()).drop(MISFIT)
 

@@ -142,6 +142,36 @@ SELECT CASE WHEN CAST(order_id AS BIGINT) % 13 = 0 THEN NULL ELSE order_id END A
 FROM {raw_items}
 """
 
+# Items of which a third are of one order and some more of a few others; some have no order.
+SKEWED_ITEMS = """
+SELECT CASE WHEN CAST(product_id AS BIGINT) % 3 = 0 THEN 'hot'
+    WHEN CAST(product_id AS BIGINT) % 50 < 5
+      THEN concat('warm ', CAST(CAST(order_id AS BIGINT) % 20 AS STRING))
+    WHEN CAST(product_id AS BIGINT) % 47 = 0 THEN NULL ELSE order_id END AS order_id,
+  product_id, price, freight_value
+FROM {raw_items}
+"""
+
+# Items whose product is a text with line breaks, quotes and commas.
+QUOTED_ITEMS = """
+SELECT order_id,
+  CASE CAST(product_id AS BIGINT) % 5 WHEN 0 THEN concat('two', chr(10), 'lines, ', product_id)
+    WHEN 1 THEN concat('"', product_id, '"', chr(10), chr(10), 'more "quotes" ,')
+    WHEN 2 THEN concat(product_id, ', a comma') ELSE product_id END AS product_id,
+  price, freight_value
+FROM {raw_items}
+"""
+
+# A reload in which some prices differ, some items are gone and some are there twice.
+RELOADED_ITEMS = """
+SELECT order_id, product_id,
+  CASE WHEN CAST(product_id AS BIGINT) % 31 = 5 THEN '1.25' ELSE price END AS price, freight_value
+FROM {raw_items} WHERE CAST(product_id AS BIGINT) % 37 <> 6
+UNION ALL
+SELECT order_id, product_id, price, freight_value FROM {raw_items}
+WHERE CAST(product_id AS BIGINT) % 41 = 7
+"""
+
 # A third of the rows share one order_id; some keys, customers and statuses are missing.
 FLAWED_ORDERS = """
 SELECT CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '0'
@@ -204,3 +234,15 @@ def broken_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyless_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(KEYLESS_ITEMS, raw_items=raw_items(spark, sf_dir))
+
+
+def skewed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SKEWED_ITEMS, raw_items=raw_items(spark, sf_dir))
+
+
+def quoted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(QUOTED_ITEMS, raw_items=raw_items(spark, sf_dir))
+
+
+def reloaded_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(RELOADED_ITEMS, raw_items=raw_items(spark, sf_dir))
