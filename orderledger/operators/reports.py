@@ -24,8 +24,7 @@ def _items_per_order(items: DataFrame) -> DataFrame:
     )
 
 
-def per_day(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """(report_date, amount, priced, order_count), the sums that both forms are made of."""
+def _per_day(orders: DataFrame, items: DataFrame) -> DataFrame:
     joined = order_report_date(orders).join(_items_per_order(items), "order_id")
     return joined.groupBy("report_date").agg(
         F.sum("amount").alias("amount"),
@@ -34,10 +33,15 @@ def per_day(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def daily_sums(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """(report_date, amount, priced, order_count) over the orders given: sums that add up."""
+    return _per_day(orders, items)
+
+
 def daily_revenue_report(orders: DataFrame, items: DataFrame) -> DataFrame:
     """``(report_date, daily_revenue, order_count)`` over orders of every status."""
     return (
-        per_day(orders, items)
+        _per_day(orders, items)
         .select(
             "report_date",
             F.round("amount", 2).cast("double").alias("daily_revenue"),
@@ -50,7 +54,7 @@ def daily_revenue_report(orders: DataFrame, items: DataFrame) -> DataFrame:
 def daily_revenue_view(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Revenue of active orders, with ``avg_order_value``, the mean *item price*."""
     return (
-        per_day(active_orders(orders), items)
+        _per_day(active_orders(orders), items)
         .select(
             "report_date",
             "order_count",

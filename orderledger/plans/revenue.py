@@ -21,7 +21,7 @@ ITEM_COLUMNS = ["order_id", "product_id", "price", "freight_value"]
 
 def daily_state(orders: DataFrame, items: DataFrame) -> DataFrame:
     """(report_date, amount, priced, order_count) of the active orders."""
-    return reports.per_day(joins.active_orders(orders), items)
+    return reports.daily_sums(joins.active_orders(orders), items)
 
 
 def _added_up(parts: list[DataFrame]) -> DataFrame:
