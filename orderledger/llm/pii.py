@@ -3,7 +3,9 @@
 Base kinds (email, ip, card, phone) follow fixed rules and always stay. The method adds kinds
 that no expression alone can tell from other numbers: an IBAN is confirmed by mod-97, and a
 shorter card number (by Luhn), a social security number and a national phone number only
-count with a context word near them.
+count with a context word near them. A secret is a run of letters and digits that looks drawn at
+random, by its entropy, and that a context word (`token`, `password`) or the form of a well-known
+kind of key speaks for; a shorter value counts where it is assigned to such a word.
 
 Every search is linear in the text: an email is looked for from its `@`, an address and a
 number from the first digit of a run, a phone number from its plus sign.
@@ -12,7 +14,9 @@ number from the first digit of a run, a phone number from its plus sign.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from orderledger.llm.common import text_groups
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-ADDED_KINDS = ["iban", "short_card", "ssn", "local_phone"]
+ADDED_KINDS = ["iban", "short_card", "ssn", "local_phone", "secret"]
 
 # What the base kinds look like.
 LOCAL_CHARS = frozenset(
@@ -37,6 +41,20 @@ IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])")
 
+SECRET = re.compile(r"(?<![A-Za-z0-9_+/.-])[A-Za-z0-9_+/.-]{16,512}(?![A-Za-z0-9_+/.-])")
+ASSIGNED = re.compile(
+    r"(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
+    r"([^\s\"',;]{6,512})",
+    re.IGNORECASE,
+)
+#: How well-known kinds of keys begin, and their lengths.
+KNOWN_KEY = re.compile(
+    r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsu]_[A-Za-z0-9]{36}|AIza[A-Za-z0-9_-]{35}"
+    r"|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_.-]+"
+)
+#: Bits a character below which a run does not look drawn at random.
+LEAST_ENTROPY = 2.5
+
 # Context: words that speak for a kind, and words that speak against any of them.
 FOR = {
     "email": r"mail|contact|write|reach",
@@ -47,6 +65,7 @@ FOR = {
     "short_card": r"card|visa|amex|express|credit|debit|payment",
     "ssn": r"\bssn\b|social security",
     "local_phone": r"phone|\btel\b|\bcall\b|mobile|\bcell\b|\bfax\b",
+    "secret": r"password|passwd|\bpwd\b|secret|token|api[ _-]?key|access[ _-]?key|credential|bearer",
 }
 AGAINST = r"version|release|isbn|issn|\bdoi\b|order no|invoice|section|chapter"
 CONTEXT = {kind: re.compile(words, re.IGNORECASE) for kind, words in FOR.items()}
@@ -63,7 +82,10 @@ START = {
     "short_card": 0.5,
     "ssn": 0.5,
     "local_phone": 0.4,
+    "secret": 0.5,
 }
+#: Of a secret in the form of a well-known kind of key.
+KNOWN_START = 0.9
 GAIN, LOSS, THRESHOLD = 0.3, 0.3, 0.7
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double,value:string>>"
@@ -130,10 +152,32 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def entropy(value: str) -> float:
+    """Bits a character, by the value's own characters."""
+    shares = [n / len(value) for n in Counter(value).values()]
+    return -sum(share * log2(share) for share in shares)
+
+
+def secrets(text: str) -> list[tuple[int, int]]:
+    """Runs with letters and digits that look drawn at random; equal spans once."""
+    found = {match.span() for match in SECRET.finditer(text)}
+    found |= {match.span(1) for match in ASSIGNED.finditer(text)}
+    return sorted(
+        (start, end)
+        for start, end in found
+        if any(c.isdigit() for c in text[start:end])
+        and any(c.isalpha() for c in text[start:end])
+        and entropy(text[start:end]) >= LEAST_ENTROPY
+    )
+
+
 def score(kind: str, text: str, start: int, end: int) -> float:
     near = text[max(0, start - BEFORE) : start] + " " + text[end : end + AFTER]
     moved = GAIN * bool(CONTEXT[kind].search(near)) - LOSS * bool(DOUBT.search(near))
-    return min(1.0, max(0.0, START[kind] + moved))
+    begin = START[kind]
+    if kind == "secret" and KNOWN_KEY.fullmatch(text, start, end):
+        begin = KNOWN_START
+    return min(1.0, max(0.0, begin + moved))
 
 
 def spans_of(text: str) -> list[dict]:
@@ -149,6 +193,7 @@ def spans_of(text: str) -> list[dict]:
             "short_card": cards(text, 13, 15),
             "ssn": (found.span() for found in SSN.finditer(text)),
             "local_phone": (found.span() for found in LOCAL_PHONE.finditer(text)),
+            "secret": secrets(text),
         }
     spans = []
     for kind in BASE_KINDS + ADDED_KINDS:

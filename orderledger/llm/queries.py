@@ -165,6 +165,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
         sha256(joined(base)).alias("base_sha256"),
         joined("spans").alias("spans"),
+        F.array_join(
+            F.transform("spans", lambda span: F.round(span["score"], 2).cast("string")), ","
+        ).alias("scores"),
     )
 
 
