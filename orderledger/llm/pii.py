@@ -14,8 +14,10 @@ number from the first digit of a run, a phone number from its plus sign.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -197,7 +199,14 @@ def spans_of(text: str) -> list[dict]:
         }
     spans = []
     for kind in BASE_KINDS + ADDED_KINDS:
+        if kind == "secret":
+            # A part of an address or a number is no secret beside it.
+            base = sorted((s["start"], s["end"]) for s in spans if s["kind"] in BASE_KINDS)
+            reach = list(accumulate((end for _, end in base), max))
         for start, end in proposed.get(kind, ()):
+            if kind == "secret" and (before := bisect_left(base, (end,))):
+                if reach[before - 1] > start:
+                    continue
             value = score(kind, text, start, end)
             if kind in BASE_KINDS or value >= THRESHOLD:
                 spans.append(
