@@ -9,6 +9,11 @@ important node stays below the threshold is template and goes, on each page of t
 page tells nothing: for hosts with one page, and pages without a URL, the mean importance of the
 branch on the hosts that have several decides.
 
+No number of pages switches this on or off. A branch that some pages of a host lack has to make up
+for it: what is added to its importance falls with the share of pages that have it and with their
+number. Inside articles a second sign is asked for: that nearly all articles of its kind have the
+branch, by the lower end of the confidence interval of their share.
+
 Two things no entropy can tell. What a style says about itself (`nav`, `footer`, an advert's class
 and so on) settles it for its whole branch, as menus and comments may differ on each page. And a
 page's `article` or `main`, where it holds enough of the words, is its content however many pages
@@ -26,6 +31,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
+from operator import attrgetter
 
 import pyarrow as pa
 import xxhash
@@ -34,11 +40,13 @@ from pyspark.sql import functions as F
 
 from orderledger.llm.common import text_groups, written
 
-#: Branches below this importance are template, if they are on MIN_PAGES pages of their host or on
-#: half of them and two at least.
-THRESHOLD, MIN_PAGES = 0.3, 8
-#: On so many hosts with several pages a branch must be for these to tell about other hosts.
-MIN_HOSTS = 3
+#: Branches below this importance are template.
+THRESHOLD = 0.3
+#: A branch on n of N pages has DOUBT * (1 - n / N) / sqrt(n) added to its importance.
+DOUBT = 0.75
+#: Inside an article the share of its pages that have the branch is at least this much, by the lower
+#: end of the Wilson interval of 95 %: 16 of 16 pages are enough, and 2 of 2 are not.
+ARTICLE_SHARE, Z2 = 0.8, 1.96**2
 #: Pages of a host that have the same paths are dealt to this many names.
 SALTS = 64
 #: A node of the style tree meets the pages that have it in this many tasks' keys.
@@ -88,10 +96,11 @@ ROLES = frozenset(
 )
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<tag>/?[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<tag>/?[a-zA-Z][^\s/>]*)"
     r"|<[!?/][^>]*>?",
     re.DOTALL,
 )
+ATTRIBUTES = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.DOTALL
 )
@@ -140,27 +149,28 @@ def parse(page: str) -> Node:
     """The tree of a page, as lenient as browsers in what pages commonly get wrong.
 
     An element that ends closes what is open inside; a paragraph ends where a block begins, a list
-    item where the next one does; an end tag without a start is passed over.
+    item where the next one does; an end tag without a start is passed over. From a tag whose quotes
+    do not close on, quotes mean nothing and tags end at the next `>`; where there is none, the rest
+    is text. The time is linear in the page whatever it holds.
     """
     root = node = Node("", "", "", None)
-    open_tags: dict[str, int] = {}
-    at, size = 0, len(page)
+    #: The open elements of each tag, the innermost last.
+    open_tags: dict[str, list[Node]] = {}
+    at, size, quotes = 0, len(page), True
 
     def close(until: Node) -> None:
         nonlocal node
         while node is not until:
-            open_tags[node.tag] -= 1
+            open_tags[node.tag].pop()
             node = node.parent
 
-    def closest(tags: frozenset, stops: frozenset) -> Node | None:
-        found = node
-        while found is not root:
-            if found.tag in tags:
-                return found
-            if found.tag in stops:
-                return None
-            found = found.parent
-        return None
+    def innermost(tags: frozenset) -> Node:
+        return max((open_tags[tag][-1] for tag in tags if open_tags.get(tag)), key=depth, default=root)
+
+    def close_like(tags: frozenset, stops: frozenset) -> None:
+        found = innermost(tags)
+        if found.depth > innermost(stops).depth:
+            close(found.parent)
 
     while at < size:
         token = TOKEN.search(page, at)
@@ -173,25 +183,28 @@ def parse(page: str) -> Node:
         name = token["tag"]
         if name is None:
             continue
+        told = ATTRIBUTES.match(page, at) if quotes else None
+        if told is None:
+            quotes = False
+            end = page.find(">", at)
+            if end < 0:
+                node.children.append(page[token.start() :])
+                break
+            written_attributes, at = page[at:end], end + 1
+        else:
+            written_attributes, at = told[1], told.end()
         if name[0] == "/":
             tag = name[1:].lower()
             if open_tags.get(tag):
-                found = node
-                while found.tag != tag:
-                    found = found.parent
-                close(found.parent)
+                close(open_tags[tag][-1].parent)
             continue
         tag = name.lower()
-        attributes = _attributes(token["attrs"]) if token["attrs"].strip(" /") else {}
-        if tag in CLOSES_P and open_tags.get("p"):
-            found = closest(frozenset(["p"]), frozenset(["button", "td", "th", "li"]))
-            if found is not None:
-                close(found.parent)
+        attributes = _attributes(written_attributes) if written_attributes.strip(" /") else {}
+        if tag in CLOSES_P:
+            close_like(P, HOLDS_P)
         for same, stops in LIKE.items():
             if tag in same:
-                found = closest(same, stops)
-                if found is not None:
-                    close(found.parent)
+                close_like(same, stops)
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
         child = Node(tag, names, attributes.get("role", "").lower(), node)
         node.children.append(child)
@@ -201,10 +214,13 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID:
             node = child
-            open_tags[tag] = open_tags.get(tag, 0) + 1
+            open_tags.setdefault(tag, []).append(child)
     return root
 
 
+depth = attrgetter("depth")
+#: Paragraphs, and elements whose content ends no paragraph outside of them.
+P, HOLDS_P = frozenset(["p"]), frozenset(["button", "td", "th", "li"])
 #: Elements that end where another of their kind begins, unless one of the second is between.
 LIKE = {
     frozenset(["li"]): frozenset(["ul", "ol", "menu"]),
@@ -335,16 +351,20 @@ def _path_keys(root: Node) -> set[int]:
     return {_path_key(path) for path in {node.path for node in elements(root)}}
 
 
-def node_features(page: str) -> dict[int, tuple[tuple, int, int]]:
-    """For each path of a page: its ancestors' keys, and hashes of its child styles and its texts."""
+def node_features(page: str) -> dict[int, tuple[tuple, int | None, int, int]]:
+    """For each path of a page: its ancestors' keys, that of the article that it is in or is (None
+    outside of articles), and hashes of its child styles and its texts."""
     styles: dict[int, list] = {}
     texts: dict[int, list] = {}
     above: dict[int, tuple] = {}
+    article: dict[int, int | None] = {}
     for node in elements(parse(page)):
         key = _path_key(node.path)
         if key not in above:
             parent = _path_key(node.parent.path) if node.parent else key
             above[key] = (*above[parent], parent) if parent != key else ()
+            inside = article[parent] if parent != key else None
+            article[key] = key if inside is None and node.main else inside
         styles.setdefault(key, []).extend(
             child.style for child in node.children if isinstance(child, Node)
         )
@@ -354,6 +374,7 @@ def node_features(page: str) -> dict[int, tuple[tuple, int, int]]:
     return {
         key: (
             above[key],
+            article[key],
             _path_key("\x00".join(styles[key])),
             _path_key("\x00".join(filter(None, texts[key]))) if any(texts[key]) else 0,
         )
@@ -368,8 +389,8 @@ def _page_name(page: str, paths: Iterable[int]) -> int:
 
 
 #: Kinds of feature rows. `variant` is a hash of the child styles, of the texts, the key of an
-#: ancestor, or the name of a page that has the path.
-STYLES, TEXTS, ABOVE, NAMES = range(4)
+#: ancestor, the name of a page that has the path, or the key of its article.
+STYLES, TEXTS, ABOVE, NAMES, ARTICLE = range(5)
 
 
 def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,8 +403,10 @@ def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             host = site_of(url, page)
             features = node_features(page)
             name = _page_name(page, features)
-            for key, (above, style, text) in features.items():
+            for key, (above, article, style, text) in features.items():
                 variants = [(STYLES, style), (TEXTS, text), (NAMES, name)]
+                if article is not None:
+                    variants.append((ARTICLE, article))
                 for kind, variant in variants + [(ABOVE, ancestor) for ancestor in above]:
                     row = (host, key, kind, variant)
                     counts[row] = counts.get(row, 0) + 1
@@ -438,21 +461,26 @@ def style_trees(pages: DataFrame) -> DataFrame:
 
 
 def branches(variants: DataFrame) -> DataFrame:
-    """host, path, pages and importance of every branch: that of its most important node.
+    """host, path, pages, importance and article of every branch: that of its most important node.
 
-    Each node's importance goes to its ancestors, MOST_DEPTH at most, as rows of their own.
+    Each node's importance goes to its ancestors, MOST_DEPTH at most, as rows of their own. `article`
+    is the key of the article around a branch, or that it is; NULL outside of articles.
     """
     own = importances(variants)
     above = variants.filter(F.col("kind") == ABOVE).select(
         "host", "path", F.col("variant").alias("ancestor")
     )
     below = above.join(own.select("host", "path", "importance"), ["host", "path"]).select(
-        "host", F.col("ancestor").alias("path"), F.lit(0).cast("bigint").alias("pages"), "importance"
+        "host", F.col("ancestor").alias("path"), "importance"
+    )
+    inside = variants.filter(F.col("kind") == ARTICLE).select(
+        "host", "path", F.col("variant").alias("article")
     )
     return (
-        own.unionByName(below)
+        own.unionByName(below, allowMissingColumns=True)
+        .unionByName(inside, allowMissingColumns=True)
         .groupBy("host", "path")
-        .agg(F.max("pages").alias("pages"), F.max("importance").alias("importance"))
+        .agg(*(F.max(name).alias(name) for name in ("pages", "importance", "article")))
     )
 
 
@@ -468,38 +496,48 @@ def _salt(column: str) -> Column:
 def template_paths(variants: DataFrame) -> DataFrame:
     """host and path of the branches that are template, once each.
 
-    Only branches on few pages ask for their host's number of pages, and only of small hosts.
+    The pages that could have a branch are those of its article's path, or else of the host.
     """
     found = written(branches(variants), "branches")
     real = ~F.col("host").startswith(" ")
-    low = found.filter(real & (F.col("importance") < THRESHOLD)).select("host", "path", "pages")
-    many = low.filter(F.col("pages") >= MIN_PAGES).select("host", "path")
-    small = _dealt(
-        found.filter(
-            real & (F.col("path") == _path_key("/")) & (F.col("pages") <= 2 * (MIN_PAGES - 1))
-        ).select("host", F.col("pages").alias("of"))
+    root = F.lit(_path_key("/"))
+    whole = _dealt(
+        found.filter(real & ((F.col("path") == root) | (F.col("path") == F.col("article")))).select(
+            "host", F.col("path").alias("around"), F.col("pages").alias("of")
+        )
     )
-    some = low.filter((F.col("pages") >= 2) & (F.col("pages") < MIN_PAGES))
-    few = (
-        some.select("*", _salt("path")).join(small, ["host", "salt"])
-        .filter(2 * F.col("pages") >= F.col("of"))
+    low = found.filter(real & (F.col("importance") < THRESHOLD) & (F.col("pages") >= 2))
+    low = low.withColumn("around", F.coalesce("article", root)).withColumn("salt", _salt("path"))
+    # A page may have the branch in another of its articles, so n may pass the article's pages.
+    of = F.greatest("of", "pages")
+    share = F.col("pages") / of
+    doubt = DOUBT * (1 - share) / F.sqrt("pages")
+    spread = F.sqrt(Z2 * share * (1 - share) / of + (Z2 / (2 * of)) ** 2)
+    least_share = (share + Z2 / (2 * of) - spread) / (1 + Z2 / of)
+    several = (
+        low.join(whole, ["host", "around", "salt"])
+        .filter(F.col("importance") + doubt < THRESHOLD)
+        .filter(F.col("article").isNull() | (least_share >= ARTICLE_SHARE))
         .select("host", "path")
     )
+    # One more host on which the branch is important stands for those not seen.
     pool = (
-        found.filter(real & (F.col("pages") >= 2))
+        found.filter(real & (F.col("pages") >= 2) & F.col("article").isNull())
         .groupBy("path")
-        .agg(F.count("*").alias("hosts"), F.avg("importance").alias("importance"))
-        .filter((F.col("hosts") >= MIN_HOSTS) & (F.col("importance") < THRESHOLD))
+        .agg(((F.sum("importance") + 1) / (F.count("*") + 1)).alias("importance"))
+        .filter(F.col("importance") < THRESHOLD)
     )
-    once = found.filter(real & (F.col("pages") == 1)).select("host", "path", _salt("path"))
-    single = once.join(small.filter(F.col("of") == 1), ["host", "salt"])
-    lone = single.select("host", "path").unionByName(found.filter(~real).select("host", "path"))
+    outside = found.filter(F.col("article").isNull())
+    once = outside.filter(real & (F.col("pages") == 1)).select("host", "path", _salt("path"))
+    alone = whole.filter((F.col("around") == root) & (F.col("of") == 1)).select("host", "salt")
+    single = once.join(alone, ["host", "salt"]).select("host", "path")
+    lone = single.unionByName(outside.filter(~real).select("host", "path"))
     pooled = (
         lone.select("*", _salt("host"))
         .join(_dealt(pool.select("path")), ["path", "salt"])
         .select("host", "path")
     )
-    return many.unionByName(few).unionByName(pooled)
+    return several.unionByName(pooled)
 
 
 def page_templates(pages: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import html
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderledger.llm import html_extraction as he
 from tests.llm.conftest import SF_DIR
@@ -157,6 +159,59 @@ def test_small_hosts_are_cleaned_like_large_ones(spark, pages):
     assert got == {n: f"Story {n} of it" for n in range(pages)}
 
 
+@pytest.mark.parametrize("pages", [2, 7, 8, 30])
+def test_blocks_that_articles_share_stay_whatever_their_number(spark, pages):
+    """A correction inside some of a host's articles, an author's line in those of a small host."""
+    note = "<p class=correction>The price in this story was wrong.</p>"
+    rows = [
+        (n, f"http://a.b/{n}", f"<article><h1>T{n}</h1><p>Story {n} of it</p>"
+                               f"{note if n < pages else ''}</article>")
+        for n in range(40)
+    ]
+    rows += [
+        (n, "http://c.d/", f"<article><i>By</i><p class=by>Ann Lee</p><p id=s>Story {n}</p></article>")
+        for n in (40, 41)
+    ]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in he.extract_text(df).collect()}
+    for n in range(40):
+        end = " The price in this story was wrong." if n < pages else ""
+        assert got[n] == f"T{n} Story {n} of it{end}"
+    assert got[40] == "By Ann Lee Story 40" and got[41] == "By Ann Lee Story 41"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a \"" * 250_000,
+        "<a \">\" " * 125_000 + "\"",
+        "</a \">\" " * 125_000 + "\"",
+        "<div>" * 90_000 + "<li></li>" * 60_000,
+        "<li><ul>" + "<div>" * 90_000 + "<li></li>" * 60_000,
+        "<div>" * 90_000 + "<b></i>" * 70_000,
+    ],
+)
+def test_hostile_pages_take_linear_time(page):
+    begin = time.process_time()
+    he.parse(page)
+    assert time.process_time() - begin < 5
+
+
+def test_tags_whose_quotes_do_not_close():
+    assert he.main_text(he.parse("<p title='x>a</p><p>it\"s</p>b <i")) == "a it\"s b <i"
+    assert he.main_text(he.parse("<p title='a>b'>c</p><p class=\">d</p>e")) == "c d e"
+
+
+def test_pages_without_the_article_tag(spark):
+    """The given pages with their articles renamed have the same text, by the entropies alone."""
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url", "html")
+    tags = "(?i)(</?)article"
+    renamed = pages.select("page_id", "url", F.regexp_replace("html", tags, "$1div").alias("html"))
+    want = {r.page_id: r.text for r in he.extract_text(pages).collect()}
+    got = {r.page_id: r.text for r in he.extract_text(renamed).collect()}
+    assert got == want
+
+
 def test_other_hosts_tell_about_single_pages(spark):
     def html_of(host, n):
         return f"<div class=top>{host}</div><div class=c><p>Story {n}</p></div><b class=x>{n}</b>"
