@@ -40,6 +40,8 @@ _ADDENDS = _RANDOM.integers(0, 2**32, ROWS * BANDS, dtype=np.uint32)
 _BAND_MIX = _RANDOM.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2)
 _BAND_MIX += np.uint64(1)
 
+#: A component's classes meet its first one in this many tasks' keys.
+SALTS = 16
 #: Classes that a task remembers to have met.
 SEEN = 1 << 18
 
@@ -293,10 +295,17 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     linked = classes.join(
         connected_components(confirmed).withColumnRenamed("id", "h1"), "h1"
-    ).select("h1", "h2", "component", F.struct("first_id", "first_no", "h1").alias("place"))
+    ).select(
+        "h1",
+        "h2",
+        "component",
+        F.struct("first_id", "first_no", "h1").alias("place"),
+        F.pmod(F.xxhash64("h1"), F.lit(SALTS)).cast("int").alias("salt"),
+    )
     linked = written(linked, "linked_classes")
     heads = linked.groupBy("component").agg(F.min("place").alias("head"))
-    later = linked.join(heads, "component").filter("place > head").select("h1", "h2")
+    heads = heads.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+    later = linked.join(heads, ["component", "salt"]).filter("place > head").select("h1", "h2")
     home = F.when(F.col("later").isNull(), F.col("first_id"))
     homes = classes.join(later.withColumn("later", F.lit(True)), ["h1", "h2"], "left").select(
         "h1", "h2", home.alias("home")

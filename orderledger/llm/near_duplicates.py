@@ -315,7 +315,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that are kept, with all their columns."""
+    """The rows that are kept, with all their columns.
+
+    Rows that repeat an id and text are one document, which stays or goes with all its rows.
+    """
     found = near_duplicates(df, id_col, text_col).filter("NOT kept")
     gone = found.select(F.col(id_col).alias("gone"), F.col("text_hash").alias("gone_hash"))
     same = (F.col(f"docs.`{id_col}`") == F.col("gone")) & (
