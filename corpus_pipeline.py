@@ -23,12 +23,22 @@ LEAST_SCORE = 0.65
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose language is told from their text with a score of LEAST_SCORE or more.
+
+    NULL and empty texts, and texts without a letter, have no language and go. Repeated rows and
+    rows without an id are rows like others; an empty table gives an empty one.
+    """
     found = language_id.predicted(docs, COLUMNS)
     sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return found.filter(sure).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without lines that come earlier, n_chars counted again.
+
+    Documents that lose all their words go; those that lose nothing stay as they are, also with NULL
+    or empty texts. Rows without an id keep their lines; rows that repeat id and text lose the same.
+    """
     left = line_dedup.dedup_lines(docs.select(COLUMNS))
     return left.select("row.*", "kept_text").withColumns(
         {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
@@ -36,15 +46,28 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates.
+
+    Texts without a word and rows without an id are in no group and stay; rows that repeat id and
+    text are one document.
+    """
     return near_duplicates.one_of_each(docs.select(COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, up to three times, its size its words.
+
+    A NULL source is a source like others; texts without a word have size 0 and are drawn too.
+    """
     size = F.size(words_of(F.col("text")))
     return mixing.emit(mixing.mix(docs.select(COLUMNS), size))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The number of tokens of every row, and digests of its ids and of the text they decode to.
+
+    A NULL text counts as empty; repeated rows and rows without an id are rows like others.
+    """
     return sentencepiece_codec.encoded_digests(docs, piece_model)
 
 
