@@ -179,26 +179,27 @@ class Batch:
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of the A and the B token of every pair that overlaps."""
         a, b = (
-            pd.DataFrame(
-                {"start": start, "doc": doc, name: np.arange(len(doc)), f"{name}_start": start}
-            )
+            pd.DataFrame({"start": start, "doc": doc, name: np.arange(len(doc))})
             for name, start, doc in zip("ab", self.start, self.doc)
         )
         forth = pd.merge_asof(a, b, on="start", by="doc")
-        back = pd.merge_asof(b, a, on="start", by="doc")
-        back = back[back["a_start"] < back["b_start"]]
+        # Where starts are equal the way back finds what the way forth has found.
+        other = ~self._among(self.start[1], self.start[0])
+        back = pd.merge_asof(b[other], a, on="start", by="doc")
         return tuple(
             np.concatenate([forth[x].to_numpy(), back[x].to_numpy()]).astype(np.int64) for x in "ab"
         )
 
+    def _among(self, places: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Which of some places in the bytes are among the others."""
+        there = np.zeros(max((int(end[-1]) for end in self.end if len(end)), default=0) + 1, bool)
+        there[others] = True
+        return there[places]
+
     @cached_property
     def closing(self) -> list[np.ndarray]:
         """Whether a token's end is one of the other side too, for both sides."""
-        found = []
-        for mine, other in (self.end, self.end[::-1]):
-            at = np.minimum(np.searchsorted(other, mine), max(0, len(other) - 1))
-            found.append(other[at] == mine)
-        return found
+        return [self._among(mine, other) for mine, other in (self.end, self.end[::-1])]
 
     def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens group by group, A's first: side, place on its side, whether its group ends there."""
