@@ -169,7 +169,7 @@ def parse(page: str) -> Node:
 
     def close_like(tags: frozenset, stops: frozenset) -> None:
         found = innermost(tags)
-        if found.depth > innermost(stops).depth:
+        if found is not root and found.depth > innermost(stops).depth:
             close(found.parent)
 
     while at < size:
@@ -200,7 +200,7 @@ def parse(page: str) -> Node:
             continue
         tag = name.lower()
         attributes = _attributes(written_attributes) if written_attributes.strip(" /") else {}
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_tags.get("p"):
             close_like(P, HOLDS_P)
         for same, stops in LIKE.items():
             if tag in same:
