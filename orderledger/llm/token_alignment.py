@@ -8,13 +8,11 @@ bytes of all documents of a batch, one behind the other.
    to B and from B to A. The union of both directions is all pairs of tokens that overlap, the
    links; where two starts are equal both directions find the same one.
 2. Ends that both sides have cut the tokens into groups.
-3. How many links hold a pair of ids is counted over the corpus: within a task first, then by pair.
-4. Each document's links are looked up in these counts. The TOP most frequent pairs go to every task,
+3. Each document's links are written as its distinct pairs of ids and how often it links them. How
+   many links hold a pair is counted over the corpus: within a task first, then by pair.
+4. Each document's pairs are looked up in these counts. The TOP most frequent pairs go to every task,
    and links of other pairs are joined with the rest of the counts; no such pair has more than
    1 / TOP of the links. The highest count of each id of B is a list as long as B's vocabulary.
-
-The ids of both sides are written once, packed, and aligned again for step 4: that takes less disk
-than the links, and less time than encoding again.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +34,8 @@ from orderledger.llm.sentencepiece_codec import GROUP_CHARS, MARK, text_parts
 
 #: Pairs whose counts go to every task, 17 bytes each.
 TOP = 1 << 18
-#: Tokens of one side that are aligned at once, and links that a task adds up at once.
-GROUP_TOKENS, GROUP_LINKS = 200_000, 2_000_000
+#: Tokens of one side that are grouped at once, and pairs that a task looks up or adds up at once.
+GROUP_TOKENS, GROUP_PAIRS = 200_000, 1_000_000
 #: Fixed value: how byte-level BPE cuts a text before it merges.
 CUTS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -201,21 +200,24 @@ class Batch:
         """Whether a token's end is one of the other side too, for both sides."""
         return [self._among(mine, other) for mine, other in (self.end, self.end[::-1])]
 
-    def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens group by group, A's first: side, place on its side, whether its group ends there."""
+    def codes(self, sizes: list[int]) -> np.ndarray:
+        """Tokens group by group, A's first, as numbers: id, B's behind twice A's vocabulary.
+
+        The last token of a side of a group has the size of that side's vocabulary added.
+        """
         closing = self.closing
         groups = [np.cumsum(ends) - ends for ends in closing]
         number = int(closing[0].sum())
-        sizes = [np.bincount(group, minlength=number) for group in groups]
-        before = [np.cumsum(size) - size for size in sizes]
+        counts = [np.bincount(group, minlength=number) for group in groups]
+        before = [np.cumsum(count) - count for count in counts]
         a_at = np.arange(len(groups[0])) + before[1][groups[0]]
-        b_at = np.arange(len(groups[1])) + (before[0] + sizes[0])[groups[1]]
-        side = np.empty(len(a_at) + len(b_at), np.int8)
-        place = np.empty(len(side), np.int64)
-        ends = np.empty(len(side), bool)
-        for k, (at, last) in enumerate(zip((a_at, b_at), closing)):
-            side[at], place[at], ends[at] = k, np.arange(len(at)), last
-        return side, place, ends
+        b_at = np.arange(len(groups[1])) + (before[0] + counts[0])[groups[1]]
+        codes = np.empty(len(a_at) + len(b_at), np.int64)
+        for at, ids, last, size, first in zip(
+            (a_at, b_at), self.ids, closing, sizes, (0, 2 * sizes[0])
+        ):
+            codes[at] = ids + last * size + first
+        return codes
 
     def per_doc(self, docs: np.ndarray) -> np.ndarray:
         return np.bincount(docs, minlength=self.docs).astype(np.int64)
@@ -251,48 +253,148 @@ def _encoder(a_path: Path, b_path: Path) -> Callable:
     return run
 
 
-def token_table(
-    df: DataFrame, a_path: Path, b_path: Path, id_col: str = "doc_id", text_col: str = "text"
+def _written_rows(
+    df: DataFrame, function: Callable, columns: str, purpose: str, id_col: str, text_col: str
 ) -> DataFrame:
-    """row, id, a, b: the packed ids of every row, written; `row` tells all rows apart."""
+    """What a function makes of keys and texts, written; `row` tells all rows apart."""
     key = F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"))
     docs = df.select(key.alias("key"), F.col(text_col).alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
-    found = docs.mapInArrow(
-        _encoder(a_path, b_path), f"row bigint, id {kind}, a binary, b binary"
-    )
-    return written(found, "tokens", compression="zstd")
+    made = docs.mapInArrow(function, f"row bigint, id {kind}, {columns}")
+    return written(made, purpose, compression="zstd")
 
 
-def _pair_counter(a_path: Path, b_path: Path) -> Callable:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = Sides(a_path, b_path)
-        wide, met, size = len(sides.b.bytes), [], 0
+def token_table(
+    df: DataFrame, a_path: Path, b_path: Path, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """row, id, a, b: the packed ids of every row, written."""
+    encoder = _encoder(a_path, b_path)
+    return _written_rows(df, encoder, "a binary, b binary", "tokens", id_col, text_col)
 
-        def added_up() -> pa.RecordBatch:
-            pairs, counts = np.unique(np.concatenate(met), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(pairs), pa.array(counts.astype(np.int64))], names=["pair", "n"]
-            )
 
-        for _, batch in _small_batches(batches, sides):
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+#: How pairs, and how often a document links them, are packed.
+PAIR, TIMES = np.dtype("<i8"), np.dtype("<i4")
+
+
+def _pairs_of_docs(
+    doc: np.ndarray, pairs: np.ndarray, docs: int, most: int
+) -> list[tuple[bytes, bytes]]:
+    """The distinct pairs (below `most`) of each document and how many of its links hold each."""
+    keys = np.sort(doc * most + pairs)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    at = np.flatnonzero(new)
+    times = np.diff(np.append(at, len(keys))).astype(TIMES)
+    doc, pairs = np.divmod(keys[at], most)
+    cuts = np.cumsum([0, *np.bincount(doc, minlength=docs)]).tolist()
+    pairs = pairs.astype(PAIR)
+    return [(pairs[i:j].tobytes(), times[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:])]
+
+
+def _aligner(a_path: Path, b_path: Path) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = Sides(a_path, b_path)
+        wide, sizes = len(sides.b.bytes), [len(side.bytes) for side in (sides.a, sides.b)]
+        # The text of each id inside its side of a group, and at its end.
+        texts = [f"{i}{mark}" for size, last in zip(sizes, "|;") for mark in f",{last}"
+                 for i in range(size)]
+        for keys, group in text_groups(batches, GROUP_CHARS):
+            batch = Batch(*zip(*map(sides.encode, group)), sides.lengths)
             a, b = batch.links()
-            met.append(batch.ids[0][a] * wide + batch.ids[1][b])
-            size += len(a)
-            if size >= GROUP_LINKS:
-                yield added_up()
-                met, size = [], 0
-        if met:
-            yield added_up()
+            doc = batch.doc[0][a]
+            pairs = batch.ids[0][a] * wide + batch.ids[1][b]
+            packed = _pairs_of_docs(doc, pairs, batch.docs, wide * sizes[0])
+            shown = list(map(texts.__getitem__, batch.codes(sizes).tolist()))
+            n_a, n_b = (batch.per_doc(docs) for docs in batch.doc)
+            cuts = np.cumsum([0, *(n_a + n_b)]).tolist()
+            digests = [
+                hashlib.sha256("".join(shown[i:j])[:-1].encode()).hexdigest() if j > i else ""
+                for i, j in zip(cuts[:-1], cuts[1:])
+            ]
+            groups = batch.per_doc(batch.doc[0][batch.closing[0]])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    keys.field("row"),
+                    keys.field("id"),
+                    *map(pa.array, (n_a, n_b, groups, batch.per_doc(doc))),
+                    pa.array(digests, pa.string()),
+                    *(pa.array(column, pa.binary()) for column in zip(*packed)),
+                ],
+                names=["row", "id", *NUMBERS, "groups_sha256", "pairs", "times"],
+            )
 
     return run
 
 
-def pair_counts(tokens: DataFrame, a_path: Path, b_path: Path, b_size: int) -> DataFrame:
+def aligned_table(
+    df: DataFrame, a_path: Path, b_path: Path, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """row, id, the NUMBERS, groups_sha256, and the packed pairs and times of every row, written."""
+    numbers = ", ".join(f"{name} bigint" for name in NUMBERS)
+    return _written_rows(
+        df,
+        _aligner(a_path, b_path),
+        f"{numbers}, groups_sha256 string, pairs binary, times binary",
+        "aligned",
+        id_col,
+        text_col,
+    )
+
+
+def _pair_groups(
+    batches: Iterable[pa.RecordBatch],
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, the number of pairs of each, and their pairs and times, some GROUP_PAIRS at once."""
+
+    def unpacked(rows: pa.RecordBatch) -> tuple:
+        pairs, times = (
+            np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
+            for name, kind in (("pairs", PAIR), ("times", TIMES))
+        )
+        counts = pc.binary_length(rows.column("pairs")).to_numpy() // PAIR.itemsize
+        return rows, counts, pairs, times
+
+    for rows in batches:
+        lengths = pc.binary_length(rows.column("pairs")).to_numpy() // PAIR.itemsize
+        begin, size = 0, 0
+        for at, length in enumerate(lengths.tolist()):
+            size += length
+            if size >= GROUP_PAIRS or at + 1 == rows.num_rows:
+                yield unpacked(rows.slice(begin, at + 1 - begin))
+                begin, size = at + 1, 0
+
+
+def _added_up(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(pairs)
+    pairs, counts = pairs[order], counts[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = pairs[1:] != pairs[:-1]
+    at = np.flatnonzero(new)
+    return pairs[at], np.add.reduceat(counts, at) if len(at) else counts
+
+
+def _pair_counter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs and how many links hold them; a task adds up until GROUP_PAIRS distinct ones are met."""
+
+    def batch(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
+
+    met, n = np.empty(0, np.int64), np.empty(0, np.int64)
+    for _, _, pairs, times in _pair_groups(batches):
+        met, n = _added_up(np.concatenate([met, pairs]), np.concatenate([n, times]))
+        if len(met) >= GROUP_PAIRS:
+            yield batch(met, n)
+            met, n = met[:0], n[:0]
+    if len(met):
+        yield batch(met, n)
+
+
+def pair_counts(aligned: DataFrame, b_size: int) -> DataFrame:
     """pair (id of A * b_size + id of B), n, best: links that hold it; the most for its id of B."""
     counts = written(
-        tokens.select("a", "b")
-        .mapInArrow(_pair_counter(a_path, b_path), "pair bigint, n bigint")
+        aligned.select("pairs", "times")
+        .mapInArrow(_pair_counter, "pair bigint, n bigint")
         .groupBy("pair")
         .agg(F.sum("n").alias("n")),
         "pair_counts",
@@ -303,58 +405,36 @@ def pair_counts(tokens: DataFrame, a_path: Path, b_path: Path, b_size: int) -> D
     return written(both.select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
 
 
-def _scorer(a_path: Path, b_path: Path, frequent) -> Callable:
+def _scorer(frequent) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = Sides(a_path, b_path)
-        wide, (known, counts, best) = len(sides.b.bytes), frequent.value
-        sizes = [len(side.bytes) for side in (sides.a, sides.b)]
-        # The text of each id inside its side of a group, and at its end.
-        texts = [f"{i}{mark}" for size, last in zip(sizes, "|;") for mark in f",{last}"
-                 for i in range(size)]
-        first = np.array([0, 2 * sizes[0]])
-        for rows, batch in _small_batches(batches, sides):
-            a, b = batch.links()
-            doc, pairs = batch.doc[0][a], batch.ids[0][a] * wide + batch.ids[1][b]
+        known, counts, best = frequent.value
+        for rows, sizes, pairs, times in _pair_groups(batches):
             at = np.minimum(np.searchsorted(known, pairs), max(0, len(known) - 1))
             found = known[at] == pairs if len(known) else np.zeros(len(pairs), bool)
-            count_sum = np.zeros(batch.docs, np.int64)
-            np.add.at(count_sum, doc[found], counts[at[found]])
-            n_best = batch.per_doc(doc[found][best[at[found]]])
-            order = np.argsort(doc[~found], kind="stable")
-            rest_ends = np.cumsum([0, *batch.per_doc(doc[~found])]).astype(np.int32)
-            side, place, ends = batch.pieces()
-            ids = np.where(
-                side == 0,
-                batch.ids[0][np.where(side == 0, place, 0)] if len(batch.ids[0]) else 0,
-                batch.ids[1][np.where(side == 1, place, 0)] if len(batch.ids[1]) else 0,
+            n, lead = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+            n[found] = counts[at[found]] * times[found]
+            lead[found] = best[at[found]] * times[found]
+            ends = np.cumsum(sizes)
+            sums = [np.concatenate([[0], np.cumsum(x)]) for x in (lead, n, ~found)]
+            n_best, count_sum, _ = (x[ends] - x[ends - sizes] for x in sums)
+            rest = pa.StructArray.from_arrays(
+                [pa.array(x[~found]) for x in (pairs, times)], names=["pair", "times"]
             )
-            codes = first[side] + ids + np.where(ends, np.array(sizes)[side], 0)
-            shown = list(map(texts.__getitem__, codes.tolist()))
-            n_a, n_b = (batch.per_doc(docs) for docs in batch.doc)
-            cuts = np.cumsum([0, *(n_a + n_b)]).tolist()
-            digests = [
-                hashlib.sha256("".join(shown[i:j])[:-1].encode()).hexdigest() if j > i else ""
-                for i, j in zip(cuts[:-1], cuts[1:])
-            ]
-            groups = batch.per_doc(batch.doc[0][batch.closing[0]])
-            numbers = [n_a, n_b, groups, batch.per_doc(doc), n_best, count_sum]
+            rest_ends = np.concatenate([[0], sums[2][ends]]).astype(np.int32)
+            kept = [rows.column(name) for name in ("row", "id", *NUMBERS, "groups_sha256")]
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("row"),
-                    rows.column("id"),
-                    *map(pa.array, numbers),
-                    pa.array(digests, pa.string()),
-                    pa.ListArray.from_arrays(rest_ends, pa.array(pairs[~found][order])),
+                    *kept,
+                    pa.array(n_best),
+                    pa.array(count_sum),
+                    pa.ListArray.from_arrays(rest_ends, rest),
                 ],
-                names=["row", "id", *NUMBERS, "groups_sha256", "rest"],
+                names=["row", "id", *NUMBERS, "groups_sha256", "n_best", "count_sum", "rest"],
             )
 
     return run
 
 
-NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-
-
 def alignment_scores(
     df: DataFrame,
     a_path: Path,
@@ -371,31 +451,35 @@ def alignment_scores(
     of B's ids. A path that is a function is asked for in the task.
     """
     spark = df.sparkSession
-    tokens = token_table(df, a_path, b_path, id_col, text_col)
-    pairs = pair_counts(tokens, a_path, b_path, b_size)
+    aligned = aligned_table(df, a_path, b_path, id_col, text_col)
+    pairs = pair_counts(aligned, b_size)
     top = pairs.orderBy(F.desc("n"), "pair").limit(TOP).toArrow().sort_by("pair")
     frequent = spark.sparkContext.broadcast(
         tuple(top[name].to_numpy(zero_copy_only=False) for name in ("pair", "n", "best"))
     )
-    kind = tokens.schema["id"].dataType.simpleString()
+    kind = aligned.schema["id"].dataType.simpleString()
     numbers = ", ".join(f"{name} bigint" for name in NUMBERS)
     scored = written(
-        tokens.mapInArrow(
-            _scorer(a_path, b_path, frequent),
-            f"row bigint, id {kind}, {numbers}, groups_sha256 string, rest array<bigint>",
+        aligned.mapInArrow(
+            _scorer(frequent),
+            f"row bigint, id {kind}, {numbers}, groups_sha256 string, n_best bigint, "
+            "count_sum bigint, rest array<struct<pair:bigint,times:int>>",
         ),
         "scores",
     )
     rest = (
-        scored.select("row", F.explode("rest").alias("pair"))
+        scored.select("row", F.inline("rest"))
         .join(pairs, "pair")
         .groupBy("row")
-        .agg(F.count_if("best").alias("more_best"), F.sum("n").alias("more"))
+        .agg(
+            F.sum(F.when(F.col("best"), F.col("times"))).alias("more_best"),
+            F.sum(F.col("n") * F.col("times")).alias("more"),
+        )
     )
     none = F.lit(0).cast("bigint")
     return scored.join(rest, "row", "left").select(
         F.col("id").alias(id_col),
-        *NUMBERS[:4],
+        *NUMBERS,
         (F.col("n_best") + F.coalesce("more_best", none)).alias("n_best"),
         (F.col("count_sum") + F.coalesce("more", none)).alias("count_sum"),
         "groups_sha256",
