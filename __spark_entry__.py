@@ -28,7 +28,14 @@ from orderledger.operators import (  # noqa: E402
 )
 from orderledger.plans import daily_report, etl, revenue  # noqa: E402
 from orderledger.schema import ITEM_COLUMNS  # noqa: E402
-from orderledger.sources import csv, layout, parquet, quoted_csv, runs  # noqa: E402
+from orderledger.sources import (  # noqa: E402
+    csv,
+    layout,
+    month_filters,
+    parquet,
+    quoted_csv,
+    runs,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -427,6 +434,21 @@ def upsert_action_counts(spark, sf_dir):
     return merge.upsert_action_counts(target, batch)
 
 
+@query
+def former_months(spark, sf_dir):
+    path = runs.new_path(spark, "orders")
+    parquet.write_orders_by_month(
+        cleaning.stamp_audit_columns(orders_of(spark, sf_dir), inputs.FIRST_RUN), path
+    )
+    months = {
+        month: parquet.month_folder(path, month)
+        for month in month_filters.write_filters(spark, path)
+    }
+    batch = cleaning.clean_orders(inputs.batch_orders(spark, sf_dir))
+    former = etl.former_months(spark, months, batch)
+    return former.groupBy(parquet.MONTH).agg(F.count("*").alias("order_count"))
+
+
 # Reports
 
 

@@ -405,6 +405,11 @@ _BODIES = {
     "cascade_delete_items": f"SELECT {_ITEM_MONEY} FROM clean_items WHERE order_id NOT IN "
     "(SELECT order_id FROM clean_orders WHERE order_status = 'canceled')",
     "upsert_orders": "SELECT * FROM merged",
+    "former_months": """
+      SELECT CAST(year(order_purchase_timestamp) * 100 + month(order_purchase_timestamp) AS INT)
+        AS purchase_month, COUNT(*) AS order_count
+      FROM clean_orders WHERE order_id IN (SELECT order_id FROM clean_batch) GROUP BY 1
+    """,
     "upsert_action_counts": """
       SELECT CASE WHEN updated_at < TIMESTAMP '2025-01-01 00:00:00' THEN 'kept'
         WHEN created_at = updated_at THEN 'inserted' ELSE 'updated' END AS action,

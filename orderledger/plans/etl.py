@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import MONEY_ISSUES, OUT_OF_RANGE
 from ..operators import cleaning, merge, numbering, quality
-from ..sources import csv, parquet, runs
+from ..sources import csv, month_filters, parquet, runs
 
 
 @dataclass(frozen=True)
@@ -63,20 +63,30 @@ def reload_items(
     return {name: found[name] for name in ["kept", *MONEY_ISSUES] if name != OUT_OF_RANGE}, checks
 
 
+def former_months(spark: SparkSession, months: dict[int, str], batch: DataFrame) -> DataFrame:
+    """The batch's orders that are known so far, and the month where each lies.
+
+    Ids are read in the months whose filter has one of the batch's, and in no others.
+    """
+    open_months = month_filters.months_to_read(spark, months, batch)
+    target = parquet.read_month_folders(spark, [months[month] for month in sorted(open_months)])
+    return target.select("order_id", parquet.month_of_purchase()).join(
+        batch.select("order_id"), "order_id", "left_semi"
+    )
+
+
 def merge_by_month(
     spark: SparkSession, months: dict[int, str], batch: DataFrame, path: str, run_ts: datetime
 ) -> dict[int, str]:
     """Merge a batch into orders that lie in month folders; returns the folder of each month.
 
-    Rewritten are the months of the batch and those where its orders were so far, found by a
-    scan of the target's keys and purchase times. The other months' files stay as they are. An
-    order that moves to another month leaves its old one, since both are rewritten; a month that
-    is left empty has no folder any more.
+    Rewritten are the months of the batch and those where its orders were so far, found by the
+    months' filters and a scan of ids where these say so. The other months' files stay as they are.
+    An order that moves to another month leaves its old one, since both are rewritten; a month that
+    is left empty has no folder any more. The rewritten months get new filters, from the ids as
+    written.
     """
-    target = parquet.read_month_folders(spark, sorted(months.values()))
-    former = target.select("order_id", parquet.month_of_purchase()).join(
-        batch.select("order_id"), "order_id", "left_semi"
-    )
+    former = former_months(spark, months, batch)
     now = batch.select("order_id", parquet.month_of_purchase())
     touched = former.unionByName(now).select(parquet.MONTH).distinct().collect()
     rewritten = {row[parquet.MONTH] for row in touched}  # a number for each month at most
@@ -86,9 +96,8 @@ def merge_by_month(
     parquet.write_orders_by_month(merge.upsert_orders(old, batch, run_ts), path)
     left = {month: folder for month, folder in months.items() if month not in rewritten}
     if rewritten:
-        written = spark.read.parquet(path).select(parquet.MONTH).distinct().collect()
-        for row in written:
-            left[row[parquet.MONTH]] = parquet.month_folder(path, row[parquet.MONTH])
+        for month in month_filters.write_filters(spark, path):
+            left[month] = parquet.month_folder(path, month)
     return dict(sorted(left.items()))
 
 

@@ -66,6 +66,14 @@ def _files(spark: SparkSession, path: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def subfolders(spark: SparkSession, path: str) -> set[str]:
+    """The names of what lies in a folder; none if it is not there."""
+    path, files = _files(spark, path)
+    if not files.exists(path):
+        return set()
+    return {status.getPath().getName() for status in files.listStatus(path)}
+
+
 def _age(files, path) -> float:
     return time.time() - files.getFileStatus(path).getModificationTime() / 1000
 
