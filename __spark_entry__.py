@@ -562,8 +562,8 @@ def daily_report_job(spark, sf_dir):
     orders = parquet.read_parquet(spark, run.orders_clean_path)
     items = parquet.read_parquet(spark, run.items_path)
     path = runs.new_path(spark, "report")
-    days = daily_report.write_daily_report(orders, items, path)
-    daily_report.verify_daily_report(spark, path, days, orders, items)
+    written = daily_report.write_checked_daily_report(orders, items, path)
+    daily_report.verify_written_report(spark, path, written)
     return csv.read_report(spark, path)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import snapshots
 from ..schema import ITEM_COLUMNS, ORDER_COLUMNS
 
 MISFIT = "_row_of_another_shape"
@@ -92,23 +93,28 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_report(report: DataFrame, path: str) -> int:
-    """The report as one CSV file in date order; returns its number of days.
+def write_checked_report(report: DataFrame, path: str) -> dict:
+    """The report as one CSV file in date order; returns the digest of the rows that went by.
 
     The report has one row per day, so one task can write it. ``repartition`` rather
     than ``coalesce``: the latter would pull the final aggregation into that task too.
-    Days are counted in the writing stage, where a retried task counts once.
+    The digest is taken in the writing stage, where a retried task counts once.
     """
     written = Observation()
     (
         report.repartition(1)
         .sortWithinPartitions(F.asc_nulls_first("report_date"))
-        .observe(written, F.count("*").alias("days"))
+        .observe(written, *snapshots.digest(sorted(report.columns)))
         .write.mode("overwrite")
         .option("header", True)
         .csv(path)
     )
-    return written.get["days"]
+    return written.get
+
+
+def write_report(report: DataFrame, path: str) -> int:
+    """The report as one CSV file in date order; returns its number of days."""
+    return write_checked_report(report, path)["digest_rows"]
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -165,3 +165,28 @@ def test_verify_refuses_a_wrong_or_empty_report(spark):
     assert daily_report.write_daily_report(o, i.limit(0), empty) == 0
     with pytest.raises(daily_report.ReportMismatch, match="report_days"):
         daily_report.verify_daily_report(spark, empty, 0, o, i.limit(0))
+
+
+def test_the_file_is_compared_row_for_row_with_what_was_written(spark):
+    days = [("a", "created", 1), ("b", "created", 2), ("c", "created", 2)]
+    o = orders(spark, days)
+    i = items(spark, [("a", Decimal("1.10")), ("b", Decimal("2.30")), ("c", Decimal("0.07"))])
+    path = runs.new_path(spark, "report")
+    written = daily_report.write_checked_daily_report(o, i, path)
+    assert written["digest_rows"] == 2
+    daily_report.verify_written_report(spark, path, written)
+    report = csv.read_report(spark, path)
+    # The totals of these files are right; a day's value, a date or a repeated day is not.
+    swapped = report.withColumn(
+        "daily_revenue", F.round(3.47 - F.col("daily_revenue"), 2)
+    )
+    moved = report.withColumn("report_date", F.date_add("report_date", 1))
+    for wrong in (swapped, moved, report.unionAll(report), report.limit(1)):
+        other = runs.new_path(spark, "report")
+        csv.write_report(wrong, other)
+        with pytest.raises(daily_report.ReportMismatch):
+            daily_report.verify_written_report(spark, other, written)
+    empty = runs.new_path(spark, "report")
+    with pytest.raises(daily_report.ReportMismatch):
+        nothing = daily_report.write_checked_daily_report(o, i.limit(0), empty)
+        daily_report.verify_written_report(spark, empty, nothing)
