@@ -18,7 +18,6 @@ BOOLEAN = r"(?i)\A(true|false)\z"
 INTEGER = r"\A\s*[+-]?[0-9]+\s*\z"
 DECIMAL = r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*\z"
 DOUBLE = r"(?i)\A\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?)\s*\z"
-DIGITS_BEFORE, DIGITS_AFTER = r"\A\s*[+-]?0*([0-9]*)", r"\.([0-9]*)\s*\z"
 #: The precision of the widest decimal, and of a number that always fits BIGINT.
 WIDEST, LONG = 38, 18
 
@@ -43,30 +42,102 @@ def timestamp_by(pattern: str, text: Column) -> Column:
     return F.when(text.rlike(form), made)
 
 
-def _votes(text: Column) -> Column:
-    """What the cells of a column fit, as one struct of sums and maxima."""
-    cell = missing_if_token(text)
-    number = cell.rlike(DECIMAL)
+#: What a cell is taken for: one of these, or of these and the timestamps' patterns.
+MISSING, BOOLEANS, INTEGERS, DECIMALS, DOUBLES, TEXT, EITHER_SLASHED, TIMESTAMPS = range(8)
+SPACES = " \t\n\x0b\f\r"
 
-    def digits(expression: str) -> Column:
-        found = F.length(F.regexp_extract(cell, expression, 1))
-        return F.coalesce(F.max(F.when(number, found)), F.lit(0))
 
+def _timestamp_kind(cell: Column) -> list[tuple[Column, Column]]:
+    """Conditions on a cell that has a timestamp's form, and its kind then.
+
+    The cell's bytes and a separator leave one expression to try at most, and none for most cells.
+    """
+    place = {name: TIMESTAMPS + k for k, name in enumerate(PATTERNS)}
+    month_first, day_first = "MM/dd/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss"
+
+    def has(name: str, size: int, at: int, separator: str) -> Column:
+        there = (F.octet_length(cell) == size) & (F.substring(cell, at, 1) == separator)
+        return there & cell.rlike(PATTERNS[name][0])
+
+    def slashed(month: int, day: int) -> Column:
+        parts = [(7, 4), (month, 2), (day, 2)]
+        date = F.concat_ws("-", *(F.substring(cell, *part) for part in parts))
+        return F.concat(date, F.substring(cell, 11, 9)).try_cast("timestamp_ntz").isNotNull()
+
+    kinds = [
+        (
+            has(name, *form),
+            F.when(cell.try_cast("timestamp_ntz").isNotNull(), place[name]).otherwise(TEXT),
+        )
+        for name, form in {
+            "yyyy-MM-dd HH:mm:ss": (19, 11, " "),
+            "yyyy-MM-dd": (10, 5, "-"),
+            "yyyy-MM-dd'T'HH:mm:ss": (19, 11, "T"),
+        }.items()
+    ]
+    either = (
+        F.when(slashed(1, 4), F.when(slashed(4, 1), EITHER_SLASHED).otherwise(place[month_first]))
+        .when(slashed(4, 1), place[day_first])
+        .otherwise(TEXT)
+    )
+    return [*kinds, (has(month_first, 19, 3, "/"), either)]
+
+
+def _kind(cell: Column) -> Column:
+    """The one kind of a cell: the lowest of the lattice, or a timestamp's pattern."""
+    whole = F.when(F.instr(cell, ".") == 0, INTEGERS).otherwise(DECIMALS)
+    kind = F.when(cell.isNull(), MISSING)
+    for condition, found in _timestamp_kind(cell):
+        kind = kind.when(condition, found)
+    return (
+        kind.when(cell.rlike(DECIMAL), whole)
+        .when(F.octet_length(cell).between(4, 5) & cell.rlike(BOOLEAN), BOOLEANS)
+        .when(cell.rlike(DOUBLE), DOUBLES)
+        .otherwise(TEXT)
+    )
+
+
+def _votes(cell: Column) -> Column:
+    """What the cells of a column fit, as one struct of sums and maxima.
+
+    Each cell is given its kind once, by one or two expressions, and the kinds are counted. Spark
+    makes the kind, which the aggregates share, a function of its own for each column.
+    """
+    kind = _kind(cell)
+    number = kind.isin(INTEGERS, DECIMALS)
+    digits = F.btrim(cell, F.lit(f"{SPACES}+-"))
+    whole = F.substring_index(digits, ".", 1)
+    before = F.length(F.ltrim(whole, F.lit("0")))
+    after = F.greatest(F.length(digits) - F.length(whole) - 1, F.lit(0))
+
+    def count(*kinds: int) -> Column:
+        return F.count_if(kind.isin(*kinds) if len(kinds) > 1 else kind == kinds[0])
+
+    slashed = [k for k, name in enumerate(PATTERNS) if "/" in name]
     return F.struct(
         F.count("*").alias("rows"),
-        F.count_if(cell.isNull()).alias("missing"),
-        F.count_if(cell.rlike(BOOLEAN)).alias("booleans"),
-        F.count_if(cell.rlike(INTEGER)).alias("integers"),
-        F.count_if(number).alias("decimals"),
-        F.count_if(cell.rlike(DOUBLE)).alias("doubles"),
-        digits(DIGITS_BEFORE).alias("before"),
-        digits(DIGITS_AFTER).alias("after"),
+        count(MISSING).alias("missing"),
+        count(BOOLEANS).alias("booleans"),
+        count(INTEGERS).alias("integers"),
+        count(INTEGERS, DECIMALS).alias("decimals"),
+        count(INTEGERS, DECIMALS, DOUBLES).alias("doubles"),
+        F.coalesce(F.max(F.when(number, before)), F.lit(0)).alias("before"),
+        F.coalesce(F.max(F.when(number, after)), F.lit(0)).alias("after"),
         F.array(
-            *(F.count_if(timestamp_by(pattern, cell).isNotNull()) for pattern in PATTERNS)
+            *(
+                count(TIMESTAMPS + k, EITHER_SLASHED) if k in slashed else count(TIMESTAMPS + k)
+                for k in range(len(PATTERNS))
+            )
         ).alias("patterns"),
     )
 
 
+def _counted(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with the votes on each column, `_0` on the first."""
+    cells = df.select(*(missing_if_token(F.col(f"`{n}`")).alias(f"_{k}") for k, n in enumerate(columns)))
+    return cells.agg(*(_votes(F.col(f"_{k}")).alias(f"_{k}") for k in range(len(columns))))
+
+
 def infer_column_types(df: DataFrame, least_percent: int = 100) -> DataFrame:
     """One row per text column: what it holds, and the lowest type that enough of its cells fit.
 
@@ -76,7 +147,7 @@ def infer_column_types(df: DataFrame, least_percent: int = 100) -> DataFrame:
     decimal make a double.
     """
     columns = [name for name, kind in df.dtypes if kind == "string"]
-    counted = df.agg(*(_votes(F.col(f"`{name}`")).alias(f"_{k}") for k, name in enumerate(columns)))
+    counted = _counted(df, columns)
     rows = F.array(
         *(
             F.struct(F.lit(name).alias("column_name"), F.col(f"_{k}").alias("votes"))

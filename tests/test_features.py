@@ -66,6 +66,33 @@ def test_inference_is_one_pass(spark):
     assert plan.count("Exchange") == 1 and "SinglePartition" in plan
 
 
+def test_a_cell_is_tried_by_few_expressions(spark):
+    df = spark.createDataFrame([("1",) * 5], "a string, b string, c string, d string, e string")
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        found = inference.infer_column_types(df)._jdf.queryExecution()
+        plan, physical = found.optimizedPlan().toString(), found.executedPlan()
+    assert "regexp_replace" not in plan and "regexp_extract" not in plan
+    stats = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$")
+    stages = getattr(stats, "MODULE$").codegenStringSeq(physical)
+    sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
+    assert sizes and max(sizes) < 8000  # larger methods stay interpreted
+
+
+@pytest.mark.parametrize(
+    "cells, kind, fitting",
+    [
+        (["    -1e-55", "    -1"], "double", 2),
+        (["+000123.450", "\t.5 "], "decimal(6,3)", 2),
+        (["2020-01-02 03:04:5 "], "string", 1),
+        (["2020-01-02\n"], "string", 1),
+        (["truſe"], "string", 1),
+        (["02/03/2020 00:00:00", "12/12/2021 10:00:00"], "timestamp_ntz", 2),
+    ],
+)
+def test_kinds_of_odd_cells(spark, cells, kind, fitting):
+    assert types_of(spark, cells)[::2] == (kind, fitting)
+
+
 # Quoted line breaks
 
 
