@@ -55,6 +55,14 @@ def test_empty_batch_and_empty_target(spark):
     assert rows_of(first) == rows_of(target)
 
 
+def test_a_checked_batch_is_merged_the_same_without_grouping(spark):
+    target = target_of(spark, [order("kept"), order("hit")])
+    batch = batch_of(spark, [order("hit", "delivered", 2), order("new")])
+    merged = merge.upsert_orders(target, batch, SECOND, checked=True)
+    assert rows_of(merged) == rows_of(merge.upsert_orders(target, batch, SECOND))
+    assert "Aggregate" not in merged._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("rows", [[order("a"), order("a")], [order(None)]])
 def test_unusable_keys_are_refused(spark, rows):
     batch = batch_of(spark, rows)

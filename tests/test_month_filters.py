@@ -53,6 +53,14 @@ def test_former_months_opens_only_those(spark, months):
     assert {"202003", "202111"} <= opened and len(opened) <= 3
 
 
+def test_a_large_batch_reads_all_ids_and_asks_no_filter(spark, months, monkeypatch):
+    keys = [f"{year}-{month}-{n}" for year, month in MONTHS[:20] for n in range(0, 200, 2)]
+    batch = ids(spark, [*keys, "new", None])
+    monkeypatch.setattr(month_filters, "months_of", None)
+    former = etl.former_months(spark, months, batch)
+    assert sorted(r.order_id for r in former.collect()) == sorted(keys)
+
+
 def test_a_month_without_a_filter_is_read(spark, months, tmp_path):
     path = str(tmp_path / "orders")
     row = ("old", "c", "created", datetime(2019, 5, 1), None, NOW, NOW)
