@@ -20,8 +20,8 @@ ITEM_COLUMNS = ["order_id", "product_id", "price", "freight_value"]
 
 
 def daily_state(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """(report_date, amount, priced, order_count) of the active orders."""
-    return reports.daily_sums(joins.active_orders(orders), items)
+    """(report_date, amount, priced, order_count) of the active orders, which are those of a load."""
+    return reports.daily_sums(joins.active_orders(orders), items, unique=True)
 
 
 def _added_up(parts: list[DataFrame]) -> DataFrame:
@@ -67,9 +67,10 @@ def refreshed_state(spark: SparkSession, state: DataFrame, before: Row, after: R
     old_folders, new_folders = touched_months(before, after)
     old_orders = parquet.read_month_folders(spark, old_folders)
     new_orders = parquet.read_month_folders(spark, new_folders)
-    if snapshots.checksum(old_items) != snapshots.checksum(new_items):
+    kept = sorted(set(before.order_months.values()) & set(after.order_months.values()))
+    # Without a month that stayed there is no order elsewhere.
+    if kept and snapshots.checksum(old_items) != snapshots.checksum(new_items):
         changed = snapshots.changed_rows(old_items, new_items).select("order_id").distinct()
-        kept = sorted(set(before.order_months.values()) & set(after.order_months.values()))
         others = parquet.read_month_folders(spark, kept).join(changed, "order_id", "left_semi")
         old_orders, new_orders = old_orders.unionByName(others), new_orders.unionByName(others)
     change = changed_days(old_orders, old_items, new_orders, new_items)

@@ -304,6 +304,20 @@ def by_day(df):
     return {r.report_date: (r.order_count, r.daily_revenue, r.avg_order_value) for r in df.collect()}
 
 
+def test_state_of_a_load_that_touches_every_month_needs_no_digests(spark, load, monkeypatch):
+    first = load(FIRST, ITEM_ROWS, DAY)
+    orders, items = etl.read_current_orders(spark, first), etl.read_current_items(spark, first)
+    state = revenue.daily_state(orders, items)
+    assert "distinct" not in state._jdf.queryExecution().logical().toString()
+    second = load([row.replace("canceled", "shipped") for row in FIRST],
+                  [*ITEM_ROWS[:-1], "e,q,8,0"], datetime(2024, 2, 1))
+    monkeypatch.setattr(snapshots, "checksum", None)
+    found = by_day(revenue.view_of(revenue.refreshed_state(spark, state, first, second)))
+    assert {str(day): values for day, values in found.items()} == {
+        "2020-01-01": (1, 1.5, 1.5), "2020-02-01": (1, 4.0, 2.0), "2020-03-01": (2, 13.0, 6.5)
+    }
+
+
 def test_state_follows_loads_and_reads_touched_months(spark, load):
     first = load(FIRST, ITEM_ROWS, DAY)
     state = spark.createDataFrame(
