@@ -190,3 +190,15 @@ def test_the_file_is_compared_row_for_row_with_what_was_written(spark):
     with pytest.raises(daily_report.ReportMismatch):
         nothing = daily_report.write_checked_daily_report(o, i.limit(0), empty)
         daily_report.verify_written_report(spark, empty, nothing)
+
+
+def test_the_view_by_name_counts_unique_orders_plainly(spark):
+    orders = spark.createDataFrame(
+        [(k, "c", "created", datetime(2020, 1, 1), None) for k in "abc"], CLEAN_ORDERS
+    )
+    items = spark.createDataFrame(
+        [(k, "p", Decimal("2.00"), None) for k in "aabx"], CLEAN_ITEMS
+    )
+    plain = reports.daily_revenue_view(orders, items, unique=True)
+    assert plain.collect() == reports.daily_revenue_view(orders, items).collect()
+    assert "distinct" not in plain._jdf.queryExecution().logical().toString()
