@@ -6,9 +6,11 @@ signatures share a band are candidates; those with a Jaccard similarity of 0.8 o
 full shingle sets are linked, and of all classes that links connect, only the one that comes
 first stays. "First" goes by document id, then by place in the document.
 
-Candidates are linked to the smallest class of their bucket, and the components of these links
-are groups outside of which no class has a candidate. The lines of a group meet, in chunks where
-there are many (see `near_duplicates.in_chunks`), and all pairs that meet are compared.
+Lines of little in common share a band now and then: the more lines, the more of them each meets,
+until chance alone connects most of a corpus. So a bucket's classes are linked where their sketches
+agree as those of similar lines do, and the components of these links are groups. The lines of a
+group meet, in chunks where there are many (see `near_duplicates.in_chunks`), and all pairs that
+meet are compared.
 """
 
 from __future__ import annotations
@@ -23,7 +25,12 @@ from pyspark.sql import functions as F
 
 from orderledger.llm.common import text_groups, written
 from orderledger.llm.components import connected_components
-from orderledger.llm.near_duplicates import in_chunks, spanning_edges, whole_tasks
+from orderledger.llm.near_duplicates import (
+    in_chunks,
+    pairs_in_tasks,
+    spanning_edges,
+    whole_tasks,
+)
 
 #: Characters of a shingle; a shorter line counts as filled up with spaces.
 SHINGLE = 9
@@ -40,12 +47,27 @@ _ADDENDS = _RANDOM.integers(0, 2**32, ROWS * BANDS, dtype=np.uint32)
 _BAND_MIX = _RANDOM.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2)
 _BAND_MIX += np.uint64(1)
 
+#: A sketch: three bits of each minimum, half of the minima in each of two numbers.
+SKETCH_BITS, HALF = 3, ROWS * BANDS // 2
+_LOWEST_BITS = sum(1 << SKETCH_BITS * i for i in range(HALF))
+_SKETCH_MIX = np.uint32(0x9E3779B1)
+#: Minima that agree, at the least, of a candidate's 40. Those of the shared band do; of the 36
+#: others 17 do but for a probability of 3e-7 at a similarity of 0.8. Of classes that share a band,
+#: 0.05 % pass at a similarity of 0.1, 2 % at 0.2, 19 % at 0.3 and 90 % at 0.5.
+AGREE = ROWS + 17
+#: Characters that are hashed at a time: what is made of them stays in the processor's cache.
+BLOCK = 1 << 14
+#: Classes of a bucket whose pairs are written out; those of a larger one are searched.
+FEW = 64
+
 #: A component's classes meet its first one in this many tasks' keys.
 SALTS = 16
 #: Classes that a task remembers to have met.
 SEEN = 1 << 18
 
-LINES = "array<struct<no:int,h1:bigint,h2:bigint,bands:array<bigint>>>"
+LINES = (
+    "array<struct<no:int,h1:bigint,h2:bigint,bands:array<bigint>,sketch_a:bigint,sketch_b:bigint>>"
+)
 
 
 def normal(line: str) -> str:
@@ -58,35 +80,64 @@ def shingle_set(line: str) -> set[str]:
     return {line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)}
 
 
+def _nine_hashes(chars: np.ndarray) -> np.ndarray:
+    """64-bit names of all runs of nine characters."""
+    two = chars[:-1] * _MIX[0]
+    two += chars[1:]
+    four = two[:-2] * _MIX[1]
+    four += two[2:]
+    eight = four[:-4] * _MIX[2]
+    eight += four[4:]
+    nine = eight[:-1]
+    nine *= _MIX[3]
+    nine += chars[SHINGLE - 1 :]
+    nine ^= nine >> np.uint64(32)
+    nine *= _MIX[4]
+    return nine
+
+
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit names of all shingles of normal lines, and where each line's begin."""
     lines = [line.ljust(SHINGLE) for line in lines]
     sizes = np.array([len(line) for line in lines], np.int64)
-    chars = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    two = chars[:-1] * _MIX[0] + chars[1:]
-    four = two[:-2] * _MIX[1] + two[2:]
-    eight = four[:-4] * _MIX[2] + four[4:]
-    nine = eight[:-1] * _MIX[3] + chars[SHINGLE - 1 :]
-    nine ^= nine >> np.uint64(32)
-    nine *= _MIX[4]
+    chars = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+    nine = np.empty(len(chars) - SHINGLE + 1, np.uint64)
+    for begin in range(0, len(nine), BLOCK):
+        end = min(begin + BLOCK, len(nine))
+        nine[begin:end] = _nine_hashes(chars[begin : end + SHINGLE - 1].astype(np.uint64))
     inside = np.ones(len(chars), bool)
     inside[(np.cumsum(sizes)[:, None] - np.arange(1, SHINGLE)).ravel()] = False
     counts = sizes - (SHINGLE - 1)
     return nine[inside[: len(nine)]], np.cumsum(counts) - counts
 
 
-def signature_bands(lines: list[str]) -> np.ndarray:
-    """Each normal line's band hashes, a row each: minima of its shingles, four to a band."""
+def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each normal line's band hashes and its sketch, a row each, from minima of its shingles."""
     names, starts = shingle_hashes(lines)
     hashes = (names >> np.uint64(32)).astype(np.uint32)
+    mixed = np.empty_like(hashes)
     bands = np.zeros((len(lines), BANDS), np.uint64)
+    sketches = np.zeros((len(lines), 2), np.uint64)
     for i in range(ROWS * BANDS):
-        least = np.minimum.reduceat(hashes * _MULTIPLIERS[i] + _ADDENDS[i], starts)
+        np.multiply(hashes, _MULTIPLIERS[i], out=mixed)
+        mixed += _ADDENDS[i]
+        least = np.minimum.reduceat(mixed, starts)
         band, row = divmod(i, ROWS)
         bands[:, band] += (least.astype(np.uint64) + np.uint64(1)) * _BAND_MIX[band, row]
+        half, place = divmod(i, HALF)
+        bits = (least * _SKETCH_MIX >> np.uint32(32 - SKETCH_BITS)).astype(np.uint64)
+        sketches[:, half] |= bits << np.uint64(SKETCH_BITS * place)
     bands ^= bands >> np.uint64(32)
     bands *= _MIX[5]
-    return bands.view(np.int64)
+    return bands.view(np.int64), sketches.view(np.int64)
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sketches (in the last axis) agree as those of candidates do."""
+    other = np.bitwise_xor(a, b).view(np.uint64)
+    other |= (other >> np.uint64(1)) | (other >> np.uint64(2))
+    other &= np.uint64(_LOWEST_BITS)
+    return np.bitwise_count(other).sum(-1) <= ROWS * BANDS - AGREE
 
 
 def _signed(value: int) -> int:
@@ -96,7 +147,7 @@ def _signed(value: int) -> int:
 def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's number of lines, its distinct lines that are not blank, and repeats.
 
-    `bands` comes with the first line of a class that a task meets only, which takes most
+    Bands and sketch come with the first line of a class that a task meets only, which takes most
     copies of frequent lines out of the exchange of buckets. A document without an id lists no
     lines, so it takes no line's bands from others.
     """
@@ -121,11 +172,14 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places.extend(own.values())
             digests.extend(own)
             ends.append(len(places))
-        made = signature_bands(list(fresh.values())) if fresh else np.empty((0, BANDS), np.int64)
+        none = np.empty((0, BANDS), np.int64), np.empty((0, 2), np.int64)
+        bands, sketches = signatures(list(fresh.values())) if fresh else none
         rows = {digest: row for row, digest in enumerate(fresh)}
-        first = [rows.pop(digest, -1) for digest in digests]
-        band_ends = np.cumsum([0, *(BANDS * (row >= 0) for row in first)]).astype(np.int32)
-        picked = made[[row for row in first if row >= 0]].ravel()
+        first = np.array([rows.pop(digest, -1) for digest in digests], np.int64)
+        band_ends = np.cumsum(np.append(0, BANDS * (first >= 0))).astype(np.int32)
+        picked = bands[first[first >= 0]].ravel()
+        sketched = np.zeros((len(first), 2), np.int64)
+        sketched[first >= 0] = sketches[first[first >= 0]]
         if len(seen) + len(fresh) > SEEN:
             seen.clear()
         seen.update(fresh)
@@ -135,8 +189,10 @@ def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_signed(d >> 64) for d in digests], pa.int64()),
                 pa.array([_signed(d & (1 << 64) - 1) for d in digests], pa.int64()),
                 pa.ListArray.from_arrays(band_ends, pa.array(picked, pa.int64())),
+                pa.array(sketched[:, 0], mask=first < 0),
+                pa.array(sketched[:, 1], mask=first < 0),
             ],
-            names=["no", "h1", "h2", "bands"],
+            names=["no", "h1", "h2", "bands", "sketch_a", "sketch_b"],
         )
         yield pa.RecordBatch.from_arrays(
             [
@@ -167,45 +223,56 @@ def _picked_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def similar_pairs(lines: list[str], columns: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+def similar_pairs(
+    lines: list[str], columns: int = 8192, left: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of the lines whose shingle sets are similar enough, by exact counts.
 
-    Intersections of all pairs at once are a matrix product of the lines' shingles, of which
-    those of one line only cannot count.
+    With `left`, only pairs of a line on the left with one that is not. Intersections of all pairs
+    at once are a matrix product of the lines' shingles, of which those that no pair shares cannot
+    count.
     """
     hashes, starts = shingle_hashes(lines)
     owner = np.repeat(np.arange(len(lines)), np.diff(np.append(starts, len(hashes))))
-    order = np.lexsort((owner, hashes))
+    order = np.argsort(hashes)
     hashes, owner = hashes[order], owner[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    hashes, owner = hashes[first], owner[first]
+    # Each shingle's number and line in one number, of which a line's repeats go.
+    keys = np.cumsum(np.append(False, hashes[1:] != hashes[:-1])) * len(lines) + owner
+    keys.sort()
+    names, owner = np.divmod(keys[np.append(True, keys[1:] != keys[:-1])], len(lines))
     sizes = np.bincount(owner, minlength=len(lines))
-    new = np.ones(len(hashes), bool)
-    new[1:] = hashes[1:] != hashes[:-1]
-    names = np.cumsum(new) - 1
-    common = np.bincount(names)[names] > 1
-    names, owner = np.unique(names[common], return_inverse=True)[1], owner[common]
-    both = np.zeros((len(lines), len(lines)), np.float32)
-    for begin in range(0, int(names.max(initial=-1)) + 1, columns):
+    if left is None:
+        common = np.bincount(names) > 1
+    else:
+        common = np.bincount(names, left[owner]) * np.bincount(names, ~left[owner]) > 0
+    owner, names = owner[common[names]], (np.cumsum(common) - 1)[names[common[names]]]
+    at_left = np.arange(len(lines)) if left is None else np.flatnonzero(left)
+    at_right = at_left if left is None else np.flatnonzero(~left)
+    both = np.zeros((len(at_left), len(at_right)), np.float32)
+    for begin in range(0, int(common.sum()), columns):
         part = (names >= begin) & (names < begin + columns)
-        rows = np.zeros((len(lines), columns), np.float32)
+        rows = np.zeros((len(lines), min(columns, int(common.sum()) - begin)), np.float32)
         rows[owner[part], names[part] - begin] = 1
-        both += rows @ rows.T
-    union = sizes[:, None] + sizes[None, :] - both
+        both += rows @ rows.T if left is None else rows[at_left] @ rows[at_right].T
+    union = sizes[at_left][:, None] + sizes[at_right][None, :] - both
     a, b = np.nonzero(100 * both.astype(np.float64) >= PERCENT * union)
-    return a[a < b], b[a < b]
+    a, b = at_left[a], at_right[b]
+    return (a[a < b], b[a < b]) if left is None else (a, b)
 
 
 def _confirmed_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact comparison of the lines of each task."""
     for table in whole_tasks(batches, 1024):
         tasks, keys = table["task"].to_numpy(), table["h1"].to_numpy()
+        sides = table["side"].to_numpy()
         lines = table["line"].to_pylist()
         found_a, found_b = [], []
         starts = np.flatnonzero(np.r_[True, tasks[1:] != tasks[:-1]]).tolist()
         for start, end in zip(starts, [*starts[1:], len(lines)]):
-            if end - start == 2:
+            side = sides[start:end]
+            if side.any():
+                a, b = similar_pairs(lines[start:end], left=side < 0)
+            elif end - start == 2:
                 linked = _similar(*map(shingle_set, lines[start:end]))
                 a, b = (np.array([0]), np.array([1])) if linked else ([], [])
             else:
@@ -220,33 +287,78 @@ def _similar(a: set, b: set) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def _to_the_smallest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by bucket and class, links of each class to the first of its bucket.
+def _reached(sketches: np.ndarray) -> np.ndarray:
+    """Of one bucket's classes, the first that each is connected with over agreeing sketches.
 
-    A bucket streams through: its first class is all that is remembered of it.
+    What a class has reached is not met again, so that similar classes meet but few others.
     """
-    last, head = None, None
+    heads, left = np.arange(len(sketches)), np.arange(len(sketches))
+    while len(left):
+        head, reached, left = left[0], left[:1], left[1:]
+        while len(reached) and len(left):
+            some = max(1, (1 << 18) // len(left))
+            meet = agreeing(sketches[reached[:some], None], sketches[None, left]).any(0)
+            heads[left[meet]] = head
+            reached, left = np.append(reached[some:], left[meet]), left[~meet]
+    return heads
+
+
+def _links(rows: np.ndarray) -> pa.RecordBatch:
+    """Links within whole buckets: `rows` are bucket, class and sketch, the buckets in order."""
+    starts = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+    sizes = np.diff(np.append(starts, len(rows)))
+    few = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= FEW), sizes))
+    found_a, found_b = [], []
+    for a, b in pairs_in_tasks(rows[few, 0]) if len(few) else ():
+        linked = agreeing(rows[few[a], 2:], rows[few[b], 2:])
+        found_a.append(few[a[linked]])
+        found_b.append(few[b[linked]])
+    for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist()):
+        found_a.append(start + _reached(rows[start : start + size, 2:]))
+        found_b.append(np.arange(start, start + size))
+    none = np.empty(0, np.int64)
+    return spanning_edges(
+        rows[:, 1], np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+    )
+
+
+def _once_each(rows: np.ndarray) -> np.ndarray:
+    """Rows sorted by bucket and class, each once, without buckets of one row but the last."""
+    same = rows[1:, 0] == rows[:-1, 0]
+    several = np.append(same, False) | np.append(False, same)
+    several[-1:] = True
+    rows = rows[several]
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+    return rows[new]
+
+
+def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket, links that connect classes whose sketches agree.
+
+    The buckets stream through: what is kept of them is the last one's classes, once each.
+    """
+    rest = np.empty((0, 4), np.int64)
     for batch in batches:
         if not batch.num_rows:
             continue
-        buckets, classes = batch.column("bucket").to_numpy(), batch.column("h1").to_numpy()
-        new = np.ones(len(buckets), bool)
-        new[1:] = buckets[1:] != buckets[:-1]
-        new[0] = last is None or buckets[0] != last
-        begins = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-        heads = np.where(begins >= 0, classes[begins], 0 if head is None else head)
-        last, head = buckets[-1], heads[-1]
-        other = heads != classes
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(heads[other]), pa.array(classes[other])], names=["a", "b"]
-        )
+        rows = np.concatenate([rest, np.stack([column.to_numpy() for column in batch.columns], 1)])
+        cut = np.searchsorted(rows[:, 0], rows[-1, 0])
+        rest = _once_each(rows[cut:])
+        if cut:
+            yield _links(_once_each(rows[:cut]))
+    if len(rest):
+        yield _links(rest)
 
 
 def candidate_groups(lines: DataFrame) -> DataFrame:
-    """h1 and grp of the classes that share a band with another, over any number of steps."""
-    banded = lines.select(F.explode("bands").alias("bucket"), "h1").repartition("bucket")
-    links = banded.sortWithinPartitions("bucket", "h1").mapInArrow(
-        _to_the_smallest, "a bigint, b bigint"
+    """h1 and grp of the classes that have a candidate, connected over any number of steps."""
+    banded = lines.select(F.explode("bands").alias("bucket"), "h1", "sketch_a", "sketch_b")
+    links = (
+        banded.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_bucket_links, "a bigint, b bigint")
     )
     return connected_components(links).select(
         F.col("id").alias("h1"), F.col("component").alias("grp")
@@ -275,7 +387,9 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = lines.select("id", "text_hash", "line.*")
     classes = written(
         lines.groupBy("h1", "h2").agg(
-            F.min("id").alias("first_id"), F.min_by("no", "id").alias("first_no")
+            F.min("id").alias("first_id"),
+            F.min_by("no", "id").alias("first_no"),
+            (F.count("*") > 1).alias("again"),
         ),
         "line_classes",
     )
@@ -289,7 +403,7 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .mapInArrow(_picked_lines, "h1 bigint, grp bigint, line string")
     )
     sizes = written(groups.groupBy("grp").agg(F.count("*").alias("members")), "group_sizes")
-    tasks = in_chunks(texts, "grp", F.col("h1"), sizes).repartition("task")
+    tasks = in_chunks(texts, "grp", F.col("h1"), sizes, sides=True).repartition("task")
     confirmed = tasks.sortWithinPartitions("task").mapInArrow(
         _confirmed_links, "a bigint, b bigint"
     )
@@ -307,9 +421,9 @@ def line_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     heads = heads.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
     later = linked.join(heads, ["component", "salt"]).filter("place > head").select("h1", "h2")
     home = F.when(F.col("later").isNull(), F.col("first_id"))
-    homes = classes.join(later.withColumn("later", F.lit(True)), ["h1", "h2"], "left").select(
-        "h1", "h2", home.alias("home")
-    )
+    # A line that no other equals or precedes is at home where it is.
+    homes = classes.join(later.withColumn("later", F.lit(True)), ["h1", "h2"], "left")
+    homes = homes.filter("again OR later").select("h1", "h2", home.alias("home"))
     gone = (
         lines.select("id", "text_hash", "no", "h1", "h2")
         .join(written(homes, "line_homes"), ["h1", "h2"])

@@ -96,13 +96,17 @@ def _sketcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def in_chunks(members: DataFrame, key: str, member: Column, sizes: DataFrame) -> DataFrame:
+def in_chunks(
+    members: DataFrame, key: str, member: Column, sizes: DataFrame, sides: bool = False
+) -> DataFrame:
     """Rows dealt to `task`: one for each key, or one for each two chunks of a key with many.
 
-    `sizes` has the key and its number of members; keys not in it are left out.
+    `sizes` has the key and its number of members; keys not in it are left out. With `sides`,
+    `side` tells the chunks of a task apart: -1 and 1, and 0 where it holds one chunk alone.
     """
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64(member), F.col("chunks")).cast("int")
+    side = F.signum(F.col("own") - F.col("other")).cast("int")
     return (
         members.join(sizes.withColumn("chunks", chunks), key)
         .withColumn("own", own)
@@ -110,6 +114,7 @@ def in_chunks(members: DataFrame, key: str, member: Column, sizes: DataFrame) ->
         .withColumn(
             "task", F.xxhash64(key, F.least("own", "other"), F.greatest("own", "other"))
         )
+        .withColumns({"side": side} if sides else {})
         .drop("members", "chunks", "own", "other")
     )
 

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderledger.llm import line_dedup as ld
@@ -61,7 +63,7 @@ def test_a_large_group_of_near_lines(docs, monkeypatch, chunk):
 
 def test_similar_pairs_equal_sets():
     rng = random.Random(3)
-    lines = ["".join(rng.choice("ab ") for _ in range(rng.randrange(1, 60))) for _ in range(60)]
+    lines = ["".join(rng.choice("ab ") for _ in range(rng.randrange(1, 60))) for _ in range(12)]
     lines += [near_line(rng, lines[k]) for k in range(60)] + ["", "a", "a "]
     a, b = ld.similar_pairs(lines, columns=16)
     sets = [ld.shingle_set(line) for line in lines]
@@ -110,3 +112,74 @@ def test_union_keeps_the_first():
     union.join(3, 1)
     union.join(2, 3)
     assert union.find(2) == 1
+
+
+def test_chance_does_not_connect_lines(docs):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 7))) for _ in range(12)]
+    lines = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(3000)]
+    lines += [near_line(rng, line) for line in lines[:200]]
+    df = docs([(n, line) for n, line in enumerate(lines)])
+    key = ld.F.struct(ld.F.col("doc_id").alias("id"), ld.F.xxhash64("text").alias("text_hash"))
+    found = df.select(key, "text").mapInArrow(
+        ld._line_table,
+        "doc struct<id:bigint,text_hash:bigint>, n_lines bigint, "
+        f"lines {ld.LINES}, repeats array<int>",
+    )
+    rows = found.select("doc.id", ld.F.explode("lines").alias("line")).select("id", "line.*")
+    rows = rows.localCheckpoint()
+    groups = {r.h1: r.grp for r in ld.candidate_groups(rows).collect()}
+    classes = {r.id: r.h1 for r in rows.collect()}
+    sizes = {}
+    for group in groups.values():
+        sizes[group] = sizes.get(group, 0) + 1
+    assert max(sizes.values()) < 30
+    together = [n for n in range(200) if classes[n] == classes[3000 + n]
+                or groups.get(classes[n], n) == groups.get(classes[3000 + n])]
+    assert len(together) >= 198
+
+
+def test_links_of_a_searched_bucket_connect_what_pairs_connect(monkeypatch):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    bases = [[rng.choice(words) for _ in range(20)] for _ in range(4)]
+    lines = [" ".join(rng.choice(words) if rng.random() < 0.15 else word for word in bases[n % 4])
+             for n in range(120)]
+    _, sketches = ld.signatures(lines)
+    names = np.array(rng.sample(range(-10**6, 10**6), len(lines)))
+    buckets = np.where(np.arange(len(lines)) < 90, 5, 7)
+    rows = ld._once_each(np.concatenate([np.stack([buckets, names], 1), sketches], 1))
+    linked = []
+    for few in (1000, 1):
+        monkeypatch.setattr(ld, "FEW", few)
+        union = Union()
+        for edge in ld._links(rows).to_pylist():
+            union.join(edge["a"], edge["b"])
+        linked.append({int(name): union.find(int(name)) for name in names})
+    assert linked[0] == linked[1] and 4 < len(set(linked[0].values())) < 60
+
+
+def test_pairs_across_two_sides():
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("ab ") for _ in range(rng.randrange(1, 60))) for _ in range(50)]
+    lines += [near_line(rng, line) for line in lines]
+    left = np.array([rng.random() < 0.5 for _ in lines])
+    a, b = ld.similar_pairs(lines)
+    plain = {(x, y) if left[x] else (y, x) for x, y in zip(a, b) if left[x] != left[y]}
+    a, b = ld.similar_pairs(lines, columns=16, left=left)
+    assert set(zip(a, b)) == plain and plain
+
+
+def test_buckets_go_on_in_later_batches():
+    rng = random.Random(8)
+    rows = np.array([(bucket, rng.randrange(4), 1, 1) for bucket in sorted(
+        rng.randrange(40) for _ in range(300))], np.int64)
+    rows[:, 2:] = rows[:, 1:2]
+    whole = ld._links(ld._once_each(rows)).to_pylist()
+    names = ["bucket", "h1", "sketch_a", "sketch_b"]
+    table = pa.Table.from_arrays([pa.array(column) for column in rows.T], names=names)
+    batches = [table.schema.empty_table().to_batches(), table.to_batches(7)]
+    found = [edge for batch in ld._bucket_links([b for x in batches for b in x])
+             for edge in batch.to_pylist()]
+    assert {(e["a"], e["b"]) for e in found} >= {(e["a"], e["b"]) for e in whole}
+    assert {x for e in found for x in e.values()} <= {0, 1, 2, 3}
