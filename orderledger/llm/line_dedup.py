@@ -464,13 +464,19 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.xxhash64(text_col).alias("hash"),
     )
     same = (F.col("id") == F.col("gone")) & (F.col("hash") == F.col("gone_hash"))
-    lines = F.split(text, "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
-    left = F.array_join(F.transform(places, lambda place: F.get(F.col("lines"), place)), "\n")
-    return (
-        rows.join(gone, same, "left")
-        .withColumn("lines", F.when(F.col("removed").isNotNull(), lines))
-        .withColumn("kept_text", F.when(F.col("removed").isNull(), text).otherwise(left))
-        .filter("removed IS NULL OR kept_text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
-        .select("row", "kept_text")
+    # Arrays of one: their elements are worked out once, however often they are named.
+    none = F.col("removed").isNull()
+    left = F.transform(
+        F.array(F.split(text, "\n")),
+        lambda lines: F.array_join(
+            F.transform(
+                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed"),
+                lambda place: F.get(lines, place),
+            ),
+            "\n",
+        ),
+    )
+    left = F.filter(left, lambda kept: kept.rlike("[^\\x20\\x09-\\x0D]"))
+    return rows.join(gone, same, "left").select(
+        "row", F.explode(F.when(none, F.array(text)).otherwise(left)).alias("kept_text")
     )

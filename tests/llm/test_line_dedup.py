@@ -183,3 +183,9 @@ def test_buckets_go_on_in_later_batches():
              for edge in batch.to_pylist()]
     assert {(e["a"], e["b"]) for e in found} >= {(e["a"], e["b"]) for e in whole}
     assert {x for e in found for x in e.values()} <= {0, 1, 2, 3}
+
+
+def test_a_text_is_cut_into_lines_once(docs):
+    left = ld.dedup_lines(docs([(1, "a line of text\nanother"), (2, "a line of text\nmore")]))
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "explode(" in plan
